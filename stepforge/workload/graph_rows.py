@@ -96,6 +96,18 @@ ENTITIES = [
     ("Zergling", "Unit", "Zerg", 25, 0, 1, 384, False, False),
 ]
 
+# What a unit of each part type is worth and can do.
+UNIT_VALUE_COLUMNS = ["type", "minerals", "gas", "power", "flying", "hits_ground", "shoots_air", "weak_air",
+                      "melee", "surround", "siege", "cloak", "detector", "worker"]
+UNIT_VALUES = [
+    ("ECONOMY", 50, 0, 0.25, False, True, False, False, True, False, False, False, False, True),
+    ("STANDARD", 50, 0, 0.5, False, True, True, False, False, False, False, False, False, False),
+    ("SMALL", 25, 0, 0.375, False, True, False, False, True, True, False, False, False, False),
+    ("MEDIUM", 50, 100, 1.0, False, True, True, True, False, False, False, False, True, False),
+    ("LARGE", 150, 125, 3.0, False, True, False, False, False, False, True, False, False, False),
+    ("PROMO", 150, 100, 2.5, True, True, True, False, False, False, False, True, False, False),
+]
+
 
 def _literal(value) -> str:
     if value is None:
@@ -116,6 +128,7 @@ TABLES = {
     "ability": (ABILITY_COLUMNS, ABILITIES),
     "executor": (EXECUTOR_COLUMNS, EXECUTORS),
     "entity": (ENTITY_COLUMNS, ENTITIES),
+    "unit_values": (UNIT_VALUE_COLUMNS, UNIT_VALUES),
 }
 
 

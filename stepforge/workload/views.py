@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stepforge.functions.vocabulary import IMPLIED_ENTITIES
 from stepforge.operators.ordered import numbered
-from stepforge.workload.graph_rows import ACTIONS, graph_sql, values_sql
+from stepforge.workload.graph_rows import ACTIONS, UNIT_VALUE_COLUMNS, UNIT_VALUES, graph_sql, values_sql
 
 STEP_SIZE = 12
 HOUR = 3_600_000_000
@@ -96,13 +96,26 @@ def cand(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pos(spark: SparkSession, sf: str) -> DataFrame:
+    key, size = F.col("p_partkey"), F.col("p_size")
     return table(spark, sf, "part").select(
-        F.col("p_partkey").alias("tag"), (F.col("p_partkey") * 37 % 200).cast("double").alias("x"),
-        (F.col("p_partkey") * 53 % 200).cast("double").alias("y"), F.col("p_type").alias("type"),
+        key.alias("tag"), (key * 37 % 200 + size * 0.25).alias("x"), (key * 53 % 200 + (size * 7 % 20) * 0.25).alias("y"),
+        F.col("p_type").alias("type"),
         F.col("p_size").cast("bigint").alias("size"), F.col("p_retailprice").alias("price"),
     )
 
 
+def units(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as units of a game: the supplier is the game, the line status the side."""
+    lines, parts = table(spark, sf, "lineitem"), pos(spark, sf)
+    return lines.join(parts, lines.l_partkey == parts.tag).select(
+        F.col("l_suppkey").alias("game"), F.col("l_orderkey").alias("tag"), "type",
+        (F.col("l_linestatus") == "O").alias("mine"), F.round(F.col("l_discount") * 10, 1).alias("progress"),
+        F.col("l_returnflag").alias("flag"), F.col("l_quantity").cast("bigint").alias("assigned"),
+        F.col("l_linenumber").cast("bigint").alias("line"), F.col("l_extendedprice").alias("price"), "x", "y", "size",
+        micros("l_shipdate").alias("us"),
+    )
+
+
 def audit(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled documents as audited samples."""
     labels, documents = table(spark, sf, "labels"), table(spark, sf, "documents")
@@ -144,10 +157,16 @@ SQL_VIEWS: dict[str, tuple[list[str], str]] = {
                l_quantity AS quantity, l_extendedprice AS price
         FROM lineitem"""),
     "pos": ([], """
-        SELECT p_partkey AS tag, CAST(p_partkey * 37 % 200 AS DOUBLE) AS x,
-               CAST(p_partkey * 53 % 200 AS DOUBLE) AS y, p_type AS type,
+        SELECT p_partkey AS tag, CAST(p_partkey * 37 % 200 + p_size * 0.25 AS DOUBLE) AS x,
+               CAST(p_partkey * 53 % 200 + (p_size * 7 % 20) * 0.25 AS DOUBLE) AS y, p_type AS type,
                CAST(p_size AS BIGINT) AS size, p_retailprice AS price
         FROM part"""),
+    "units": (["pos"], """
+        SELECT l_suppkey AS game, l_orderkey AS tag, type, l_linestatus = 'O' AS mine,
+               round(l_discount * 10, 1) AS progress, l_returnflag AS flag, CAST(l_quantity AS BIGINT) AS assigned,
+               CAST(l_linenumber AS BIGINT) AS line, l_extendedprice AS price, x, y, size, epoch_us(l_shipdate) AS us
+        FROM lineitem JOIN pos ON l_partkey = tag"""),
+    "unit_values": ([], values_sql(UNIT_VALUE_COLUMNS, UNIT_VALUES)),
     "audit": ([], """
         SELECT doc_id AS index, quality = 1 AS passed, toxic = 1 AS dropped, text, lang, source, n_chars
         FROM labels JOIN documents USING (doc_id)"""),
