@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from stepforge.operators.ordered import blocked_window
 
 # Gas per second of one saturated miner slot; excess workers mine at half rate.
 GAS_RATE = 0.94339622641509433962
@@ -225,7 +226,7 @@ def affordable(cost: Column, supply_left: Column) -> Column:
     return (cost <= 0) | (cost <= supply_left)
 
 
-def mineral_total(patches: DataFrame, zone: str) -> DataFrame:
+def mineral_total(patches: DataFrame, zone: str, block: Column) -> DataFrame:
     """Minerals of a zone per visit and the stored value, which only falls.
 
     ``patches`` has visit, visible, contents, type.
@@ -233,11 +234,11 @@ def mineral_total(patches: DataFrame, zone: str) -> DataFrame:
     guess = F.when(F.col("type").endswith("750"), 900).otherwise(1800)
     seen = patches.groupBy(zone, "visit").agg(
         F.sum(F.when(F.col("visible"), F.col("contents")).otherwise(guess)).alias("total"))
-    so_far = Window.partitionBy(zone).orderBy("visit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    left = F.min("total").over(so_far)
+    kept = blocked_window(seen, [zone], ["visit"], block, minima={"stored": F.col("total")})
+    left = F.col("stored")
     band = (F.when(left >= 10000, "Full").when(left >= 5000, "Plenty").when(left >= 1500, "Limited")
             .when(left > 0, "NearEmpty").otherwise("Empty"))
-    return seen.select(zone, "visit", "total", left.alias("stored"), band.alias("band"))
+    return kept.withColumn("band", band)
 
 
 def worker_window(*, now: Column, ours: Column, workers_seen: Column, base_seen: Column, scouted: Column,

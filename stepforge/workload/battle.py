@@ -9,7 +9,7 @@ from stepforge.plans import battle as B
 from stepforge.workload.graph_rows import graph, values_frame
 from stepforge.workload.registry import query
 from stepforge.workload.spatial import ZONES_SQL, zones
-from stepforge.workload.views import pos, table, units
+from stepforge.workload.views import hour_of, pos, table, units
 
 POWER_SQL = """
     sum(power) AS power, sum(CASE WHEN flying THEN power ELSE 0 END) AS air_presence,
@@ -303,10 +303,10 @@ def score_table(spark, sf):
     return wide.unpivot("game", ["spent", "killed", "lost", "workers"], "score", "value")
 
 
-ARMY_SQL = """CASE WHEN {a}p >= 1 AND {a}a / 1.1 >= {b}ap AND {a}g / 1.1 >= {b}gp AND {a}p / 1.1 >= {b}p THEN
-    CASE WHEN {a}p > 20 AND {a}a / 3 >= {b}ap AND {a}g / 3 >= {b}gp AND {a}p / 3 >= {b}p THEN 'Overwhelming{w}'
-         WHEN {a}p > 10 AND {a}a / 2 >= {b}ap AND {a}g / 2 >= {b}gp AND {a}p / 2 >= {b}p THEN 'Clear{w}'
-         WHEN {a}p > 5 AND {a}a / 1.4 >= {b}ap AND {a}g / 1.4 >= {b}gp AND {a}p / 1.4 >= {b}p THEN 'Small{w}'
+ARMY_SQL = """CASE WHEN {a}p >= 1 AND {a}a * (1 / 1.1e0) >= {b}ap AND {a}g * (1 / 1.1e0) >= {b}gp AND {a}p * (1 / 1.1e0) >= {b}p THEN
+    CASE WHEN {a}p > 20 AND {a}a * (1 / 3e0) >= {b}ap AND {a}g * (1 / 3e0) >= {b}gp AND {a}p * (1 / 3e0) >= {b}p THEN 'Overwhelming{w}'
+         WHEN {a}p > 10 AND {a}a * (1 / 2e0) >= {b}ap AND {a}g * (1 / 2e0) >= {b}gp AND {a}p * (1 / 2e0) >= {b}p THEN 'Clear{w}'
+         WHEN {a}p > 5 AND {a}a * (1 / 1.4e0) >= {b}ap AND {a}g * (1 / 1.4e0) >= {b}gp AND {a}p * (1 / 1.4e0) >= {b}p THEN 'Small{w}'
          ELSE 'Slight{w}' END"""
 INCOME_SQL = """CASE WHEN {n} > 40 THEN 'OverwhelmingAdvantage' WHEN {n} < -40 THEN 'OverwhelmingDisadvantage'
     WHEN {n} > 20 THEN 'ClearAdvantage' WHEN {n} < -20 THEN 'ClearDisadvantage' WHEN {n} > 10 THEN 'SmallAdvantage'
@@ -393,7 +393,7 @@ def zone_minerals(spark, sf):
     patches = units(spark, sf).select(
         F.col("game").alias("zone"), F.col("us").alias("visit"), F.col("mine").alias("visible"),
         F.col("price").alias("contents"), F.when(F.col("type") == "SMALL", "PATCH750").otherwise("PATCH").alias("type"))
-    rows = B.mineral_total(patches, "zone")
+    rows = B.mineral_total(patches, "zone", hour_of("visit"))
     return rows.select("zone", "visit", F.round("total", 2).alias("total"), F.round("stored", 2).alias("stored"), "band")
 
 
