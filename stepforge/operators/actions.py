@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stepforge.functions.vocabulary import (
     ADDON_HOSTS, CONTROL_PRODUCTS, KIND_RANK, MORPH_TARGETS, QUEUE_KINDS, RESEARCH_HOSTS,
@@ -178,3 +179,41 @@ def step_prereqs(actions: DataFrame, keys: Sequence[str], ability: DataFrame, ex
     others = present.select(*keys, F.col("ability").alias("depends_on"))
     return present.join(relations, "ability").join(others, [*keys, "depends_on"]).select(
         *keys, F.col("ability").alias("action"), "depends_on", "via")
+
+
+def gap_fill(rows: DataFrame, ability: DataFrame, executor: DataFrame, key: str) -> DataFrame:
+    """Actions to insert for what is missing and not already coming, distinct in order.
+
+    ``rows`` has facts (see ``ability_facts``), held and coming entities.
+    """
+    lacking = F.transform(F.filter("facts.reqs", lambda r: ~F.arrays_overlap(r["meets"], F.col("held"))),
+                          lambda r: r["needs"])
+    units = F.col("facts.executors")
+    nobody = F.when((F.size(units) > 0) & ~F.arrays_overlap(units, F.col("held")), units).otherwise(
+        F.array().cast("array<string>"))
+    missing = F.array_distinct(F.concat(lacking, nobody))
+    wanted = rows.select(key, "coming", F.posexplode(missing).alias("at", "entity"))
+    wanted = wanted.filter(~F.array_contains("coming", F.col("entity")))
+    able = ability.filter(F.col("result").isNotNull()).join(executor.select("ability").distinct(), "ability", "left_semi")
+    plain = F.when(F.rlike("kind", F.lit("^(Build|Train|Research)")), 0).otherwise(1)
+    best = able.groupBy(F.col("result").alias("entity")).agg(
+        F.min(F.struct(plain.alias("rank"), "ability"))["ability"].alias("fill"))
+    fills = wanted.join(best, "entity").groupBy(key, "fill").agg(F.min("at").alias("at"))
+    lists = fills.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "fill"))).alias("f"))
+    return lists.select(key, F.transform("f", lambda e: e["fill"]).alias("fills"))
+
+
+def action_table(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Fixed-width lines of action, product, type, cost and requirement.
+
+    The action column is as wide as the longest name of the graph.
+    """
+    # The graph is a small dimension, so one window over all of it is cheap.
+    sized = facts.withColumn("_w", F.max(F.length("ability")).over(Window.partitionBy()))
+    minerals, gas = F.coalesce("minerals", F.lit(0)), F.coalesce("gas", F.lit(0))
+    cost = F.when(minerals + gas > 0, F.concat_ws("/", minerals.cast("string"), gas.cast("string"))).otherwise("-")
+    product = simple_product(F.col("ability"), F.col("result"))
+    line = F.concat(F.rpad("ability", F.col("_w"), F.lit(" ")), F.lit("  "), F.rpad(product, 28, " "), F.lit(" "),
+                    F.rpad(F.coalesce("type", F.lit("-")), 8, " "), F.lit(" "), F.lpad(cost, 14, " "), F.lit(" "),
+                    F.rpad(F.coalesce("requires", F.lit("-")), 20, " "))
+    return rows.join(sized.select("ability", line.alias("line")), "ability")
