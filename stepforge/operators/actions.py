@@ -42,7 +42,7 @@ def title_words(text: Column) -> Column:
 def pattern_product(action: Column) -> Column:
     """Product read from the shape of the action's name, most specific shape first."""
     def after(prefix):
-        return F.substring(action, len(prefix) + 1, 10_000)
+        return F.substring(action, F.lit(len(prefix) + 1), F.length(action))
 
     def extract(pattern, group=1):
         found = F.regexp_extract(action, pattern, group)
@@ -51,7 +51,7 @@ def pattern_product(action: Column) -> Column:
     morph_rest = after("MORPH_")
     morph = F.lit(None).cast("string")
     for target in sorted(MORPH_TARGETS, key=len):
-        rest = F.regexp_replace(F.substring(morph_rest, len(target) + 1, 10_000), "^_", "")
+        rest = F.regexp_replace(F.substring(morph_rest, F.lit(len(target) + 1), F.length(morph_rest)), "^_", "")
         named = F.lit(target.title())
         text = F.when(rest != "", F.concat(named, F.lit(" ("), title_words(rest), F.lit(" mode)"))).otherwise(named)
         # Longer targets are tested later and so override shorter ones.
