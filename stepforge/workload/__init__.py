@@ -6,7 +6,7 @@ import importlib
 
 from stepforge.workload.registry import ORACLES, QUERIES
 
-MODULES = ["aggregations", "graph_joins", "spatial", "battle", "timeline", "steps", "texts", "filters", "scans", "samples"]
+MODULES = ["aggregations", "graph_joins", "spatial", "battle", "timeline", "steps", "texts", "filters", "scans", "samples", "curation"]
 
 
 def _load() -> None:

@@ -26,10 +26,10 @@ SCORED_SQL = """prompts AS (SELECT DISTINCT l_orderkey AS prompt, CASE l_orderke
         CASE WHEN is_idle THEN CASE WHEN addon = 'reactor' THEN 1001 ELSE 1000 END
              WHEN quantity > 40 THEN 0 WHEN addon = 'reactor' AND progress < 0.5 THEN greatest(progress * 1000, 500)
              ELSE progress * 1000 END AS ready,
-        CASE addon WHEN 'reactor' THEN 3 WHEN 'techlab' THEN 2 WHEN 'other' THEN 1 ELSE 0 END AS at,
+        CASE addon WHEN 'reactor' THEN 3 WHEN 'techlab' THEN 2 WHEN 'other' THEN 1 ELSE 0 END AS adt,
         CASE unit WHEN 'ORBITALCOMMAND' THEN 2 WHEN 'COMMANDCENTER' THEN 1 ELSE 0 END AS bt
         FROM cand c JOIN prompts USING (prompt)),
-    ranked AS (SELECT *, rank() OVER (PARTITION BY prompt ORDER BY reason = '' DESC, ready DESC, at DESC, bt DESC) = 1 AS golden,
+    ranked AS (SELECT *, rank() OVER (PARTITION BY prompt ORDER BY reason = '' DESC, ready DESC, adt DESC, bt DESC) = 1 AS golden,
         host IS NOT NULL AS reservation, NOT bool_or(reason = '') OVER (PARTITION BY prompt) AS fallback FROM scored)"""
 
 
