@@ -64,12 +64,16 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def array_rows(texts: DataFrame, keys: Sequence[str] = (), schema: str = SAMPLE) -> DataFrame:
+    """Elements of JSON array texts in ``value``, with their position as ``index``."""
+    text = F.regexp_replace("value", "^\ufeff", "")
+    rows = texts.select(*keys, F.posexplode(F.from_json(text, f"array<struct<{_fields(schema)}>>")).alias("index", "sample"))
+    return rows.select(*keys, "index", "sample.*")
+
+
 def read_sample_array(spark: SparkSession, path: str, schema: str = SAMPLE) -> DataFrame:
-    """Elements of a JSON array with their position as ``index``."""
-    whole = spark.read.option("wholetext", True).text(path)
-    text = F.regexp_replace("value", "^﻿", "")
-    rows = whole.select(F.posexplode(F.from_json(text, f"array<struct<{_fields(schema)}>>")).alias("index", "sample"))
-    return rows.select("index", "sample.*")
+    """Elements of a JSON array file with their position as ``index``."""
+    return array_rows(spark.read.option("wholetext", True).text(path), (), schema)
 
 
 def _fields(schema: str) -> str:

@@ -6,7 +6,8 @@ import importlib
 
 from stepforge.workload.registry import ORACLES, QUERIES
 
-MODULES = ["aggregations", "graph_joins", "spatial", "battle", "timeline", "steps", "texts", "filters", "scans", "samples", "curation"]
+MODULES = ["aggregations", "graph_joins", "spatial", "battle", "timeline", "steps", "texts", "filters", "scans", "samples", "curation", "labels", "streams",
+           "arithmetic"]
 
 
 def _load() -> None:

@@ -390,7 +390,7 @@ def cap_for_freq(spark, sf):
 
 
 TARGETS = CLASSED + """, supply AS (SELECT step, count(*) AS supply FROM classed GROUP BY step),
-    blend AS (SELECT step, least(CASE WHEN supply >= 5 THEN 0.65e0 * {total} / count(*) FILTER (supply >= 5) OVER ()
+    blend AS (SELECT step, least(CASE WHEN supply >= 5 THEN 0.65e0 * ({total}.0e0 / count(*) FILTER (supply >= 5) OVER ())
         + (1.0e0 - 0.65e0) * (supply / sum(supply) OVER () * {total}) ELSE supply / sum(supply) OVER () * {total} END, supply) AS t FROM supply),
     targets AS (SELECT step, CASE WHEN sum(t) OVER () > {total} THEN greatest(1.0, t * {total} / sum(t) OVER ()) ELSE t END AS target FROM blend)"""
 TOTAL = 3000
@@ -402,7 +402,7 @@ def step_targets(spark, sf):
 
 
 @query("largest_remainder", f"""WITH {TARGETS.format(total=TOTAL)}, r AS (SELECT step, floor(target) AS base, row_number() OVER (
-        ORDER BY target - floor(target) DESC, step DESC) AS rn, {TOTAL} - sum(floor(target)) OVER () AS missing, count(*) OVER () AS n FROM targets)
+        ORDER BY target - floor(target) DESC, step DESC) AS rn, CAST({TOTAL} - sum(floor(target)) OVER () AS BIGINT) AS missing, count(*) OVER () AS n FROM targets)
     SELECT step, CAST(base + missing // n + CASE WHEN rn <= missing % n THEN 1 ELSE 0 END AS BIGINT) AS units FROM r""")
 def largest_remainder(spark, sf):
     return R.largest_remainder(R.step_targets(parsed(spark, sf), TOTAL, 0.65), TOTAL).select("step", "units")
