@@ -73,7 +73,7 @@ def array_rows(texts: DataFrame, keys: Sequence[str] = (), schema: str = SAMPLE)
 
 def read_sample_array(spark: SparkSession, path: str, schema: str = SAMPLE) -> DataFrame:
     """Elements of a JSON array file with their position as ``index``."""
-    return array_rows(spark.read.option("wholetext", True).text(path), (), schema)
+    return array_rows(spark.read.text(path, wholetext=True), (), schema)
 
 
 def _fields(schema: str) -> str:
@@ -115,7 +115,7 @@ def parse_step_lines(lines: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def read_step_docs(spark: SparkSession, root: str) -> DataFrame:
     """Step lines and summary of markdown documents: path, number, line, summary."""
-    docs = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(root).select(
+    docs = spark.read.text(root, wholetext=True, recursiveFileLookup=True).select(
         F.col("_metadata.file_path").alias("path"), "value")
     lines = docs.select("path", F.posexplode(F.split("value", "\n")).alias("at", "value"))
     summary = docs.select("path", strip(F.regexp_extract("value", SUMMARY, 1)).alias("summary"))

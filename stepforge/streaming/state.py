@@ -181,14 +181,16 @@ def frame_changes(rows: DataFrame) -> DataFrame:
 
 
 def first_commits(issued: DataFrame, seen: DataFrame, wait: str = "8 seconds") -> DataFrame:
-    """Issued orders joined to confirmations inside the interval, both with watermarks.
+    """Issued orders that a confirmation followed inside the interval, once each.
 
-    Both sides have unit and ``ts``; rows later than the watermark are dropped.
+    Both sides have unit and ``ts`` and a watermark; rows later than it are
+    dropped. ``committed`` is the confirmation met first by the stream.
     """
     left = issued.withWatermark("ts", wait)
     right = seen.withWatermark("ts", wait).select(F.col("unit").alias("seen_unit"), F.col("ts").alias("seen_at"))
     inside = F.expr(f"unit = seen_unit AND seen_at BETWEEN ts AND ts + INTERVAL {wait}")
-    return left.join(right, inside, "inner").dropDuplicatesWithinWatermark(["event_id"])
+    joined = left.join(right, inside, "inner").withColumn("committed", F.unix_micros("seen_at")).drop("seen_unit", "seen_at")
+    return joined.dropDuplicatesWithinWatermark(["event_id"])
 
 
 def trailing_counts(rows: DataFrame, key: str, window: str = "60 seconds", slide: str = "10 seconds",
