@@ -9,28 +9,35 @@ from stepforge.session import cut_lineage
 
 
 def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """Least node of each node's component: ``nodes(node)``, ``links(a, b)``.
+    """One node of each component per node: ``nodes(node)``, ``links(a, b)``.
 
-    Each round takes the least label among neighbours and then the label of
-    that label, so long chains halve per round. Rounds are checkpointed and end
-    when no label changes.
+    Each round lets every node point at its least neighbour, follows the
+    pointers a few steps, and draws the links together onto the nodes pointed
+    at. Linked nodes at least halve per round, so long chains take few rounds
+    and later rounds are small. Rounds are written out; the pointers of all
+    rounds are followed once at the end.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = cut_lineage(both.filter(F.col("a") != F.col("b")).distinct())
-    labels = cut_lineage(nodes.select("node", F.col("node").alias("component")))
-    while True:
-        seen = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(
-            F.min("component").alias("least"))
-        stepped = labels.join(seen, "node", "left").select(
-            "node", F.col("component").alias("old"),
-            F.least("component", F.coalesce("least", "component")).alias("component"))
-        stepped = cut_lineage(stepped)
-        hop = stepped.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        jumped = cut_lineage(stepped.join(hop, "component").select("node", "old", F.col("further").alias("component")))
-        changed = not jumped.filter(F.col("old") != F.col("component")).isEmpty()
-        labels = jumped.select("node", "component")
-        if not changed:
-            return labels
+    edges = cut_lineage(both.filter(F.col("a") != F.col("b")).distinct())
+    rounds = []
+    while not edges.isEmpty():
+        hook = cut_lineage(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to")))
+        reps = hook.select("a", F.col("to").alias("rep"))
+        for _ in range(3):
+            reps = reps.join(hook.select(F.col("a").alias("rep"), "to"), "rep").select("a", F.col("to").alias("rep"))
+        reps = cut_lineage(reps)
+        of = lambda name: reps.select(F.col("a").alias(name), F.col("rep").alias(f"{name}2"))
+        drawn = edges.join(of("a"), "a").join(of("b"), "b").select(F.col("a2").alias("a"), F.col("b2").alias("b"))
+        # A node pointed at may itself point on: it stays linked to where it points.
+        onward = reps.select("rep").distinct().join(of("rep"), "rep").select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
+        back = onward.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        edges = cut_lineage(drawn.unionByName(onward).unionByName(back).filter(F.col("a") != F.col("b")).distinct())
+        rounds.append(reps)
+    labels = nodes.select("node", F.col("node").alias("component"))
+    for reps in rounds:
+        labels = labels.join(reps.withColumnRenamed("a", "component"), "component", "left").select(
+            "node", F.coalesce("rep", "component").alias("component"))
+    return labels
 
 
 def implication_closure(pairs: DataFrame) -> DataFrame:

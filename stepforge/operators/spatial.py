@@ -166,7 +166,7 @@ def eps_groups(points: DataFrame, eps: float, on: Sequence[str] = (), height: st
     boxes of an eighth of a cell settle that for crowded cells, and only boxes
     that leave it open compare their points. With ``height`` (one of a map's
     few levels) a link also needs heights within ``height_gap``. ``group`` is
-    the least cell of the group.
+    one cell of the group.
     """
     on = list(on)
     side = eps / 2 ** 0.5 * (1 - 1e-12)
@@ -217,7 +217,7 @@ def eps_groups(points: DataFrame, eps: float, on: Sequence[str] = (), height: st
 
 
 def flood_regions(cells: DataFrame) -> DataFrame:
-    """Regions of cells (x, y) that touch at a side or corner, as ``region`` = least cell."""
+    """Regions of cells (x, y) that touch at a side or corner, as ``region`` = one of its cells."""
     node = F.struct("x", "y")
     half = [(1, -1), (1, 0), (1, 1), (0, 1)]
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in half])

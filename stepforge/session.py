@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives lost executors and keeps iterative plans short."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows written to the shared folder and read back.
+
+    The plan starts anew from files that survive lost executors. A table is
+    used and not a checkpoint because its size is known exactly: a checkpoint
+    carries the size estimate of the plan behind it, which multiplies with
+    every join of an iteration.
+    """
+    spark = df.sparkSession
+    path = os.path.join(shared_folder(spark), f"cut-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

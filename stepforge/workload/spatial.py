@@ -209,7 +209,9 @@ def region_label(spark, sf):
     cells = pos(spark, sf).groupBy(S.cell_of(F.col("x"), 10).alias("x"), S.cell_of(F.col("y"), 10).alias("y")).agg(
         F.max("size").alias("size")).filter(F.col("size") > 46)
     regions = S.flood_regions(cells)
-    return regions.select("x", "y", (F.col("region.x") * 1000 + F.col("region.y")).alias("region"))
+    # A region is named by its least cell.
+    names = regions.groupBy("region").agg(F.min(F.col("x") * 1000 + F.col("y")).alias("name"))
+    return regions.join(names, "region").select("x", "y", F.col("name").alias("region"))
 
 
 @query("argmax_cell", """
