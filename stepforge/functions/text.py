@@ -39,38 +39,38 @@ ORDINAL_REPAIRS = [
     (r"\bthe\s+another\s+one\b", "another one"),
     (r"(?<!-)\bnext one\b(?!-)", "another one"),
 ]
-# Wording about the enemy and its neutral form, in order.
+# Wording about the enemy, its neutral form, and a part that any match contains, in order.
 NEUTRAL_WORDS = [
-    (r"\bscout(?:ing)?\s+enemy\s+threats?\b", "read the map state"),
-    (r"\benemy\s+threats?\b", "map-state options"),
-    (r"\bto\s+pressure\s+the\s+game\b", "to add mobile map presence"),
-    (r"\bapply\s+pressure\b", "add production tempo"),
-    (r"\bcloaked\s+harassers\b", "cloaked tech units"),
-    (r"\bharassers\b", "mobile units"),
-    (r"\bharasser\b", "mobile unit"),
-    (r"\bcloaked\s+harass(?:ment)?\s+units\b", "cloaked tech units"),
-    (r"\bharass(?:ment)?\s+units\b", "mobile units"),
-    (r"\bharrassment\s+units\b", "mobile units"),
-    (r"\bharassment\b", "mobile map presence"),
-    (r"\bharrassment\b", "mobile map presence"),
-    (r"\bharass\b", "apply mobile map presence"),
-    (r"\bharassing\b", "using mobile map presence"),
-    (r"\bpressure\b", "production tempo"),
-    (r"\bthreats\b", "options"),
-    (r"\bthreat\b", "option"),
-    (r"\brushes\b", "fast timings"),
-    (r"\brush\b", "fast timing"),
-    (r"\bscouting\b", "vision"),
-    (r"\bscout\b", "vision"),
-    (r"\benemy\b", "map"),
-    (r"\bopponents\b", "games"),
-    (r"\bopponent\b", "game"),
-    (r"\bmove-out\b", "advance"),
-    (r"\bmove out\b", "advance"),
-    (r"\bpoke\b", "small advance"),
-    (r"\bhold\b", "stabilize"),
-    (r"\bapply mobile map presence production tempo\b", "add mobile map presence"),
-    (r"\bmobile map presence production tempo\b", "mobile map presence"),
+    (r"\bscout(?:ing)?\s+enemy\s+threats?\b", "read the map state", "threat"),
+    (r"\benemy\s+threats?\b", "map-state options", "threat"),
+    (r"\bto\s+pressure\s+the\s+game\b", "to add mobile map presence", "pressure"),
+    (r"\bapply\s+pressure\b", "add production tempo", "pressure"),
+    (r"\bcloaked\s+harassers\b", "cloaked tech units", "harassers"),
+    (r"\bharassers\b", "mobile units", "harassers"),
+    (r"\bharasser\b", "mobile unit", "harasser"),
+    (r"\bcloaked\s+harass(?:ment)?\s+units\b", "cloaked tech units", "harass"),
+    (r"\bharass(?:ment)?\s+units\b", "mobile units", "harass"),
+    (r"\bharrassment\s+units\b", "mobile units", "harrassment"),
+    (r"\bharassment\b", "mobile map presence", "harassment"),
+    (r"\bharrassment\b", "mobile map presence", "harrassment"),
+    (r"\bharass\b", "apply mobile map presence", "harass"),
+    (r"\bharassing\b", "using mobile map presence", "harassing"),
+    (r"\bpressure\b", "production tempo", "pressure"),
+    (r"\bthreats\b", "options", "threats"),
+    (r"\bthreat\b", "option", "threat"),
+    (r"\brushes\b", "fast timings", "rushes"),
+    (r"\brush\b", "fast timing", "rush"),
+    (r"\bscouting\b", "vision", "scouting"),
+    (r"\bscout\b", "vision", "scout"),
+    (r"\benemy\b", "map", "enemy"),
+    (r"\bopponents\b", "games", "opponents"),
+    (r"\bopponent\b", "game", "opponent"),
+    (r"\bmove-out\b", "advance", "move-out"),
+    (r"\bmove out\b", "advance", "move out"),
+    (r"\bpoke\b", "small advance", "poke"),
+    (r"\bhold\b", "stabilize", "hold"),
+    (r"\bapply mobile map presence production tempo\b", "add mobile map presence", "mobile map presence"),
+    (r"\bmobile map presence production tempo\b", "mobile map presence", "mobile map presence"),
 ]
 # Closing sentences of a final step.
 CLOSINGS = [
@@ -87,6 +87,11 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"\A\s+|\s+\z", "")
 
 
+def bind(values: Column, use) -> Column:
+    """``use`` of a struct whose fields are worked out once."""
+    return F.transform(F.array(values), use)[0]
+
+
 def or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
@@ -328,9 +333,16 @@ def no_ordinals(text: Column) -> Column:
 
 
 def neutral_words(text: Column) -> Column:
-    for pattern, replacement in NEUTRAL_WORDS:
-        text = F.regexp_replace(text, "(?iU)" + pattern, replacement)
-    return single_line(text)
+    """Enemy wording replaced phrase by phrase; a phrase is only searched where a part of it occurs."""
+    phrases = F.array(*[F.struct(F.lit("(?iU)" + p).alias("p"), F.lit(r).alias("r"), F.lit(s).alias("s"))
+                        for p, r, s in NEUTRAL_WORDS])
+
+    def replace(t, phrase):
+        # The long s is the one letter that matches s but is not lowered to it.
+        near = F.contains(F.lower(t), phrase["s"]) | F.contains(t, F.lit("\u017f"))
+        return F.when(near, F.regexp_replace(t, phrase["p"], phrase["r"])).otherwise(t)
+
+    return single_line(F.aggregate(phrases, or_empty(text), replace))
 
 
 def closing_line(text: Column, number: Column) -> Column:

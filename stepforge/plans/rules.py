@@ -24,45 +24,57 @@ def joined(values: Column) -> Column:
 
 def rule_naming(gold: Column, generated: Column, cot: Column, canonical: Column) -> Column:
     """Reasons why generated items fail; empty means passed. Counts per type need not match."""
-    gold_names, names = names_of(gold), names_of(generated)
     total = F.aggregate(generated, F.lit(0).cast("bigint"), lambda t, i: t + i["count"])
-    missing, unknown = F.array_except(gold_names, names), F.array_except(names, canonical)
-    foreign = X.name_mentions(canonical, cot, F.concat(gold_names, names))
-    reasons = F.array_compact(F.array(
-        F.when(F.size(missing) > 0, F.concat(F.lit("missing gold types: "), joined(missing))),
-        F.when(F.size(unknown) > 0, F.concat(F.lit("non-canonical names: "), joined(unknown))),
-        F.when((total < LEAST_TASKS) | (total > MOST_TASKS), F.concat(F.lit("total must be 5-15, got "), total.cast("string"))),
-        F.when(F.size(foreign) > MOST_FOREIGN_NAMES, F.lit("reasoning mentions many other names"))))
-    return F.when(gold.isNull() | generated.isNull(), F.array(F.lit("parse_failed"))).otherwise(reasons)
+
+    def reasons(v):
+        missing, unknown = F.array_except(v["gold"], v["made"]), F.array_except(v["made"], canonical)
+        foreign = X.name_mentions(canonical, v["cot"], F.concat(v["gold"], v["made"]))
+        outside = (v["total"] < LEAST_TASKS) | (v["total"] > MOST_TASKS)
+        return F.when(v["failed"], F.array(F.lit("parse_failed"))).otherwise(F.array_compact(F.array(
+            F.when(F.size(missing) > 0, F.concat(F.lit("missing gold types: "), joined(missing))),
+            F.when(F.size(unknown) > 0, F.concat(F.lit("non-canonical names: "), joined(unknown))),
+            F.when(outside, F.concat(F.lit("total must be 5-15, got "), v["total"].cast("string"))),
+            F.when(F.size(foreign) > MOST_FOREIGN_NAMES, F.lit("reasoning mentions many other names")))))
+
+    return X.bind(F.struct(names_of(gold).alias("gold"), names_of(generated).alias("made"), total.alias("total"),
+                           cot.alias("cot"), (gold.isNull() | generated.isNull()).alias("failed")), reasons)
 
 
 def rule_ordering(prompt: Column, gold: Column, generated: Column, cot: Column) -> Column:
     """Reasons why a generated order fails: count, multiset, prompt, stated prerequisites, foreign tokens."""
-    listed = X.expand_counts(X.section(prompt, "Actions to order"))
-    source = F.when(F.size(listed) > 0, listed).otherwise(gold)
-    same = lambda a, b: F.array_sort(a) == F.array_sort(b)
-    place = lambda a: F.array_position(generated, a)
-    broken = F.filter(X.prereq_pairs(prompt), lambda p: (place(p["action"]) > 0) & (place(p["depends"]) > 0)
-                      & (place(p["action"]) < place(p["depends"])))
-    fixed = F.array_compact(F.array(
-        F.when(F.size(generated) != F.size(gold), F.lit("action count differs")),
-        F.when(~same(generated, gold), F.lit("action multiset differs from gold")),
-        F.when(~same(source, gold), F.lit("input multiset differs from gold"))))
-    order = F.transform(broken, lambda p: F.concat(p["depends"], F.lit(" must come before "), p["action"]))
-    foreign = F.array_compact(F.array(F.when(
-        F.size(X.token_mentions(cot, source)) > MOST_FOREIGN_TOKENS, F.lit("reasoning mentions many other tokens"))))
-    return F.when(gold.isNull() | generated.isNull(), F.array(F.lit("parse_failed"))).otherwise(
-        F.concat(fixed, order, foreign))
+    def reasons(v):
+        source = F.when(F.size(v["listed"]) > 0, v["listed"]).otherwise(v["gold"])
+        same = lambda a, b: F.array_sort(a) == F.array_sort(b)
+        place = lambda a: F.array_position(v["made"], a)
+        broken = F.filter(v["pairs"], lambda p: (place(p["action"]) > 0) & (place(p["depends"]) > 0)
+                          & (place(p["action"]) < place(p["depends"])))
+        fixed = F.array_compact(F.array(
+            F.when(F.size(v["made"]) != F.size(v["gold"]), F.lit("action count differs")),
+            F.when(~same(v["made"], v["gold"]), F.lit("action multiset differs from gold")),
+            F.when(~same(source, v["gold"]), F.lit("input multiset differs from gold"))))
+        order = F.transform(broken, lambda p: F.concat(p["depends"], F.lit(" must come before "), p["action"]))
+        foreign = F.array_compact(F.array(F.when(
+            F.size(X.token_mentions(v["cot"], source)) > MOST_FOREIGN_TOKENS, F.lit("reasoning mentions many other tokens"))))
+        return F.when(v["gold"].isNull() | v["made"].isNull(), F.array(F.lit("parse_failed"))).otherwise(
+            F.concat(fixed, order, foreign))
+
+    return X.bind(F.struct(
+        X.expand_counts(X.section(prompt, "Actions to order")).alias("listed"), X.prereq_pairs(prompt).alias("pairs"),
+        gold.alias("gold"), generated.alias("made"), cot.alias("cot")), reasons)
 
 
 def rule_executor(prompt: Column, gold: Column, generated: Column, cot: Column) -> Column:
     """Reasons why a chosen tag fails: no candidates, not a candidate, not the one reasoned about."""
-    legal, named = X.tags_in_text(prompt), X.tags_in_text(cot)
-    reasons = F.array_compact(F.array(
-        F.when(F.size(legal) == 0, F.lit("no candidate tags in prompt")),
-        F.when(~F.array_contains(legal, generated), F.lit("tag is not a candidate")),
-        F.when((F.size(named) > 0) & ~F.array_contains(named, generated), F.lit("reasoning names other tags"))))
-    return F.when(gold.isNull() | generated.isNull(), F.array(F.lit("parse_failed"))).otherwise(reasons)
+    def reasons(v):
+        return F.when(v["gold"].isNull() | v["made"].isNull(), F.array(F.lit("parse_failed"))).otherwise(
+            F.array_compact(F.array(
+                F.when(F.size(v["legal"]) == 0, F.lit("no candidate tags in prompt")),
+                F.when(~F.array_contains(v["legal"], v["made"]), F.lit("tag is not a candidate")),
+                F.when((F.size(v["named"]) > 0) & ~F.array_contains(v["named"], v["made"]),
+                       F.lit("reasoning names other tags")))))
+
+    return X.bind(F.struct(X.tags_in_text(prompt).alias("legal"), X.tags_in_text(cot).alias("named"), gold.alias("gold"),
+                           generated.alias("made")), reasons)
 
 
 def decide(samples: DataFrame, attempts: DataFrame, teacher: DataFrame, *, gated: Column | None = None,

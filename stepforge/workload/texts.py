@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stepforge.functions import text as X
 from stepforge.plans import rules as R
 from stepforge.workload.registry import query
-from stepforge.workload.views import cand_list, sample, sql_list, step, table, text_array, traj_raw
+from stepforge.workload.views import cand_list, sample, spread, sql_list, step, table, text_array, traj_raw
 
 TRIM = "regexp_replace({0}, '\\A\\s+|\\s+\\z', '', 'g')"
 KEYS = ["traj_id", "step_id"]
@@ -334,11 +334,11 @@ def war_text():
 
 @query("no_ordinals")
 def no_ordinals(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.no_ordinals(X.single_line(war_text())).alias("line"))
+    return spread(table(spark, sf, "documents")).select("doc_id", X.no_ordinals(X.single_line(war_text())).alias("line"))
 
 
 def neutral_sql(text):
-    for pattern, replacement in X.NEUTRAL_WORDS:
+    for pattern, replacement, _ in X.NEUTRAL_WORDS:
         text = f"regexp_replace({text}, '{pattern}', '{replacement}', 'gi')"
     return f"regexp_replace({trim_sql(text)}, '\\s+', ' ', 'g')"
 
@@ -349,7 +349,7 @@ WAR_SQL = ("replace(replace(replace(text, 'the ', 'the first enemy threat '), '
 
 @query("neutral_words", f"SELECT doc_id, {neutral_sql('t')} AS line FROM (SELECT doc_id, {WAR_SQL} AS t FROM documents)")
 def neutral_words(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.neutral_words(war_text()).alias("line"))
+    return spread(table(spark, sf, "documents")).select("doc_id", X.neutral_words(war_text()).alias("line"))
 
 
 @query("closing_line", f"""WITH l AS (SELECT conv_id, turns, array_to_string([x FOR x IN [{trim_sql('y')} FOR y IN
