@@ -1,4 +1,4 @@
-"""Batch forms of state that the reference kept in a frame loop.
+"""Batch forms of state that a frame loop would keep.
 
 Long histories are cut into blocks of time (see ``ordered``), so no operator
 needs the whole history of a key in one task.

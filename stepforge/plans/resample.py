@@ -99,7 +99,7 @@ def multiset_resample(rows: DataFrame, targets: DataFrame, seed: int) -> DataFra
     Every multiset keeps one row, no multiset exceeds its cap, and rows beyond
     the first pass only fill what a step still lacks. Caps are at most a few
     rows or a share of the multiset, counted before anything is ranked. Rows
-    are ordered by a seeded hash where the reference draws at random.
+    are ordered by a seeded hash where a generator would draw.
     """
     freq = rows.groupBy("multiset").agg(F.count(F.lit(1)).alias("freq"))
     unique = dedupe_summary(rows).withColumn("_h", F.xxhash64(F.lit(seed), "index"))

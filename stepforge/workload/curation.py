@@ -402,7 +402,8 @@ def step_targets(spark, sf):
 
 
 @query("largest_remainder", f"""WITH {TARGETS.format(total=TOTAL)}, r AS (SELECT step, floor(target) AS base, row_number() OVER (
-        ORDER BY target - floor(target) DESC, step DESC) AS rn, CAST({TOTAL} - sum(floor(target)) OVER () AS BIGINT) AS missing, count(*) OVER () AS n FROM targets)
+        ORDER BY target - floor(target) DESC, step DESC) AS rn, CAST(greatest(0, least({TOTAL} - sum(floor(target)) OVER (),
+        3 * count(*) OVER ())) AS BIGINT) AS missing, count(*) OVER () AS n FROM targets)
     SELECT step, CAST(base + missing // n + CASE WHEN rn <= missing % n THEN 1 ELSE 0 END AS BIGINT) AS units FROM r""")
 def largest_remainder(spark, sf):
     return R.largest_remainder(R.step_targets(parsed(spark, sf), TOTAL, 0.65), TOTAL).select("step", "units")
