@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 SECOND = 1_000_000
 
+# Executors get the small state handlers themselves, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     """A key's rows of one micro-batch by time; the size of a batch is set at the source."""
