@@ -31,7 +31,7 @@ from stepforge.llm.common import Scratch, as_bytes
 
 FACTORS = np.array([[0x9E3779B97F4A7C15], [0xC2B2AE3D27D4EB4F]], np.uint64)  # odd multipliers of the two window hashes
 RANGE_BITS = 22
-HELD = 1 << 22
+HELD = 1 << 21
 
 
 def word_windows(words: list[bytes], size: int) -> np.ndarray:
@@ -134,12 +134,12 @@ class Bitmaps:
 
 
 def cells_of(windows: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [(w >> np.uint64(64 - bits)).astype(np.int64) for w in windows]
+    return [(w >> np.uint64(64 - bits)).astype(np.uint32) for w in windows]
 
 
 def id_cells(ids: np.ndarray, bits: int) -> np.ndarray:
     x = ids.view(np.uint64) * FACTORS[0]
-    return ((x ^ x >> np.uint64(32)) * FACTORS[1] >> np.uint64(64 - bits)).astype(np.int64)
+    return ((x ^ x >> np.uint64(32)) * FACTORS[1] >> np.uint64(64 - bits)).astype(np.uint32)
 
 
 def sketched(frame: DataFrame, cells, depth: int, least: int) -> DataFrame:
