@@ -19,6 +19,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -104,21 +105,17 @@ def merged(rows: DataFrame, least: int) -> DataFrame:
 class Bitmaps:
     """The merged bitmaps on the executors, unpacked once per worker process."""
 
-    def __init__(self, spark: SparkSession, rows: DataFrame, depth: int, cell_bits: int):
-        import zlib
-
-        self.name, self.depth, self.bits = uuid.uuid4().hex, depth, cell_bits
+    def __init__(self, spark: SparkSession, rows: DataFrame, depth: int, cell_bits: int, job: str):
+        self.name, self.job, self.depth, self.bits = uuid.uuid4().hex, job, depth, cell_bits
         parts = {(r.row, r.part): zlib.compress(bytes(r.bits), 1) for r in rows.toLocalIterator()}
         self.sent = spark.sparkContext.broadcast(parts)
 
     def unpacked(self) -> list[np.ndarray]:
-        import zlib
-
         kept = sys.modules.setdefault("_stepforge_kept", types.ModuleType("_stepforge_kept")).__dict__
-        held = kept.setdefault("bitmaps", {})
+        if kept.get("bitmaps_job") != self.job:  # those of an earlier job go first
+            kept["bitmaps_job"], kept["bitmaps"] = self.job, {}
+        held = kept["bitmaps"]
         if self.name not in held:
-            while len(held) > 1:
-                held.pop(next(iter(held)))
             out = [np.zeros(1 << (self.bits - 3), np.uint8) for _ in range(self.depth)]
             size = 1 << (RANGE_BITS - 3)
             for (row, part), data in self.sent.value.items():
@@ -164,7 +161,7 @@ def sketched(frame: DataFrame, cells, depth: int, least: int) -> DataFrame:
     return merged(frame.mapInArrow(run, "row int, part int, met binary, again binary"), least)
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13, cell_bits: int = 29) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 13, cell_bits: int = 28) -> DataFrame:
     """Words of each row without those in a window that starts in a document of smaller id.
 
     Returns ``doc_id, n_words, n_removed, kept`` per row; ``kept`` joins the
@@ -179,7 +176,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError("cell_bits must lie between 22 and 32")
     spark = df.sparkSession
     scratch = Scratch(spark)
-    last_id = (1 << 63) - 1
+    last_id, job = (1 << 63) - 1, uuid.uuid4().hex
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(last_id)).alias("key"), F.col(id_col).cast("long").alias("doc_id"),
                      F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")).withColumn("digest", F.unhex(F.md5("text")))
     prints = docs.select("key", "digest")
@@ -188,7 +185,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def first_cells(batch):
         yield [id_cells(batch.column(0).to_numpy(zero_copy_only=False), 27)]
 
-    firsts = Bitmaps(spark, sketched(first.select("first"), first_cells, 1, 1), 1, 27)
+    firsts = Bitmaps(spark, sketched(first.select("first"), first_cells, 1, 1), 1, 27, job)
 
     def texts(batch):
         keys = batch.column(0).to_numpy(zero_copy_only=False)
@@ -205,7 +202,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             if len(words) >= size:
                 yield cells_of(word_windows(words, size), cell_bits)
 
-    sketch = Bitmaps(spark, sketched(docs.select("key", "text"), window_cells, 2, 2), 2, cell_bits)
+    sketch = Bitmaps(spark, sketched(docs.select("key", "text"), window_cells, 2, 2), 2, cell_bits, job)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(held):
