@@ -126,7 +126,7 @@ def quality_scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     def score(batches: Iterator) -> Iterator:
         for texts in batches:
-            x = np.array([statistics(b"" if t is None else bytes(t)) for t in texts]).reshape(-1, FEATURES)
+            x = np.array([statistics(b"" if t is None else t) for t in texts.to_pylist()]).reshape(-1, FEATURES)
             yield pa.array(model.score(x))
 
     scored = F.arrow_udf(score, "double", F.ArrowUDFType.SCALAR_ITER)

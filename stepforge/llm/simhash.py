@@ -183,5 +183,6 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     named = fingerprint_components(prints, distance, segments)
     scratch.free(prints)
     printed = df.withColumn("_fp", F.arrow_udf(run, "long", F.ArrowUDFType.SCALAR_ITER)(F.col(text_col).cast("binary")))
-    joined = printed.join(named.withColumnRenamed("component_id", "_first"), F.col("_fp") == F.col("fp"))
-    return joined.filter(F.col(id_col).cast("long").eqNullSafe(F.col("_first"))).drop("_fp", "fp", "_first")
+    firsts = named.select(F.col("fp").alias("_fp"), F.col("component_id").alias("_first"))
+    return printed.join(firsts, "_fp").filter(F.col(id_col).cast("long").eqNullSafe(F.col("_first"))).select(
+        *[printed[c] for c in df.columns])
