@@ -165,12 +165,21 @@ def json_candidate(text: Column, prefer_array: bool = False) -> Column:
     return F.coalesce(*([tries[1], tries[0]] if prefer_array else tries), bare)
 
 
-ITEMS_SCHEMA = "struct<items:array<struct<name:string,count:int>>>"
+ITEMS_SCHEMA = "struct<items:array<struct<name:string,count:string>>>"
+
+
+def whole_number(value: Column) -> Column:
+    """The integer that a JSON number or a string of digits stands for; fractions are cut, all else is null."""
+    trimmed = F.trim(value)
+    digits = F.rlike(trimmed, F.lit(r"\A[+-]?\d+\z"))
+    number = F.rlike(trimmed, F.lit(r"\A[+-]?\d+(\.\d+)?([eE][+-]?\d+)?\z"))
+    return F.when(digits, trimmed.try_cast("bigint")).when(number, trimmed.try_cast("double").try_cast("bigint"))
 
 
 def parse_items(json: Column) -> Column:
-    """Item list of an answer; null if it is not one or an item has no name or count."""
-    items = F.from_json(json, ITEMS_SCHEMA)["items"]
+    """Item list of an answer; null if it is not one, an item has no name or count, or text follows it."""
+    items = F.when(F.rlike(json, F.lit(r"\}\s*\z")), F.from_json(json, ITEMS_SCHEMA)["items"])
+    items = F.transform(items, lambda i: F.struct(i["name"].alias("name"), whole_number(i["count"]).cast("int").alias("count")))
     good = F.forall(items, lambda i: (F.coalesce(i["name"], F.lit("")) != "") & (F.coalesce(i["count"], F.lit(0)) > 0))
     return F.when(items.isNotNull() & good, items)
 
@@ -183,8 +192,8 @@ def parse_ordered(json: Column) -> Column:
 def parse_tags(json: Column) -> Column:
     """The one tag of an executor answer; a bare number counts as a list of one."""
     listed = F.when(F.rlike(json, F.lit(r"\A\s*-?\d+\s*\z")), F.concat(F.lit("["), json, F.lit("]"))).otherwise(json)
-    tags = F.from_json(listed, "array<bigint>")
-    return F.when((F.size(tags) == 1) & tags[0].isNotNull(), tags[0])
+    tags = F.when(F.rlike(listed, F.lit(r"\]\s*\z")), F.from_json(listed, "array<string>"))
+    return F.when(F.size(tags) == 1, whole_number(tags[0]))
 
 
 def section(text: Column, heading: str) -> Column:

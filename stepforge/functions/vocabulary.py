@@ -17,7 +17,14 @@ BOUNDARY_ACTIONS = [
 ]
 
 # Actions that stay with the action before them.
-STICKY_ACTIONS = ["BUILD_TECHLAB_FACTORY", "BUILD_REACTOR_STARPORT"]
+STICKY_ACTIONS = [
+    "BUILD_TECHLAB_FACTORY",
+    "BUILD_TECHLAB_STARPORT",
+    "BUILD_TECHLAB_BARRACKS",
+    "BUILD_REACTOR_BARRACKS",
+    "BUILD_REACTOR_FACTORY",
+    "BUILD_REACTOR_STARPORT",
+]
 
 # Prefixes of unit training actions.
 TRAIN_PREFIXES = [

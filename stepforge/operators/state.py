@@ -39,6 +39,8 @@ def trailing_count(rows: DataFrame, keys: Sequence[str], seconds: int, block_sec
     Rows near the end of a block are copied into the next one, so a block
     counts alone; ``block_seconds`` is at least ``seconds``.
     """
+    if block_seconds < seconds:
+        raise ValueError("a block must be as long as the time looked back")
     width, reach = block_seconds * SECOND, seconds * SECOND
     own = rows.withColumn(BLOCK, F.floor(F.col(time) / width)).withColumn("_own", F.lit(True))
     ahead = F.floor((F.col(time) + reach) / width)
@@ -182,11 +184,12 @@ def ghosts(sightings: DataFrame, keys: Sequence[str], now: int, air_age: float,
     latest = past.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.when(seen, F.col("us"))).alias("_last"),
         F.max(F.when(F.col("kind") == "destroyed", F.col("us"))).alias("_dead"),
-        F.max(F.when(F.col("kind") == "empty", F.struct("us", "detected"))).alias("_empty"))
+        F.max(F.when(F.col("kind") == "empty", F.col("us"))).alias("_empty"),
+        F.max(F.when((F.col("kind") == "empty") & F.col("detected"), F.col("us"))).alias("_searched"))
     last = F.col("_last")
     age = (F.lit(now) - last["us"]) / SECOND
     limit = F.when(last["flying"], air_age).otherwise(ground_age)
-    emptied = (F.col("_empty.us") > last["us"]) & (~last["burrowed"] | F.col("_empty.detected"))
+    emptied = F.when(last["burrowed"], F.col("_searched")).otherwise(F.col("_empty")) > last["us"]
     kept = latest.filter(last.isNotNull() & F.col("_dead").isNull() & (age > 0) & (age <= limit)
                          & ~F.coalesce(emptied, F.lit(False)))
     return kept.select(*keys, *[last[c].alias(c) for c in rest], age.alias("age"))

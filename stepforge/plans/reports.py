@@ -32,18 +32,20 @@ def label_qa(expected: DataFrame, docs: DataFrame, key: str) -> DataFrame:
     return totals.withColumn("passed", clean & (F.col("existing") > 0))
 
 
-def row_issues(rows: DataFrame, key: str, text: Column, mark: Column, no_obs: Column, limit: int) -> DataFrame:
-    """First rows with an issue, in key order."""
+def row_issues(rows: DataFrame, key: str, text: Column, mark: Column, no_obs: Column, limit: int | None = None) -> DataFrame:
+    """Rows with an issue; the first ``limit`` of them in key order, if given."""
     issues = F.array_compact(F.array(
         F.when(F.trim(text) == "", "empty_step_text"), F.when(F.contains(text, mark), "llm_call_failed_mark"),
         F.when(no_obs, "missing_obs_text")))
     found = rows.select(key, issues.alias("issues")).filter(F.size("issues") > 0)
-    return found.orderBy(key).limit(limit).select(key, F.concat_ws(",", "issues").alias("issues"))
+    if limit is not None:
+        found = found.orderBy(key).limit(limit)
+    return found.select(key, F.concat_ws(",", "issues").alias("issues"))
 
 
-def fail_reasons(rows: DataFrame, reasons: str, limit: int) -> DataFrame:
+def fail_reasons(rows: DataFrame, reasons: str, limit: int | None = None) -> DataFrame:
     counted = rows.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-    return counted.orderBy(F.desc("n"), "reason").limit(limit)
+    return counted if limit is None else counted.orderBy(F.desc("n"), "reason").limit(limit)
 
 
 def injection_progress(rows: DataFrame, task: str) -> DataFrame:

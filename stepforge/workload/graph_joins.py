@@ -16,7 +16,7 @@ ITEM_KINDS = "('Build', 'BuildOnUnit', 'BuildInstant', 'Train', 'Morph', 'Resear
 
 @query("action_to_item", f"""
     SELECT event_id, traj.ability, CASE WHEN kind IN {ITEM_KINDS} THEN result END AS item
-    FROM traj LEFT JOIN ability USING (ability)""", using="traj ability")
+    FROM traj LEFT JOIN ability ON ability.ability = traj.ability""", using="traj ability")
 def action_to_item(spark, sf):
     return A.action_to_item(traj_raw(spark, sf), graph(spark, "ability")).select("event_id", "ability", "item")
 
@@ -113,15 +113,14 @@ def product_to_action(spark, sf):
 
 
 @query("annotate_actions", """
-    SELECT event_id, traj.ability, coalesce(result, '(no product)') AS product, coalesce(type, '-') AS type,
+    SELECT event_id, traj.ability, coalesce(result, CASE WHEN contains(traj.ability, '_') AND upper(split_part(traj.ability, '_', -1)) = split_part(traj.ability, '_', -1) THEN split_part(traj.ability, '_', -1) END, '(no product)') AS product, coalesce(type, '-') AS type,
            coalesce(minerals, 0) AS minerals, coalesce(gas, 0) AS gas, coalesce(needs, '') AS requires,
            coalesce(is_structure, false) AS is_structure, coalesce(is_addon, false) AS is_addon,
            result IS NOT NULL AS has_product
-    FROM traj JOIN ability USING (ability) LEFT JOIN entity ON result = name
-    WHERE traj.ability NOT IN ('MOVE_MOVE')""", using="traj ability entity")
+    FROM traj LEFT JOIN ability ON ability.ability = traj.ability LEFT JOIN entity ON result = name""", using="traj ability entity")
 def annotate_actions(spark, sf):
     ability, entity = graph(spark, "ability"), graph(spark, "entity")
-    rows = traj_raw(spark, sf).filter(F.col("ability") != "MOVE_MOVE").join(ability, "ability", "left")
+    rows = traj_raw(spark, sf).join(ability, "ability", "left")
     rows = rows.join(entity, F.col("result") == F.col("name"), "left")
     return rows.select(
         "event_id", "ability", A.simple_product(F.col("ability"), F.col("result")).alias("product"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stepforge.functions.vocabulary import (
-    BOUNDARY_ACTIONS, GAS_HEAVY_ACTIONS, IMPLIED_ENTITIES, PRODUCTION_ACTIONS, STICKY_ACTIONS, WORKER_ACTIONS,
+    BOUNDARY_ACTIONS, GAS_HEAVY_ACTIONS, IMPLIED_ENTITIES, PRODUCTION_ACTIONS, WORKER_ACTIONS,
 )
 from stepforge.operators import actions as A
 from stepforge.operators.closure import close_entities, implication_closure
@@ -22,8 +22,10 @@ def quoted(names):
     return "(" + ", ".join(f"'{n}'" for n in names) + ")"
 
 
+STICKY_SQL = """('BUILD_TECHLAB_FACTORY', 'BUILD_TECHLAB_STARPORT', 'BUILD_TECHLAB_BARRACKS',
+    'BUILD_REACTOR_BARRACKS', 'BUILD_REACTOR_FACTORY', 'BUILD_REACTOR_STARPORT')"""
 SCORE_SQL = f"""scored AS (SELECT traj_id, seq, ability, event_id, CASE WHEN seq = 0 THEN -1.0
-    WHEN ability IN {quoted(STICKY_ACTIONS)} THEN -0.5 WHEN ability NOT IN {quoted(BOUNDARY_ACTIONS)} THEN 0.2
+    WHEN ability IN {STICKY_SQL} THEN -0.5 WHEN ability NOT IN {quoted(BOUNDARY_ACTIONS)} THEN 0.2
     WHEN seq = min(CASE WHEN seq > 0 THEN seq END) OVER (PARTITION BY traj_id, ability) THEN 1.0 ELSE 0.8 END AS score
     FROM traj)"""
 SPLIT_SQL = SCORE_SQL + """,
@@ -315,17 +317,16 @@ def first_index_order(spark, sf):
 
 @query("action_table", """
     WITH w AS (SELECT CAST(max(length(ability)) AS INTEGER) AS n FROM ability)
-    SELECT event_id, rpad(traj.ability, n, ' ') || '  ' || rpad(coalesce(result, '(no product)'), 28, ' ') || ' '
+    SELECT event_id, rpad(traj.ability, n, ' ') || '  ' || rpad(coalesce(result, CASE WHEN contains(traj.ability, '_') AND upper(split_part(traj.ability, '_', -1)) = split_part(traj.ability, '_', -1) THEN split_part(traj.ability, '_', -1) END, '(no product)'), 28, ' ') || ' '
         || rpad(coalesce(type, '-'), 8, ' ') || ' ' || lpad(CASE WHEN coalesce(minerals, 0) + coalesce(gas, 0) > 0
             THEN minerals || '/' || gas ELSE '-' END, 14, ' ') || ' ' || rpad(coalesce(needs, '-'), 20, ' ') AS line
-    FROM traj JOIN ability USING (ability) LEFT JOIN entity ON result = name, w WHERE traj.ability <> 'MOVE_MOVE'""",
+    FROM traj JOIN ability USING (ability) LEFT JOIN entity ON result = name, w""",
        using="traj ability entity")
 def action_table(spark, sf):
     ability, entity = graph(spark, "ability"), graph(spark, "entity")
     facts = ability.join(entity, F.col("result") == F.col("name"), "left").select(
         "ability", "result", F.col("needs").alias("requires"), "type", "minerals", "gas")
-    rows = traj_raw(spark, sf).filter(F.col("ability") != "MOVE_MOVE")
-    return A.action_table(rows, facts).select("event_id", "line")
+    return A.action_table(traj_raw(spark, sf), facts).select("event_id", "line")
 
 
 @query("build_order_script", """

@@ -86,4 +86,4 @@ def append_log(spark, sf):
     SELECT traj_id * 1000 + k AS guid, arg_max(event_id, us) AS event_id FROM traj GROUP BY 1""", using="traj")
 def history_upsert_stream(spark, sf):
     rows = events(spark, sf).select((F.col("traj_id") * 1000 + F.col("k")).alias("guid"), "event_id", "us")
-    return spark.read.parquet(sinks.upsert(rows, run_folder(spark, "history"), "guid")).select("guid", "event_id")
+    return sinks.read_upserted(spark, sinks.upsert(rows, run_folder(spark, "history"), "guid")).select("guid", "event_id")

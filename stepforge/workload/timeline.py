@@ -81,11 +81,11 @@ NOW = 1706486400_000_000  # 2024-01-29 00:00 UTC
                WHERE us <= {NOW}),
     l AS (SELECT traj_id, tag, max(us) FILTER (kind = 'seen') AS us, arg_max(flying, us) FILTER (kind = 'seen') AS flying,
           arg_max(burrowed, us) FILTER (kind = 'seen') AS burrowed, bool_or(kind = 'destroyed') AS dead,
-          max(us) FILTER (kind = 'empty') AS empty, arg_max(detected, us) FILTER (kind = 'empty') AS detected
+          list(us) FILTER (kind = 'empty') AS empties, list(us) FILTER (kind = 'empty' AND detected) AS searches
           FROM s GROUP BY ALL)
     SELECT traj_id, tag, us, round(({NOW} - us) / 1e6, 3) AS age FROM l
     WHERE us IS NOT NULL AND NOT dead AND ({NOW} - us) / 1e6 BETWEEN 0.000001 AND CASE WHEN flying THEN 400000 ELSE 900000 END
-      AND NOT coalesce(empty > us AND (NOT burrowed OR detected), false)""", using="traj")
+      AND len(list_filter(coalesce(CASE WHEN burrowed THEN searches ELSE empties END, []), lambda e: e > us)) = 0""", using="traj")
 def ghost_units(spark, sf):
     kind = F.when(F.col("event_type") == "error", "destroyed").when(
         F.col("event_type") == "signup", "empty").otherwise("seen")

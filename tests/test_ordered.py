@@ -197,3 +197,37 @@ def test_army_buckets(spark):
         [(30.0, 9.0), (30.0, 29.0), (3.0, 2.0), (9.0, 30.0), (0.5, 0.1)])], f"i int, own {struct}, enemy {struct}")
     got = [r.b for r in df.select("i", battle.army_bucket().alias("b")).orderBy("i").collect()]
     assert got == ["OverwhelmingAdvantage", "Even", "SlightAdvantage", "OverwhelmingDisadvantage", "Even"]
+
+
+def test_every_add_on_sticks(spark):
+    """Hand-made order: the first action, an add-on of each kind, a first and a later boundary, a plain one."""
+    from stepforge.functions.vocabulary import STICKY_ACTIONS
+
+    add_ons = {f"BUILD_{kind}_{host}" for kind in ("TECHLAB", "REACTOR") for host in ("BARRACKS", "FACTORY", "STARPORT")}
+    assert set(STICKY_ACTIONS) == add_ons
+
+
+def test_a_burrowed_unit_is_a_ghost_until_searched(spark):
+    from stepforge.operators.state import ghosts
+
+    second = 1_000_000
+    rows = [(tag, t * second, kind, False, burrowed, detected) for tag, burrowed, events in [
+        (1, True, [(1, "seen", False), (10, "empty", True), (20, "empty", False)]),
+        (2, True, [(1, "seen", False), (20, "empty", False)]),
+        (3, False, [(1, "seen", False), (20, "empty", False)]),
+        (4, True, [(1, "empty", True), (5, "seen", False)])] for t, kind, detected in events]
+    frame = spark.createDataFrame(rows, "tag long, us long, kind string, flying boolean, burrowed boolean, detected boolean")
+    assert {r.tag for r in ghosts(frame, ["tag"], 30 * second, 100, 100).collect()} == {2, 4}
+
+
+def test_answers_read_numbers_like_int(spark):
+    from pyspark.sql import functions as F
+
+    from stepforge.functions.text import parse_items, parse_tags
+
+    answers = ['{"items": [{"name": "A", "count": "2"}]}', '{"items": [{"name": "A", "count": 2.0}]}', '{"items": [{"name": "A", "count": 0}]}',
+               '{"items": [{"name": "A", "count": 2}]} tail', '{"items": [{"name": "A", "count": "x"}]}']
+    frame = spark.createDataFrame([(a,) for a in answers], "a string")
+    assert [r[0] and r[0][0]["count"] for r in frame.select(parse_items(F.col("a"))).collect()] == [2, 2, None, None, None]
+    tags = spark.createDataFrame([('["5"]',), ("[5.0]",), ("[5]",), ("7",), ("[1, 2]",), ("[5] x",)], "a string")
+    assert [r[0] for r in tags.select(parse_tags(F.col("a"))).collect()] == [5, 5, 5, 7, None, None]

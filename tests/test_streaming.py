@@ -83,5 +83,12 @@ def test_logs_and_upserts_resume(spark, tmp_path):
     sinks.append_log(rows, logs, {"audit": F.col("kind") == "a", "rejected": F.col("kind") != "a"})
     assert sinks.read_log(spark, logs, "audit").count() == 1
     assert sinks.read_log(spark, logs, "rejected").count() == 2
-    path = sinks.upsert(rows, table, "tag")
-    assert {r.tag: r.event_id for r in spark.read.parquet(path).collect()} == {7: 3, 8: 2}
+    found = lambda: {r.tag: r.event_id for r in sinks.read_upserted(spark, table).collect()}
+    sinks.upsert(rows, table, "tag")
+    assert found() == {7: 3, 8: 2}
+    # A later run on the same checkpoint keeps what was there; an older row replaces nothing.
+    feed(spark, source, [(1, 9, "a", False, second(4), 4), (1, 7, "a", False, second(2), 5)], "c")
+    sinks.upsert(rows, table, "tag")
+    assert found() == {7: 3, 8: 2, 9: 4}
+    sinks.upsert(rows, table, "tag")
+    assert found() == {7: 3, 8: 2, 9: 4}
