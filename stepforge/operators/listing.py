@@ -54,14 +54,15 @@ def counted_text(entries: Column) -> Column:
         e["n"] > 1, F.concat(e["name"], F.lit(" x "), e["n"].cast("string"))).otherwise(e["name"])))
 
 
-def pending_text(entries: Column, limit: int = 40) -> Column:
-    """Pending lines with issue counts, at most ``limit`` of them."""
+def pending_text(entries: Column, limit: int | None = None) -> Column:
+    """Pending lines with issue counts; the first ``limit`` of them, if given."""
     def line(e):
         n = e["n"].cast("string")
         many = F.concat(F.lit("  - "), e["name"], F.lit(" x"), n, F.lit(" (0/"), n, F.lit(" issued) [PENDING]"))
         return F.when(e["n"] > 1, many).otherwise(F.concat(F.lit("  - "), e["name"], F.lit(" [PENDING]")))
 
-    return F.concat_ws("\n", F.transform(F.slice(entries, 1, limit), line))
+    shown = entries if limit is None else F.slice(entries, 1, limit)
+    return F.concat_ws("\n", F.transform(shown, line))
 
 
 def multiset_equal(left: Column, right: Column) -> Column:

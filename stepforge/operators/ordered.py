@@ -31,22 +31,26 @@ def blocked_window(
     lags: Mapping[str, Column] | None = None,
     leads: Mapping[str, Column] | None = None,
     last_known: Mapping[str, Column] | None = None,
+    next_known: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add running columns over each key in ascending ``order``.
 
     ``block`` must not decrease along ``order`` and must be non-null, as must
     the keys. ``number`` is the dense position from 0; ``sums``, ``maxima`` and
     ``minima`` include the current row; ``lags`` and ``leads`` read the
-    neighbouring row; ``last_known`` is the latest non-null value so far.
+    neighbouring row; ``last_known`` is the latest non-null value so far and
+    ``next_known`` the first one from the current row on.
     """
     keys, order = list(keys), list(order)
     sums, maxima, minima = dict(sums or {}), dict(maxima or {}), dict(minima or {})
     lags, leads, known = dict(lags or {}), dict(leads or {}), dict(last_known or {})
+    ahead = dict(next_known or {})
     rows = df.withColumn(BLOCK, block)
     at = F.struct(*order)
 
     summary, carry = [], {}
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(1, Window.unboundedFollowing)
     beside = Window.partitionBy(*keys).orderBy(BLOCK)
 
     def keep(name, aggregate, over):
@@ -69,6 +73,10 @@ def blocked_window(
         keep(name, F.max_by(value, F.when(value.isNotNull(), at)),
              lambda c: F.last(c, ignorenulls=True).over(before))
 
+    for name, value in ahead.items():
+        keep(name, F.min_by(value, F.when(value.isNotNull(), at)),
+             lambda c: F.first(c, ignorenulls=True).over(after))
+
     blocks = rows.groupBy(*keys, BLOCK).agg(*summary)
     blocks = blocks.select(*keys, BLOCK, *[c.alias(n) for n, c in carry.items()])
     out = rows.join(blocks, [*keys, BLOCK])
@@ -94,6 +102,9 @@ def blocked_window(
     for name, value in known.items():
         own = F.last(value, ignorenulls=True).over(so_far)
         added[name] = F.coalesce(own, F.col(f"_c_{name}"))
+    for name, value in ahead.items():
+        own = F.first(value, ignorenulls=True).over(inside.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        added[name] = F.coalesce(own, F.col(f"_c_{name}"))
     return out.select(*df.columns, *[c.alias(n) for n, c in added.items()])
 
 

@@ -53,16 +53,17 @@ def trailing_count(rows: DataFrame, keys: Sequence[str], seconds: int, block_sec
 def commits(issued: DataFrame, seen: DataFrame, keys: Sequence[str], wait: float, time: str = "us") -> DataFrame:
     """Issued actions with the first confirmation within ``wait`` seconds, else null.
 
-    Both sides meet on (key, slot of ``wait`` seconds); an issue looks into its
-    own slot and the next, so a busy key is spread over its slots.
+    Issues and confirmations are put in one order per key and every issue takes
+    the next confirmation, its own time included: no pairs are made and equal
+    issues stay rows of their own. Keys and times are non-null.
     """
     width = int(wait * SECOND)
-    slot = F.floor(F.col(time) / width)
-    asked = issued.withColumn("_slot", F.explode(F.array(slot, slot + 1)))
-    found = seen.select(*keys, F.col(time).alias("_seen"), slot.alias("_slot"))
-    pairs = asked.join(found, [*keys, "_slot"], "left")
-    hit = (F.col("_seen") >= F.col(time)) & (F.col("_seen") <= F.col(time) + width)
-    return pairs.groupBy(*issued.columns).agg(F.min(F.when(hit, F.col("_seen"))).alias("committed"))
+    asked = issued.withColumns({"_kind": F.lit(0), "_seen": F.lit(None).cast("bigint")})
+    found = seen.select(*keys, time, F.lit(1).alias("_kind"), F.col(time).alias("_seen"))
+    both = asked.unionByName(found, allowMissingColumns=True)
+    out = blocked_window(both, keys, [time, "_kind"], F.floor(F.col(time) / width), next_known={"_next": F.col("_seen")})
+    hit = F.col("_next") <= F.col(time) + width
+    return out.filter("_kind = 0").select(*issued.columns, F.when(hit, F.col("_next")).alias("committed"))
 
 
 def accepted_issues(rows: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, wait: float,
@@ -137,20 +138,23 @@ def frame_changes(frames: DataFrame, unit: Sequence[str], order: Sequence[str],
                   time: str = "us") -> DataFrame:
     """Change events of a unit between its successive sightings.
 
-    ``frames`` has kind, health and progress; a pause above ``gap`` seconds
-    means that the unit left view and came back.
+    ``frames`` has kind, health, shield, progress and destroyed; a pause above
+    ``gap`` seconds means that the unit left view and came back. Damage is the
+    sum of what health and shield lost; a unit first seen whole is completed.
     """
-    state = F.struct(time, "kind", "health", "progress")
+    state = F.struct(time, "kind", "health", "shield", "progress")
     rows = blocked_window(frames, unit, order, block, lags={"_was": state}, leads={"_next": F.col(time)})
     was, wide = F.col("_was"), gap * SECOND
     changed = [
         ("created", was.isNull(), F.lit(0.0)),
         ("entered_view", F.col(time) - was[time] > wide, F.lit(0.0)),
         ("left_view", F.col("_next") - F.col(time) > wide, F.lit(0.0)),
-        ("damaged", F.col("health") < was["health"], was["health"] - F.col("health")),
+        ("damaged", (F.col("health") < was["health"]) | (F.col("shield") < was["shield"]),
+         was["health"] - F.col("health") + was["shield"] - F.col("shield")),
         ("type_changed", F.col("kind") != was["kind"], F.lit(0.0)),
         ("construction_started", was.isNull() & (F.col("progress") < 1), F.lit(0.0)),
-        ("construction_completed", (F.col("progress") >= 1) & (was["progress"] < 1), F.lit(0.0)),
+        ("construction_completed", (F.col("progress") >= 1) & (was.isNull() | (was["progress"] < 1)), F.lit(0.0)),
+        ("destroyed", F.col("destroyed") & was.isNotNull(), F.lit(0.0)),
         ("last_seen", F.col("_next").isNull(), F.lit(0.0)),
     ]
     events = F.array_compact(F.array(*[

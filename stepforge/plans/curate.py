@@ -65,6 +65,12 @@ def cap_stats(rows: DataFrame, n: int) -> DataFrame:
         "under_target", F.col("selected") < n)
 
 
+def one_per_reasoning(rejects: DataFrame, key: str, reasoning: str, order: str, start: int | None = None) -> DataFrame:
+    """The first reject per gold answer and reasoning, or per its first ``start`` characters if given."""
+    said = F.col(reasoning) if start is None else F.substring(reasoning, 1, start)
+    return first_per_key(rejects.withColumn("_said", said), [key, "_said"], [F.col(order)]).drop("_said")
+
+
 def rank_allocate(passing: DataFrame, samples: DataFrame, block_rows: Column, block_samples: Column,
                   order: Sequence[str]) -> DataFrame:
     """The n-th passing row of a gold key takes the n-th sample index of that key."""

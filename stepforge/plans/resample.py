@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from stepforge.operators.keyed import first_per_key
 from stepforge.operators.ordered import numbered
+from stepforge.session import cut_lineage
 
 
 def step_balance(rows: DataFrame, step: str) -> DataFrame:
@@ -92,32 +93,75 @@ def dedupe_summary(rows: DataFrame) -> DataFrame:
     return first_per_key(rows, ["multiset", "summary"], [-F.col("step"), F.col("index")])
 
 
-def multiset_resample(rows: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
+def _slices() -> Column:
+    return F.shiftright(F.col("_h"), 48)
+
+
+def _room(steps: DataFrame, chosen: DataFrame | None) -> DataFrame:
+    """``(step, room)`` of steps that lack rows; one row per step number."""
+    if chosen is None:
+        return steps.select("step", F.col("units").alias("room")).filter("room > 0")
+    taken = chosen.groupBy("step").agg(F.count(F.lit(1)).alias("taken"))
+    return steps.join(taken, "step", "left").select(
+        "step", (F.col("units") - F.coalesce("taken", F.lit(0))).alias("room")).filter("room > 0")
+
+
+def one_per_multiset(known: DataFrame, steps: DataFrame) -> DataFrame:
+    """One row of every multiset, in a step that lacks rows where it has such a one.
+
+    In each round a multiset that waits draws a step among those with room, by
+    weight of the room, and a step admits as many as it has room for. A round
+    fills a step or admits all that asked, so there are at most as many rounds
+    as steps and one more. Multisets whose steps are all full then take their
+    row of the largest target.
+    """
+    chosen, rounds = None, 0
+    while True:
+        waiting = known if chosen is None else known.join(chosen.select("multiset"), "multiset", "left_anti")
+        drawn = (F.pmod(F.xxhash64(F.lit(rounds), "_h"), F.lit(1 << 53)) + 0.5) / float(1 << 53)
+        asked = first_per_key(waiting.join(_room(steps, chosen), "step"), ["multiset"], [
+            -F.ln(drawn) / F.col("room"), F.col("_h"), F.col("index")])
+        admitted = cut_lineage(numbered(asked, ["step"], ["_h", "index"], _slices(), "_n").filter("_n < room").select(
+            "index", "step", "multiset"))
+        if admitted.isEmpty():
+            break
+        chosen, rounds = admitted if chosen is None else chosen.unionByName(admitted), rounds + 1
+    units = waiting.join(steps, "step", "left").withColumn("units", F.coalesce("units", F.lit(0)))
+    rest = first_per_key(units, ["multiset"], [-F.col("units"), F.col("_h"), F.col("index")]).select("index", "step", "multiset")
+    return cut_lineage(rest if chosen is None else chosen.unionByName(rest))
+
+
+def multiset_resample(rows: DataFrame, targets: DataFrame, seed: int, soft_max: int | None = None) -> DataFrame:
     """Selected rows: one per multiset, then steps filled up within multiset caps.
 
     ``rows`` has index, step, summary, multiset; ``targets`` has step, units.
     Every multiset keeps one row, no multiset exceeds its cap, and rows beyond
-    the first pass only fill what a step still lacks. Caps are at most a few
-    rows or a share of the multiset, counted before anything is ranked. Rows
-    are ordered by a seeded hash where a generator would draw.
+    the first pass only fill what a step still lacks. The second pass ends when
+    every row left has a full step or a multiset at its cap: each round lets a
+    multiset offer as many rows as it may still keep, then a step takes as many as
+    it lacks, so that afterwards each multiset is at its cap or one of its steps
+    is full. ``soft_max`` bounds all rows selected, except that the first pass is whole. Rows are ordered by
+    a seeded hash where a generator would draw. Rounds run when the plan is built.
     """
     freq = rows.groupBy("multiset").agg(F.count(F.lit(1)).alias("freq"))
-    unique = dedupe_summary(rows).withColumn("_h", F.xxhash64(F.lit(seed), "index"))
-    known = unique.join(targets.select("step", "units"), "step", "left").withColumn("units", F.coalesce("units", F.lit(0)))
-    order = [-F.col("units"), F.col("_h"), F.col("index")]
-    first = first_per_key(known, ["multiset"], order)
-    taken = first.groupBy("step").agg(F.count(F.lit(1)).alias("taken"))
-    rest = known.join(first.select("index"), "index", "left_anti").join(freq, "multiset")
-    rest = rest.withColumn("cap", cap_for_freq(F.col("freq")))
-    # Place of a row inside its multiset, numbered per slice of the hash.
-    slices = F.shiftright(F.col("_h"), 48)
-    placed = numbered(rest, ["multiset"], ["_h", "index"], slices, "_in").filter(F.col("_in") + 1 < F.col("cap"))
-    lacking = targets.join(taken, "step", "left").select(
-        "step", (F.col("units") - F.coalesce("taken", F.lit(0))).alias("room")).filter(F.col("room") > 0)
-    fill = numbered(placed.join(lacking, "step"), ["step"], ["_in", "_h", "index"],
-                    F.col("_in") * 65536 + slices + 32768, "_fill").filter(F.col("_fill") < F.col("room"))
-    columns = ["index", "step", "summary", "multiset"]
-    return first.select(*columns, F.lit(1).alias("pass")).unionByName(fill.select(*columns, F.lit(2).alias("pass")))
+    known = cut_lineage(dedupe_summary(rows).join(freq, "multiset").select(
+        "index", "step", "summary", "multiset", cap_for_freq(F.col("freq")).alias("cap"), F.xxhash64(F.lit(seed), "index").alias("_h")))
+    steps, ids = cut_lineage(targets.select("step", "units")), known.drop("summary")
+    chosen = one_per_multiset(ids.drop("cap"), steps).withColumn("pass", F.lit(1))
+    while True:
+        kept = chosen.groupBy("multiset").agg(F.count(F.lit(1)).alias("kept"))
+        left = ids.join(chosen.select("index"), "index", "left_anti").join(_room(steps, chosen), "step").join(kept, "multiset").filter(
+            "kept < cap")
+        offered = numbered(left, ["multiset"], ["_h", "index"], _slices(), "_in").filter("_in + kept < cap")
+        fill = numbered(offered, ["step"], ["_in", "_h", "index"], F.col("_in") * 65536 + _slices() + 32768, "_fill").filter("_fill < room")
+        if soft_max is not None:
+            fill = numbered(fill.withColumn("_all", F.lit(0)), ["_all"], ["_h", "index"], _slices(), "_n").filter(
+                F.col("_n") < soft_max - chosen.count())
+        added = cut_lineage(fill.select("index", "step", "multiset", F.lit(2).alias("pass")))
+        if added.isEmpty():
+            break
+        chosen = chosen.unionByName(added)
+    return known.select("index", "step", "summary", "multiset").join(chosen.select("index", "pass"), "index")
 
 
 def resample_report(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -134,8 +178,10 @@ def resample_report(before: DataFrame, after: DataFrame) -> DataFrame:
 def top_multisets(rows: DataFrame, n: int = 15) -> DataFrame:
     """Most common multisets with their percentage of all rows."""
     counted = rows.groupBy("multiset").agg(F.count(F.lit(1)).alias("count"))
-    total = counted.agg(F.sum("count").alias("_all"))
-    most = counted.orderBy(F.desc("count"), "multiset").limit(n)
-    # The total is one row; the listed multisets are few.
-    return most.withColumn("_k", F.lit(1)).join(total.withColumn("_k", F.lit(1)), "_k").select(
-        "multiset", "count", F.round(100 * F.col("count") / F.col("_all"), 2).alias("pct"))
+    most = counted.orderBy(F.desc("count"), "multiset").limit(n).select("multiset", "count")
+    # The total is one row beside the few that are listed.
+    total = counted.agg(F.lit(None).cast("string").alias("multiset"), F.sum("count").alias("count"))
+    both = most.withColumn("_all", F.lit(False)).unionByName(total.withColumn("_all", F.lit(True)))
+    whole = F.max(F.when(F.col("_all"), F.col("count"))).over(Window.partitionBy())
+    return both.withColumn("_whole", whole).filter("NOT _all").select(
+        "multiset", "count", F.round(100 * F.col("count") / F.col("_whole"), 2).alias("pct"))

@@ -119,6 +119,9 @@ class ClassGate(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.kept = handle.getValueState("kept", "n bigint")
 
+    def handleInitialState(self, key, initialState, timerValues):
+        self.kept.update((int(initialState["existing"].sum()),))
+
     def handleInputRows(self, key, rows, timerValues):
         kept = self.kept.get()[0] if self.kept.exists() else 0
         for frame in rows:
@@ -175,9 +178,11 @@ def expired_units(rows: DataFrame, air_age: float, ground_age: float, late: str
         LastSeenUnits(air_age, ground_age), "traj_id bigint, tag bigint, us bigint, flying boolean", "Append", "EventTime")
 
 
-def class_gate(rows: DataFrame, target: int) -> DataFrame:
+def class_gate(rows: DataFrame, target: int, existing: DataFrame | None = None) -> DataFrame:
+    """``existing`` has class and existing: what an earlier run admitted."""
+    begin = existing.groupBy("class") if existing is not None else None
     return rows.groupBy("class").transformWithStateInPandas(
-        ClassGate(target), "class string, index bigint", "Append", "None")
+        ClassGate(target), "class string, index bigint", "Append", "None", begin)
 
 
 def frame_changes(rows: DataFrame) -> DataFrame:

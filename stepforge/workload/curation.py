@@ -265,7 +265,7 @@ def gold_index(spark, sf):
 ALLOCATE = CLASSED + """, tried AS (SELECT index AS row, label AS key, CASE WHEN status = 'O' THEN 0 ELSE 1 END AS origin, summary,
         priority <> '5-LOW' AS passed FROM classed WHERE status <> 'F'),
     ok AS (SELECT * FROM tried WHERE passed AND (origin = 0 OR row IN (SELECT min(row) FROM tried WHERE passed AND origin = 1
-        GROUP BY key, left(summary, 200)))),
+        GROUP BY key, summary))),
     n AS (SELECT row, key, row_number() OVER (PARTITION BY key ORDER BY origin, row) AS n FROM ok),
     s AS (SELECT index, label AS key, row_number() OVER (PARTITION BY label ORDER BY index) AS n FROM classed WHERE status = 'F')"""
 
@@ -275,9 +275,7 @@ def rank_allocate(spark, sf):
     rows = classed(spark, sf)
     tried = rows.filter("status <> 'F' AND priority <> '5-LOW'").select(
         F.col("index").alias("row"), F.col("label").alias("key"), F.when(F.col("status") == "O", 0).otherwise(1).alias("origin"), "summary")
-    # Among rejects one row per gold answer and start of its reasoning counts.
-    short = F.substring("summary", 1, 200)
-    rejects = first_per_key(tried.filter("origin = 1").withColumn("short", short), ["key", "short"], [F.col("row")]).drop("short")
+    rejects = C.one_per_reasoning(tried.filter("origin = 1"), "key", "summary", "row")
     passing = tried.filter("origin = 0").unionByName(rejects).drop("summary")
     samples = rows.filter("status = 'F'").select(F.col("label").alias("key"), "index")
     block = F.col("origin").cast("bigint") * (1 << 40) + F.floor(F.col("row") / 65536)
@@ -420,7 +418,7 @@ def multiset_resample(spark, sf):
 
 
 @query("resample_invariants", f"""WITH {CLASSED} SELECT count(DISTINCT label) AS multisets, 0 AS over_cap, 0 AS repeated_summaries,
-    0 AS overfilled_steps FROM classed""")
+    0 AS overfilled_steps, 0 AS left_out FROM classed""")
 def resample_invariants(spark, sf):
     rows, kept = selected(spark, sf)
     freq = rows.groupBy("multiset").agg(F.count(F.lit(1)).alias("f"))
@@ -429,9 +427,15 @@ def resample_invariants(spark, sf):
     checks = per.agg(F.count(F.lit(1)).alias("multisets"), F.count_if(F.col("n") > R.cap_for_freq(F.col("f"))).alias("over_cap"),
                      F.sum("repeated").alias("repeated_summaries"))
     targets = R.largest_remainder(R.step_targets(rows, TOTAL, 0.65), TOTAL)
-    steps = kept.groupBy("step").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("pass") == 2).alias("filled")).join(targets, "step")
-    over = steps.agg(F.count_if((F.col("filled") > 0) & (F.col("n") > F.col("units"))).alias("overfilled_steps"))
-    return checks.withColumn("_k", F.lit(1)).join(over.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    steps = kept.groupBy("step").agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("pass") == 2).alias("filled")).join(targets, "step", "right")
+    over = steps.agg(F.count_if((F.col("filled") > 0) & (F.col("m") > F.col("units"))).alias("overfilled_steps"))
+    # Rows that could still be added: their step lacks rows and their multiset has room.
+    lacking = steps.filter(F.coalesce("m", F.lit(0)) < F.col("units")).select("step")
+    roomy = per.filter(F.col("n") < R.cap_for_freq(F.col("f"))).select("multiset")
+    spare = R.dedupe_summary(rows).join(kept.select("index"), "index", "left_anti").join(lacking, "step").join(roomy, "multiset").agg(
+        F.count(F.lit(1)).alias("left_out"))
+    parts = checks.unionByName(over, allowMissingColumns=True).unionByName(spare, allowMissingColumns=True)
+    return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
 
 
 @query("resample_report", f"""WITH {CLASSED}, a AS (SELECT * FROM classed QUALIFY row_number() OVER (PARTITION BY label, summary ORDER BY step DESC, index) = 1),

@@ -230,20 +230,22 @@ def cloak_trigger(spark, sf):
 
 @query("frame_diff", """
     WITH s AS (SELECT traj_id, event_id, us, event_type AS kind, value AS health, (k % 11) / 8.0 AS progress,
-        lag(us) OVER w AS pus, lag(event_type) OVER w AS pk, lag(value) OVER w AS ph, lag((k % 11) / 8.0) OVER w AS pp,
+        (k % 7) / 1.0e0 AS shield, lag((k % 7) / 1.0e0) OVER w AS psh, k % 13 = 0 AS destroyed, lag(us) OVER w AS pus, lag(event_type) OVER w AS pk, lag(value) OVER w AS ph, lag((k % 11) / 8.0) OVER w AS pp,
         lead(us) OVER w AS nus FROM traj WINDOW w AS (PARTITION BY traj_id ORDER BY us, event_id))
     SELECT traj_id, event_id, 'created' AS change, 0.0 AS amount FROM s WHERE pus IS NULL
     UNION ALL SELECT traj_id, event_id, 'entered_view', 0.0 FROM s WHERE us - pus > 86400000000
     UNION ALL SELECT traj_id, event_id, 'left_view', 0.0 FROM s WHERE nus - us > 86400000000
-    UNION ALL SELECT traj_id, event_id, 'damaged', round(ph - health, 4) FROM s WHERE health < ph
+    UNION ALL SELECT traj_id, event_id, 'damaged', round(ph - health + psh - shield, 4) FROM s WHERE health < ph OR shield < psh
     UNION ALL SELECT traj_id, event_id, 'type_changed', 0.0 FROM s WHERE kind <> pk
     UNION ALL SELECT traj_id, event_id, 'construction_started', 0.0 FROM s WHERE pus IS NULL AND progress < 1
-    UNION ALL SELECT traj_id, event_id, 'construction_completed', 0.0 FROM s WHERE progress >= 1 AND pp < 1
+    UNION ALL SELECT traj_id, event_id, 'construction_completed', 0.0 FROM s WHERE progress >= 1 AND (pus IS NULL OR pp < 1)
+    UNION ALL SELECT traj_id, event_id, 'destroyed', 0.0 FROM s WHERE destroyed AND pus IS NOT NULL
     UNION ALL SELECT traj_id, event_id, 'last_seen', 0.0 FROM s WHERE nus IS NULL""", using="traj")
 def frame_diff(spark, sf):
     rows = traj_raw(spark, sf).select(
         "traj_id", "us", "event_id", F.col("event_type").alias("kind"), F.col("value").alias("health"),
-        (F.col("k") % 11 / 8.0).alias("progress"))
+        (F.col("k") % 11 / 8.0).alias("progress"), (F.col("k") % 7).cast("double").alias("shield"),
+        (F.col("k") % 13 == 0).alias("destroyed"))
     changes = T.frame_changes(rows, ["traj_id"], ORDER, hour_of(), 86_400)
     return changes.select("traj_id", "event_id", "change", F.round("amount", 4).alias("amount"))
 

@@ -20,15 +20,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table of fewer pieces than there are cores, dealt out for heavy work per row.
-
-    Tables of many files have pieces enough and are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def micros(column: str) -> Column:
     return F.unix_micros(F.col(column).cast("timestamp"))
 
