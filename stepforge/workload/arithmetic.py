@@ -75,13 +75,13 @@ def derive_researches(spark, sf):
 
 
 @query("scan_sample_array", """
-    SELECT prompt, list, place AS index, 'pick ' || tag AS system, unit AS human FROM cand_list""", using="cand_list")
+    SELECT prompt, place AS index, 'pick ' || tag AS system, unit AS human FROM cand_list""", using="cand_list")
 def scan_sample_array(spark, sf):
     # Every list is written as one JSON array text and read back by position.
     turn = F.struct(F.lit("human").alias("from"), F.col("unit").alias("value"))
     one = F.struct(F.concat(F.lit("pick "), F.col("tag").cast("string")).alias("system"), F.array(turn).alias("conversations"))
-    lists = cand_list(spark, sf).groupBy("prompt", "list").agg(
+    lists = cand_list(spark, sf).groupBy("prompt").agg(
         F.array_sort(F.collect_list(F.struct("place", one.alias("s")))).alias("l"))
-    texts = lists.select("prompt", "list", F.to_json(F.transform("l", lambda e: e["s"])).alias("value"))
-    rows = array_rows(texts, ["prompt", "list"])
-    return rows.select("prompt", "list", "index", "system", F.col("conversations")[0]["value"].alias("human"))
+    texts = lists.select("prompt", F.to_json(F.transform("l", lambda e: e["s"])).alias("value"))
+    rows = array_rows(texts, ["prompt"])
+    return rows.select("prompt", "index", "system", F.col("conversations")[0]["value"].alias("human"))

@@ -79,18 +79,18 @@ def golden_report(spark, sf):
     return reports.golden_report(R.golden_prompts(ranked(spark, sf)).join(orders, "prompt"), "strategy")
 
 
-# The golden tags of a list are written in one cell; a list has at most eight candidates.
-LISTED_SQL = SCORED_SQL.replace("FROM cand c", "FROM cand_list c").replace("PARTITION BY prompt", "PARTITION BY prompt, list")
+# The golden tags of a prompt are written in one cell.
+LISTED_SQL = SCORED_SQL.replace("FROM cand c", "FROM cand_list c")
 
 
 def listed_prompts(spark, sf):
-    """Candidate lists as texts, parsed back as a reader of prompts would."""
+    """Candidates of a prompt as texts, parsed back as a reader of prompts would."""
     from stepforge.workload.texts import candidate_lists
 
     system = F.concat(F.lit("[Ability to execute] "), "ability", F.lit("\n[Possible conflicts in pending actions]\n"),
                       F.concat_ws("\n", F.transform("conflicts", lambda c: F.concat(F.lit("  - "), c))), F.lit("\n\nOutput"))
     texts = candidate_lists(spark, sf).join(prompts(spark, sf), "prompt").select(
-        F.struct("prompt", "list").alias("id"), system.alias("system"), F.col("lines").alias("user"))
+        F.col("prompt").alias("id"), system.alias("system"), F.col("lines").alias("user"))
     return texts.withColumn("answer", F.lit("old")).withColumn("cot", F.lit("old"))
 
 
@@ -109,22 +109,22 @@ def annotated(spark, sf):
     return records.withColumnRenamed("id", "prompt").join(tags, "prompt")
 
 
-@query("golden_annotate", f"""WITH {LISTED_SQL} SELECT prompt, list, string_agg(tag % 1000, ',' ORDER BY tag % 1000)
+@query("golden_annotate", f"""WITH {LISTED_SQL} SELECT prompt, string_agg(tag % 1000, ',' ORDER BY tag % 1000)
     FILTER (golden) AS golden_tags, bool_or(reservation) AS reservation, bool_or(fallback) AS fallback
-    FROM ranked GROUP BY prompt, list""", using="cand_list")
+    FROM ranked GROUP BY prompt""", using="cand_list")
 def golden_annotate(spark, sf):
     tags = F.concat_ws(",", F.transform("golden_tags", lambda t: t.cast("string")))
-    return annotated(spark, sf).select("prompt.prompt", "prompt.list", tags.alias("golden_tags"), "reservation", "fallback")
+    return annotated(spark, sf).select("prompt", tags.alias("golden_tags"), "reservation", "fallback")
 
 
-@query("golden_outputs", f"""WITH {LISTED_SQL}, g AS (SELECT prompt, list, count(*) FILTER (golden) AS golden FROM ranked GROUP BY ALL)
+@query("golden_outputs", f"""WITH {LISTED_SQL}, g AS (SELECT prompt, count(*) FILTER (golden) AS golden FROM ranked GROUP BY ALL)
     SELECT o_orderpriority AS strategy, 'full' AS output, count(*) AS records, CAST(sum(golden) AS BIGINT) AS tags FROM g
         JOIN orders ON prompt = o_orderkey GROUP BY 1
     UNION ALL SELECT '', 'slim', count(*), CAST(sum(golden) AS BIGINT) FROM g""", using="cand_list")
 def golden_outputs(spark, sf):
     orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order"), F.col("o_orderpriority").alias("strategy"))
     rows = annotated(spark, sf)
-    full = rows.withColumn("order", F.col("prompt.prompt")).join(orders, "order")
+    full = rows.withColumn("order", F.col("prompt")).join(orders, "order")
     slim = rows.select(X.or_empty(F.col("system")).alias("system"), X.or_empty(F.col("user")).alias("user"), "golden_tags")
     total = [F.count(F.lit(1)).alias("records"), F.sum(F.size("golden_tags").cast("bigint")).alias("tags")]
     nested = full.groupBy("strategy").agg(*total).select("strategy", F.lit("full").alias("output"), "records", "tags")
@@ -191,9 +191,9 @@ def ordering_samples(spark, sf):
     return rows.select(*KEYS, F.col("variant").cast("bigint").alias("variant"), F.concat_ws(",", "shuffled").alias("shuffled"), "answer")
 
 
-CONTEXT_SQL = """contexts AS (SELECT prompt, list, prompt // 2 AS file, list AS seq, prompt * 8 + list AS place, prompt % 11 > 0 AS has_context,
-        list(tag ORDER BY place) AS tags, CASE WHEN prompt % 7 = 0 THEN -1 ELSE arg_min(tag, place) END AS selected
-        FROM cand_list GROUP BY prompt, list),
+CONTEXT_SQL = """contexts AS (SELECT prompt, prompt // 2 AS file, prompt % 3 AS seq, prompt AS place, prompt % 11 > 0 AS has_context,
+        list(tag ORDER BY l.place) AS tags, CASE WHEN prompt % 7 = 0 THEN -1 ELSE arg_min(tag, l.place) END AS selected
+        FROM cand_list l GROUP BY prompt),
     checked AS (SELECT *, CASE WHEN NOT has_context THEN 'dropped_no_context' WHEN len(tags) <= 1 THEN 'dropped_single_candidate'
         WHEN NOT list_contains(tags, selected) THEN 'dropped_bad_selected_tag'
         WHEN len(list_distinct([t % 97 FOR t IN tags])) < len(tags) THEN 'dropped_tag_alias_collision' END AS s FROM contexts),
@@ -202,20 +202,20 @@ CONTEXT_SQL = """contexts AS (SELECT prompt, list, prompt // 2 AS file, list AS
 
 
 def contexts(spark, sf):
-    lists = cand_list(spark, sf).groupBy("prompt", "list").agg(
+    lists = cand_list(spark, sf).groupBy("prompt").agg(
         F.array_sort(F.collect_list(F.struct("place", "tag"))).alias("l"))
     tags = F.transform("l", lambda e: e["tag"])
     rows = lists.select(
-        "prompt", "list", F.floor(F.col("prompt") / 2).alias("file"), F.col("list").alias("seq"), F.lit("TRAIN_X").alias("ability"),
-        (F.col("prompt") * 8 + F.col("list")).alias("place"), (F.col("prompt") % 11 > 0).alias("has_context"), tags.alias("tags"),
+        "prompt", F.floor(F.col("prompt") / 2).alias("file"), (F.col("prompt") % 3).alias("seq"), F.lit("TRAIN_X").alias("ability"),
+        F.col("prompt").alias("place"), (F.col("prompt") % 11 > 0).alias("has_context"), tags.alias("tags"),
         F.when(F.col("prompt") % 7 == 0, F.lit(-1).cast("bigint")).otherwise(F.col("l")[0]["tag"]).alias("selected"))
     return P.executor_status(rows, 97)
 
 
-@query("executor_samples", f"WITH {CONTEXT_SQL} SELECT prompt, list, selected % 97 AS answer FROM statuses WHERE status = 'kept'",
+@query("executor_samples", f"WITH {CONTEXT_SQL} SELECT prompt, selected % 97 AS answer FROM statuses WHERE status = 'kept'",
        using="cand_list")
 def executor_samples(spark, sf):
-    return contexts(spark, sf).filter(F.col("status") == "kept").select("prompt", "list", "answer")
+    return contexts(spark, sf).filter(F.col("status") == "kept").select("prompt", "answer")
 
 
 @query("builder_qa", f"""WITH {CONTEXT_SQL}, {SHUFFLE_SQL}

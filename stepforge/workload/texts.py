@@ -176,43 +176,43 @@ def status():
 
 
 @query("candidate_text", f"""
-    SELECT prompt, list, string_agg('  - tag=' || tag % 1000 || ' ' || unit || ' [' || {STATUS_SQL} || ']', chr(10)
-        ORDER BY place) AS lines FROM cand_list GROUP BY prompt, list""", using="cand_list")
+    SELECT prompt, string_agg('  - tag=' || tag % 1000 || ' ' || unit || ' [' || {STATUS_SQL} || ']', chr(10)
+        ORDER BY place) AS lines FROM cand_list GROUP BY prompt""", using="cand_list")
 def candidate_text(spark, sf):
-    return candidate_lists(spark, sf).select("prompt", "list", "lines")
+    return candidate_lists(spark, sf).select("prompt", "lines")
 
 
 def candidate_lists(spark, sf):
     line = F.concat(F.lit("  - tag="), (F.col("tag") % 1000).cast("string"), F.lit(" "), "unit", F.lit(" ["), status(), F.lit("]"))
-    lists = cand_list(spark, sf).groupBy("prompt", "list").agg(
+    lists = cand_list(spark, sf).groupBy("prompt").agg(
         F.array_sort(F.collect_list(F.struct("place", line.alias("line"), "tag"))).alias("l"))
     return lists.withColumn("lines", F.concat_ws("\n", F.transform("l", lambda e: e["line"])))
 
 
 @query("executor_lines", """
-    SELECT prompt, list, 'TRAIN_X: selected tag ' || arg_min(tag, place) || ' from ' || count(*) || ' candidates.' || chr(10)
+    SELECT prompt, 'TRAIN_X: selected tag ' || arg_min(tag, place) || ' from ' || count(*) || ' candidates.' || chr(10)
         || string_agg('  - tag=' || tag || ' ' || unit || ' [' || CASE WHEN is_idle THEN 'idle' ELSE 'busy' END || ', '
         || CASE addon WHEN 'none' THEN 'no add-on' ELSE addon END || ']', chr(10) ORDER BY place) AS lines
-    FROM cand_list GROUP BY prompt, list""", using="cand_list")
+    FROM cand_list GROUP BY prompt""", using="cand_list")
 def executor_lines(spark, sf):
     state = F.when(F.col("is_idle"), "idle").otherwise("busy")
     addon = F.when(F.col("addon") == "none", "no add-on").otherwise(F.col("addon"))
     line = F.concat(F.lit("  - tag="), F.col("tag").cast("string"), F.lit(" "), "unit", F.lit(" ["), state, F.lit(", "),
                     addon, F.lit("]"))
-    lists = cand_list(spark, sf).groupBy("prompt", "list").agg(
+    lists = cand_list(spark, sf).groupBy("prompt").agg(
         F.array_sort(F.collect_list(F.struct("place", "tag", line.alias("line")))).alias("l"))
     head = F.concat(F.lit("TRAIN_X: selected tag "), F.col("l")[0]["tag"].cast("string"), F.lit(" from "),
                     F.size("l").cast("string"), F.lit(" candidates."))
-    return lists.select("prompt", "list", F.concat_ws("\n", head, F.concat_ws("\n", F.transform(
+    return lists.select("prompt", F.concat_ws("\n", head, F.concat_ws("\n", F.transform(
         "l", lambda e: e["line"]))).alias("lines"))
 
 
 @query("parse_candidates", """
-    SELECT prompt, list, tag % 1000 AS tag, unit, is_idle AS idle, CASE WHEN NOT is_idle AND quantity <= 40
+    SELECT prompt, tag % 1000 AS tag, unit, is_idle AS idle, CASE WHEN NOT is_idle AND quantity <= 40
         THEN floor(progress * 100) / 100 END AS progress, addon, CASE unit WHEN 'ORBITALCOMMAND' THEN 2
         WHEN 'COMMANDCENTER' THEN 1 ELSE 0 END AS tier FROM cand_list""", using="cand_list")
 def parse_candidates(spark, sf):
-    return candidate_lists(spark, sf).select("prompt", "list", F.inline(X.parse_candidates(F.col("lines"))))
+    return candidate_lists(spark, sf).select("prompt", F.inline(X.parse_candidates(F.col("lines"))))
 
 
 @query("parse_conflicts", f"""
@@ -228,13 +228,13 @@ def parse_conflicts(spark, sf):
 
 
 @query("prompt_tag", """
-    SELECT prompt, list, count(*) > count(DISTINCT tag * 13 % 97) AS collision, string_agg(DISTINCT tag * 13 % 97, ','
-        ORDER BY tag * 13 % 97) AS tags FROM cand_list GROUP BY prompt, list""", using="cand_list")
+    SELECT prompt, count(*) > count(DISTINCT tag * 13 % 97) AS collision, string_agg(DISTINCT tag * 13 % 97, ','
+        ORDER BY tag * 13 % 97) AS tags FROM cand_list GROUP BY prompt""", using="cand_list")
 def prompt_tag(spark, sf):
     alias = F.pmod(F.col("tag") * 13, F.lit(97))
-    rows = cand_list(spark, sf).groupBy("prompt", "list").agg(
+    rows = cand_list(spark, sf).groupBy("prompt").agg(
         F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set(alias)).alias("t"))
-    return rows.select("prompt", "list", (F.col("n") > F.size("t")).alias("collision"),
+    return rows.select("prompt", (F.col("n") > F.size("t")).alias("collision"),
                        F.concat_ws(",", F.transform("t", lambda t: t.cast("string"))).alias("tags"))
 
 
@@ -539,10 +539,10 @@ def rule_ordering(spark, sf):
 
 
 @query("rule_executor", """
-    SELECT prompt, list, CASE WHEN prompt % 4 = 3 THEN 'parse_failed' ELSE array_to_string([x FOR x IN [
+    SELECT prompt, CASE WHEN prompt % 4 = 3 THEN 'parse_failed' ELSE array_to_string([x FOR x IN [
         CASE WHEN prompt % 4 = 1 THEN 'tag is not a candidate' END,
         CASE WHEN prompt % 4 IN (1, 2) THEN 'reasoning names other tags' END] IF x IS NOT NULL], '; ') END AS reasons
-    FROM cand_list GROUP BY prompt, list""", using="cand_list")
+    FROM cand_list GROUP BY prompt""", using="cand_list")
 def rule_executor(spark, sf):
     rows = candidate_lists(spark, sf)
     form, first = F.col("prompt") % 4, (F.col("l")[0]["tag"] % 1000).cast("string")
@@ -550,7 +550,7 @@ def rule_executor(spark, sf):
         F.concat(F.lit("["), first, F.lit("]")))
     cot = F.when(form.isin(1, 2), F.lit("tag=55555 is idle")).otherwise(F.concat(F.lit("tag="), first))
     reasons = R.rule_executor(F.col("lines"), F.col("l")[0]["tag"], X.parse_tags(answer), cot)
-    return rows.select("prompt", "list", F.concat_ws("; ", reasons).alias("reasons"))
+    return rows.select("prompt", F.concat_ws("; ", reasons).alias("reasons"))
 
 
 @query("set_rules", """

@@ -96,11 +96,10 @@ def cand(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cand_list(spark: SparkSession, sf: str) -> DataFrame:
-    """Candidates in lists of at most eight: an order's lines numbered and cut."""
+    """A prompt's candidates with their place in it: an order's lines, all of them, numbered."""
     order = ["line", "part", "tag", "quantity", "price"]
     block = F.col("line").cast("bigint") * 1_000_000_000 + F.floor(F.col("part") / 4096)
-    rows = numbered(cand(spark, sf), ["prompt"], order, block, "n")
-    return rows.withColumn("list", F.floor(F.col("n") / 8)).withColumn("place", F.col("n") % 8)
+    return numbered(cand(spark, sf), ["prompt"], order, block, "place")
 
 
 def pos(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,8 +164,7 @@ SQL_VIEWS: dict[str, tuple[list[str], str]] = {
                l_quantity AS quantity, l_extendedprice AS price
         FROM lineitem"""),
     "cand_list": (["cand"], """
-        SELECT *, n // 8 AS list, n % 8 AS place FROM (SELECT *, row_number() OVER (
-            PARTITION BY prompt ORDER BY line, part, tag, quantity, price) - 1 AS n FROM cand)"""),
+        SELECT *, row_number() OVER (PARTITION BY prompt ORDER BY line, part, tag, quantity, price) - 1 AS place FROM cand"""),
     "pos": ([], """
         SELECT p_partkey AS tag, CAST(p_partkey * 37 % 200 + p_size * 0.25 AS DOUBLE) AS x,
                CAST(p_partkey * 53 % 200 + (p_size * 7 % 20) * 0.25 AS DOUBLE) AS y, p_type AS type,
