@@ -47,6 +47,9 @@ CHUNK = 1 << 16
 #: Most segments a worker process remembers, and texts it reads at once.
 KEPT = 800_000
 AT_ONCE = 500
+#: Signs that are a pre-token of their own behind a word at a segment's end, and segments encoded as one text.
+SIGNS = ".,;:!?"
+JOINED = 2000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -151,14 +154,14 @@ class Transducer:
             self.steps = np.concatenate([self.steps, np.array(list(self.new.values()))])[order]
             self.new = {}
 
-    def read(self, pieces: list[bytes], ids: bool) -> list:
-        """Per pre-token its token count, or its ids as bytes."""
+    def read(self, pieces: list[bytes]) -> list[int]:
+        """The token count of each pre-token."""
         if not pieces:
             return []
-        out: list = [None] * len(pieces)
+        out = [0] * len(pieces)
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
         for i in np.flatnonzero(size > self.LONG):
-            out[i] = self.read_long(pieces[i], ids)
+            out[i] = self.read_long(pieces[i])
         order = np.flatnonzero(size <= self.LONG)
         order = order[np.argsort(-size[order], kind="stable")]
         if not len(order):
@@ -166,44 +169,21 @@ class Transducer:
         start, size = (np.cumsum(size) - size)[order], size[order]
         data = np.frombuffer(b"".join(pieces), np.uint8)
         state, count = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
-        last = np.zeros((int(size[0]), len(order)), np.int32) if ids else None
         for i in range(int(size[0])):
             n = int(np.searchsorted(-size, -i))  # pre-tokens longer than i
             took = self.step(state[:n] << 8 | data[start[:n] + i])
             state[:n] = took[:, 0]
             count[:n] += took[:, 1]
-            if ids:
-                last[i, :n] = took[:, 2]
-        if not ids:
-            for i, n in zip(order.tolist(), count.tolist()):
-                out[i] = n
-            return out
-        flat, at, ends = np.zeros(int(count.sum()), "<u4"), size - 1, np.cumsum(count)
-        put, lanes = ends - 1, np.arange(len(order))
-        while len(lanes):
-            token = last[at[lanes], lanes]
-            flat[put[lanes]] = token
-            at[lanes] -= self.length_of[token]
-            put[lanes] -= 1
-            lanes = lanes[at[lanes] >= 0]
-        whole, ends = flat.tobytes(), (4 * ends).tolist()
-        for i, a, b in zip(order.tolist(), [0, *ends], ends):
-            out[i] = whole[a:b]
+        for i, n in zip(order.tolist(), count.tolist()):
+            out[i] = n
         return out
 
-    def read_long(self, data: bytes, ids: bool):
-        state, count, last = 0, 0, []
+    def read_long(self, data: bytes) -> int:
+        state, count = 0, 0
         for byte in data:
-            state, emitted, token = self.step(np.array([state << 8 | byte]))[0].tolist()
+            state, emitted, _ = self.step(np.array([state << 8 | byte]))[0].tolist()
             count += emitted
-            last.append(token)
-        if not ids:
-            return count
-        out, at = [], len(data)
-        while at:
-            out.append(last[at - 1])
-            at -= int(self.length_of[last[at - 1]])
-        return np.array(out[::-1], "<u4").tobytes()
+        return count
 
 
 def shrink(known: dict) -> None:
@@ -217,8 +197,8 @@ def shrink(known: dict) -> None:
 class Compiled:
     """A tokenizer file as transducer.
 
-    ``library`` is the file's own tokenizer, for segments that hold an added
-    token or characters outside the Latin blocks.
+    ``library`` is the file's own tokenizer, for the ids of segments and for the
+    counts of those that hold an added token or characters outside the Latin blocks.
     """
 
     def __init__(self, path: str):
@@ -248,34 +228,65 @@ class Compiled:
         if segment[0] == " ":
             if segment[1:].isalpha():
                 return [segment]
-            if segment[1:-1].isalpha() and segment[-1] in ".,;:!?":
+            if segment[1:-1].isalpha() and segment[-1] in SIGNS:
                 return [segment[:-1], segment[-1]]
         return self.find(segment)
 
-    def learn(self, segments: list[str], ids: bool) -> None:
-        """Read segments not yet known."""
-        todo, pieces, known = [], [], self.known[ids]
+    def foreign(self, segment: str) -> bool:
+        return max(segment) >= FIRST_FOREIGN or any(t in segment for t in self.added)
+
+    def learn_counts(self, segments: list[str]) -> None:
+        """Read segments not yet known by the transducer."""
+        todo, pieces, known = [], [], self.known[False]
         for segment in segments:
-            if max(segment) >= FIRST_FOREIGN or any(t in segment for t in self.added):
-                got = self.library.encode(segment, add_special_tokens=False).ids
-                known[segment] = np.array(got, "<u4").tobytes() if ids else len(got)
+            if self.foreign(segment):
+                known[segment] = len(self.library.encode(segment, add_special_tokens=False).ids)
             else:
                 found = self.pieces(segment)
                 todo.append((segment, len(found)))
                 pieces += found
-        read = iter(self.transducer.read([p.encode() for p in pieces], ids))
+        read = iter(self.transducer.read([p.encode() for p in pieces]))
         for segment, n in todo:
-            parts = list(itertools.islice(read, n))
-            known[segment] = parts[0] if n == 1 else b"".join(parts) if ids else sum(parts)
+            known[segment] = sum(itertools.islice(read, n))
         self.transducer.settle()
 
+    def learn_ids(self, segments: list[str]) -> None:
+        """Encode segments not yet known by the library.
+
+        Segments that begin with a space and end without one meet at boundaries, so they are encoded as one
+        text; the bytes of the tokens tell where each segment's ids end. A word with one sign behind it is
+        the word's ids and the sign's.
+        """
+        known, signed, words, alone = self.known[True], [], set(), []
+        for segment in segments:
+            if segment[0] != " " or segment[-1].isspace() or any(t in segment for t in self.added):
+                alone.append(segment)
+            elif segment[-1] in SIGNS and segment.isascii() and segment[1:-1].isalpha():
+                signed.append(segment)
+                words.add(segment[:-1])
+            else:
+                words.add(segment)
+        words = [w for w in words if w not in known]
+        for at in range(0, len(words), JOINED):
+            part = words[at:at + JOINED]
+            ids = np.array(self.library.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(np.fromiter((len(w.encode()) for w in part), np.int64, len(part)))
+            cuts, data = 4 * np.searchsorted(np.cumsum(self.transducer.length_of[ids]), ends, side="right"), ids.tobytes()
+            for word, a, b in zip(part, [0, *cuts.tolist()], cuts.tolist()):
+                known[word] = data[a:b]
+        for segment in [*SIGNS, *alone]:
+            if segment not in known:
+                known[segment] = np.array(self.library.encode(segment, add_special_tokens=False).ids, "<u4").tobytes()
+        for segment in signed:
+            known[segment] = known[segment[:-1]] + known[segment[-1]]
+
     def look(self, lists: list[list[str]], ids: bool) -> list[list]:
         """Results for every segment of every list."""
         known = self.known[ids]
         shrink(known)
         new = set().union(*lists).difference(known)
         new.discard("")
-        self.learn(list(new), ids)
+        (self.learn_ids if ids else self.learn_counts)(list(new))
         known[""] = b"" if ids else 0
         return [map(known.__getitem__, x) for x in lists]
 
