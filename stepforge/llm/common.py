@@ -53,6 +53,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """
     scratch = Scratch(spark)
     edges = scratch.cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
+    state = lambda f: f.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
+    known = state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = scratch.cut(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
@@ -65,11 +67,9 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         scratch.free(large, least)
-        sums = [f.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
-                for f in (edges, after)]
         scratch.free(edges)
-        edges = after
-        if sums[0] == sums[1]:
+        edges, before, known = after, known, state(after)
+        if known == before:
             roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
