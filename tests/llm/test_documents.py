@@ -305,3 +305,38 @@ def test_every_query_runs_over_its_table(spark, documents):
     n = documents.count()
     for name in ("op1_simhash", "op3_token_counts", "op4_line_dedup", "op7_substrings", "op8_mixing", "op9_quality", "op10_ppm"):
         assert QUERIES[name](spark, SF).count() == n, name
+
+
+def test_keep_first_finds_pairs_of_eight_tenths(spark):
+    rng = np.random.default_rng(5)
+    rows, pairs = [], []
+    for wanted in (0.80, 0.85, 0.90, 0.95):
+        for n in (30, 120, 600):
+            for _ in range(25):
+                words = [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+                # Shingles at the end change with the last words alone, so the similarity is the one wanted or just above.
+                changed = int((n - 4) * (1 - wanted) / (1 + wanted))
+                other = words[:n - changed] + [f"v{x}" for x in rng.integers(0, 1 << 40, changed)]
+                pairs.append((len(rows), len(rows) + 1))
+                rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+    # Below it pairs must stay: three quarters of the shingles in common.
+    for _ in range(25):
+        words = [f"w{x}" for x in rng.integers(0, 1 << 40, 304)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:260] + [f"v{x}" for x in rng.integers(0, 1 << 40, 44)]))]
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for _, t in rows]
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    assert all(alike(a, b) for a, b in pairs) and not any(alike(i, i + 1) for i in range(600, 650, 2))
+    kept = {r.doc_id for r in keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {a for a, _ in pairs} | set(range(600, 650)) <= kept
+    assert sum(b in kept for _, b in pairs) <= 0.01 * len(pairs)
+
+
+def test_keep_first_splits_groups_and_links_chains(spark):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([f"x{j}" for j in range(i)] + words[i:])) for i in range(0, 200, 4)] + [(900, None), (901, " "), (902, "ab cd")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    scratch = simhash.Scratch(spark)
+    found = [simhash.similar_links(df, "doc_id", "text", 5, 0.8, scratch, *sizes)[1] for sizes in ((4096, 1 << 20), (4, 500))]
+    whole, cut = ({r.node: r.root for r in simhash.components(spark, x).collect()} for x in found)
+    assert whole == cut and len(whole) == 50 and len(set(whole.values())) == 1
+    assert sorted(r.doc_id for r in keep_first(df).collect()) == [0, 900, 902]
