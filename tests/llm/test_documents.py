@@ -340,3 +340,12 @@ def test_keep_first_splits_groups_and_links_chains(spark):
     whole, cut = ({r.node: r.root for r in simhash.components(spark, x).collect()} for x in found)
     assert whole == cut and len(whole) == 50 and len(set(whole.values())) == 1
     assert sorted(r.doc_id for r in keep_first(df).collect()) == [0, 900, 902]
+
+
+def test_lines_of_repeats_meet_whatever_their_lengths(spark):
+    word = [f"k{i}" for i in range(40)]
+    lines = ["-" * 20, "-" * 40, "=" * 7, "=" * 90, "ha " * 5 + "ha", "ha " * 30 + "ha", "+---" * 6, "+---" * 21,
+             " ".join(["buy now"] * 70 + word), " ".join(["buy now"] * 100 + word)]
+    left = [x for r in dedup_lines(spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")).collect()
+            for x in r.text.split("\n") if x.strip()]
+    assert sorted(left) == sorted(lines[::2])
