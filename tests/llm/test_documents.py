@@ -349,3 +349,25 @@ def test_lines_of_repeats_meet_whatever_their_lengths(spark):
     left = [x for r in dedup_lines(spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")).collect()
             for x in r.text.split("\n") if x.strip()]
     assert sorted(left) == sorted(lines[::2])
+
+
+def test_near_lines_of_one_template_all_meet(spark):
+    rng = np.random.default_rng(2)
+    common, rows = [f"c{x}" for x in rng.integers(0, 10**6, 40)], []
+    for _ in range(250):
+        line = [f"own{x}" if own else c for c, own, x in zip(common, rng.random(40) < 0.3, rng.integers(0, 10**6, 40))]
+        copy = list(line)
+        copy[-1] = f"end{rng.integers(0, 10**6)}"
+        rows += [" ".join(line), " ".join(copy)]
+    sets = [{x[i:i + 5] for i in range(len(x) - 4)} for x in rows]
+    alike = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    par = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if alike(i, j):
+                a, b = root_of(par, i), root_of(par, j)
+                par[max(a, b)] = min(a, b)
+    classes = len({root_of(par, i) for i in range(len(rows))})
+    assert classes >= 200
+    got = dedup_lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).filter("n_removed = 0").count()
+    assert classes <= got <= classes + 2
