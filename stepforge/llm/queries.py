@@ -11,13 +11,16 @@ from stepforge.llm.common import table
 from stepforge.llm.line_dedup import dedup_lines
 from stepforge.llm.mixing import mix
 from stepforge.llm.packing import pack
+from stepforge.llm.periodic import periodic_runs
 from stepforge.llm.ppm import ppm_scores
 from stepforge.llm.quality import quality_scores
+from stepforge.llm.sentence_pieces import encode_pieces
 from stepforge.llm.simhash import simhash_components
 from stepforge.llm.substrings import remove_repeats
 from stepforge.llm.topk import top_products
 from stepforge.llm.vector_dedup import vector_duplicates
 from stepforge.llm.token_counts import token_counts
+from stepforge.llm.variants import spelling_variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +88,37 @@ def op9_quality(spark, sf_dir):
 @query
 def op10_ppm(spark, sf_dir):
     return ppm_scores(table(spark, sf_dir, "documents"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents, a tenth of them (by checksum of the id) repeating a stretch of words up to their end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    parts = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words")).selectExpr(
+        "doc_id", "text", "words", "h div 10 as g", "size(words) as n")
+    parts = parts.selectExpr("*", "if(n > 0, cast(g % n as int), null) as a").selectExpr("*", "cast(1 + (n - a) div (3 + g % 8) as int) as p")
+    repeated = F.expr("array_join(concat(slice(words, 1, a), transform(sequence(0, n - a - 1), i -> words[cast(a + i % p as int)])), ' ')")
+    return parts.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.expr("""reduce(runs, cast(null as struct<start: bigint, length: bigint, period: bigint>), (best, run) ->
+        if(best is null or run.length * best.period > best.length * run.period, run, best))""")
+    lines = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')))")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_sentence_pieces(spark, sf_dir):
+    return encode_pieces(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"), drop_one_in=31)
