@@ -165,23 +165,40 @@ def json_candidate(text: Column, prefer_array: bool = False) -> Column:
     return F.coalesce(*([tries[1], tries[0]] if prefer_array else tries), bare)
 
 
-ITEMS_SCHEMA = "struct<items:array<struct<name:string,count:string>>>"
+def one_json(json: Column) -> Column:
+    """The text as one JSON value, null if it is none or something follows it; an object that repeats a key is none."""
+    alone = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), json, F.lit("]"))), "$", "array<variant>")
+    return F.when(F.size(alone) == 1, alone[0])
 
 
 def whole_number(value: Column) -> Column:
-    """The integer that a JSON number or a string of digits stands for; fractions are cut, all else is null."""
-    trimmed = F.trim(value)
-    digits = F.rlike(trimmed, F.lit(r"\A[+-]?\d+\z"))
-    number = F.rlike(trimmed, F.lit(r"\A[+-]?\d+(\.\d+)?([eE][+-]?\d+)?\z"))
-    return F.when(digits, trimmed.try_cast("bigint")).when(number, trimmed.try_cast("double").try_cast("bigint"))
+    """The integer that a JSON value stands for, null if none.
+
+    Numbers are cut, true is 1 and false 0; a string must be an integer in
+    digits, with a sign, white space around it or underscores between digits.
+    """
+    kind, text = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
+    digits = F.when(F.rlike(text, F.lit(r"\A\s*[+-]?\d+(_\d+)*\s*\z")), F.regexp_replace(text, r"[\s_]", "").try_cast("bigint"))
+    number = F.try_variant_get(value, "$", "double")
+    return (F.when(kind == "STRING", digits).when(kind == "BOOLEAN", F.when(text == "true", 1).otherwise(0).cast("bigint"))
+            .when(kind == "BIGINT", F.try_variant_get(value, "$", "bigint"))
+            .when(kind.startswith("DECIMAL") | (kind == "DOUBLE"), F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).try_cast("bigint")))
+
+
+def name_of(value: Column) -> Column:
+    """A JSON value as a name: what counts as false or nothing is empty, lists and objects are their JSON text."""
+    kind, text = F.schema_of_variant(value), F.try_variant_get(value, "$", "string")
+    named = F.when(kind == "BOOLEAN", F.when(text == "true", "True")).when(F.rlike(text, F.lit(r"\A(-?0(\.0+)?|\[\]|\{\})\z")) & (kind != "STRING"), "").otherwise(text)
+    return F.coalesce(named, F.lit(""))
 
 
 def parse_items(json: Column) -> Column:
-    """Item list of an answer; null if it is not one, an item has no name or count, or text follows it."""
-    items = F.when(F.rlike(json, F.lit(r"\}\s*\z")), F.from_json(json, ITEMS_SCHEMA)["items"])
-    items = F.transform(items, lambda i: F.struct(i["name"].alias("name"), whole_number(i["count"]).cast("int").alias("count")))
-    good = F.forall(items, lambda i: (F.coalesce(i["name"], F.lit("")) != "") & (F.coalesce(i["count"], F.lit(0)) > 0))
-    return F.when(items.isNotNull() & good, items)
+    """Item list of an answer; null if it is not one, an item has no name or no positive count, or text follows it."""
+    items = F.try_variant_get(one_json(json), "$.items", "array<variant>")
+    part = lambda i, name: F.try_variant_get(i, f"$.{name}", "variant")
+    read = F.transform(items, lambda i: F.struct(name_of(part(i, "name")).alias("name"), whole_number(part(i, "count")).alias("count")))
+    good = F.forall(read, lambda i: (i["name"] != "") & (F.coalesce(i["count"], F.lit(0)) > 0))
+    return F.when(read.isNotNull() & good, read)
 
 
 def parse_ordered(json: Column) -> Column:
@@ -191,8 +208,9 @@ def parse_ordered(json: Column) -> Column:
 
 def parse_tags(json: Column) -> Column:
     """The one tag of an executor answer; a bare number counts as a list of one."""
-    listed = F.when(F.rlike(json, F.lit(r"\A\s*-?\d+\s*\z")), F.concat(F.lit("["), json, F.lit("]"))).otherwise(json)
-    tags = F.when(F.rlike(listed, F.lit(r"\]\s*\z")), F.from_json(listed, "array<string>"))
+    value = one_json(json)
+    bare = F.rlike(json, F.lit(r"\A\s*-?\d+\s*\z"))
+    tags = F.when(bare, F.array(value)).otherwise(F.try_variant_get(value, "$", "array<variant>"))
     return F.when(F.size(tags) == 1, whole_number(tags[0]))
 
 

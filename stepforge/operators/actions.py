@@ -217,3 +217,19 @@ def action_table(rows: DataFrame, facts: DataFrame) -> DataFrame:
                     F.rpad(F.coalesce("type", F.lit("-")), 8, " "), F.lit(" "), F.lpad(cost, 14, " "), F.lit(" "),
                     F.rpad(F.coalesce("requires", F.lit("-")), 20, " "))
     return rows.join(sized.select("ability", line.alias("line")), "ability")
+
+
+def train_candidates(actions: DataFrame, producers: DataFrame, trainers: DataFrame, keys: Sequence[str], action: str = "action") -> DataFrame:
+    """The producers that a Train action could have gone to, a row each, where there is more than one.
+
+    ``actions`` has the action's id, ``keys`` (its game), ability and kind;
+    ``producers`` keys, tag, unit and progress, where a tag may repeat; ``trainers``
+    ability and unit. Unfinished producers do not count. Producers per game and
+    type are counted first, so actions with one candidate are joined to none.
+    """
+    keys = list(keys)
+    ready = producers.groupBy(*keys, "tag").agg(F.min_by("unit", "unit").alias("unit"), F.max("progress").alias("_p")).filter("_p >= 1").drop("_p")
+    sizes = ready.groupBy(*keys, "unit").agg(F.count(F.lit(1)).alias("_n"))
+    asked = actions.filter(F.col("kind") == "Train").select(action, *keys, "ability").join(trainers.select("ability", "unit").distinct(), "ability")
+    counts = asked.join(sizes, [*keys, "unit"]).groupBy(action).agg(F.sum("_n").alias("candidates")).filter("candidates > 1")
+    return asked.join(counts, action).join(ready, [*keys, "unit"]).select(action, *keys, "tag", "unit", "candidates")

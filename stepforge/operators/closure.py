@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,16 @@ def connected_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return labels
 
 
+def implied_pairs(pairs: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
+    """All (entity, implied) pairs reachable from a list of fixed pairs, sorted."""
+    known = set(pairs)
+    grown = known
+    while grown:
+        grown = {(a, d) for a, b in grown for c, d in pairs if b == c} - known
+        known = known | grown
+    return sorted(known)
+
+
 def implication_closure(pairs: DataFrame) -> DataFrame:
     """All (entity, implied) reachable pairs; the table is a small dimension.
 
@@ -60,6 +72,11 @@ def implication_closure(pairs: DataFrame) -> DataFrame:
 
 def close_entities(rows: DataFrame, key: str, pairs: DataFrame) -> DataFrame:
     """Entities per key together with everything they imply."""
+    return held_with(rows, key, implication_closure(pairs))
+
+
+def held_with(rows: DataFrame, key: str, closed: DataFrame) -> DataFrame:
+    """Entities per key together with everything that a closed table says they imply."""
     held = rows.select(key, "entity").distinct()
-    implied = held.join(implication_closure(pairs), "entity").select(key, F.col("implied").alias("entity"))
+    implied = held.join(closed, "entity").select(key, F.col("implied").alias("entity"))
     return held.unionByName(implied).distinct()

@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from stepforge.session import cut_lineage
+
 BLOCK = "_block"
+CUTS = 256
 
 
 def blocked_window(
@@ -112,3 +115,25 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Co
              name: str = "seq") -> DataFrame:
     """Dense position from 0 per key."""
     return blocked_window(df, keys, order, block, number=name)
+
+
+def even_blocks(df: DataFrame, keys: Sequence[str], time: str, width: int, most: int, name: str = "_even") -> DataFrame:
+    """Add blocks along ``time`` (a whole number): of ``width``, and cut finer where a key is crowded.
+
+    Only (key, width) cells of more than ``most`` rows are looked at twice: a
+    quantile sketch cuts them into up to 256 blocks of about equal rows, at most
+    twice ``most`` each up to that number. Rows of one instant stay together.
+    The cuts, a row for each crowded cell, are written out once.
+    """
+    keys = list(keys)
+    cell = F.floor(F.col(time) / F.lit(width))
+    rows = df.withColumn("_cell", cell)
+    crowded = rows.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
+    wanted = F.least(F.lit(CUTS), F.ceil(F.col("_n") / most).cast("int"))
+    sketch = F.percentile_approx(time, [i / CUTS for i in range(1, CUTS)], 4 * CUTS)
+    cuts = rows.join(crowded, [*keys, "_cell"]).groupBy(*keys, "_cell", "_n").agg(sketch.alias("_q")).select(
+        *keys, "_cell", F.array_distinct(F.transform(
+            F.sequence(F.lit(1), wanted - 1), lambda i: F.get("_q", F.floor(i * CUTS / wanted).cast("int") - 1))).alias("_cuts"))
+    placed = rows.join(cut_lineage(cuts), [*keys, "_cell"], "left")
+    part = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(time))), F.lit(0))
+    return placed.withColumn(name, F.struct("_cell", F.when(F.col("_cuts").isNull(), 0).otherwise(part).alias("part"))).drop("_cell", "_cuts")

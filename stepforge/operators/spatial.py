@@ -13,13 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepforge.operators.closure import connected_components
+from stepforge.operators.pyramid import Between, build, range_sums, squared
 from stepforge.session import cut_lineage
 
 
-def squared(dx: Column, dy: Column) -> Column:
-    return dx * dx + dy * dy
-
-
 def distance(x: Column, y: Column, px, py) -> Column:
     return F.sqrt(squared(x - px, y - py))
 
@@ -48,32 +45,53 @@ def near_pairs(points: DataFrame, centres: DataFrame, radius: float, on: Sequenc
 def range_counts(points: DataFrame, centres: DataFrame, centre_keys: Sequence[str], radius: float,
                  inner: float = 0.0) -> DataFrame:
     """Per centre: points inside (``<``), in the ball (``<=``), and between ``inner`` and ``radius``."""
-    pairs = near_pairs(positions(points), centres, radius)
     r2, i2 = float(radius) ** 2, float(inner) ** 2
+    found = range_sums(build(points, radius, {"n": F.lit(1)}), centres, centre_keys, {
+        "closer": ("n", Between(high=r2)), "in_ball": ("n", Between(high=r2, closed=True)), "between": ("n", Between(i2, r2))})
+    return centres.select(*centre_keys).join(found, list(centre_keys), "left").select(
+        *centre_keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("closer", "in_ball", "between")])
 
-    def total(condition):
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
-    found = pairs.groupBy(*centre_keys).agg(
-        total(F.col("d2") < r2).alias("closer"), total(F.col("d2") <= r2).alias("in_ball"),
-        total((F.col("d2") > i2) & (F.col("d2") < r2)).alias("between"))
-    zero = F.lit(0)
-    return centres.select(*centre_keys).join(found, list(centre_keys), "left").select(
-        *centre_keys, *[F.coalesce(c, zero).alias(c) for c in ("closer", "in_ball", "between")])
+def zone_cells(cells: DataFrame, seeds: DataFrame, steps: int) -> DataFrame:
+    """Zone of every cell (gx, gy) that a seed (zone, gx, gy) reaches in ``steps`` over cells side by side or cornerwise.
+
+    All seeds are flooded together, one ring of cells a round, so a cell takes
+    the zone of fewest steps; of equally near ones the least. Cells are those of
+    one map, and a round reads and writes its ring alone.
+    """
+    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j])
+    walkable = cells.select("gx", "gy").distinct()
+    ring = cut_lineage(seeds.groupBy("gx", "gy").agg(F.min("zone").alias("zone")))
+    known = ring
+    for _ in range(steps):
+        next_to = ring.select("zone", "gx", "gy", F.explode(around).alias("_s")).select(
+            "zone", (F.col("gx") + F.col("_s.i")).alias("gx"), (F.col("gy") + F.col("_s.j")).alias("gy"))
+        ring = cut_lineage(next_to.groupBy("gx", "gy").agg(F.min("zone").alias("zone")).join(walkable, ["gx", "gy"], "left_semi").join(
+            known.select("gx", "gy"), ["gx", "gy"], "left_anti"))
+        if ring.isEmpty():
+            break
+        known = known.unionByName(ring)
+    return known
 
 
 def zone_assign(units: DataFrame, zones: DataFrame, radius: float, height_weight: float = 10.0,
-                neutral_penalty: float = 5.0) -> DataFrame:
-    """Units with the one zone of least weighted distance that holds them.
+                neutral_penalty: float = 5.0, cells: DataFrame | None = None, side: float = 1.0) -> DataFrame:
+    """Units with their zone: that of their map cell, else the one of least weighted distance that holds them.
 
-    ``zones`` has zone, cx, cy, height, neutral; ``units`` has tag, x, y, height.
+    ``zones`` has zone, cx, cy, height, neutral; ``units`` has tag, x, y, height;
+    ``cells`` has zone, gx, gy of the map's labelled cells of ``side``.
     """
     spots = units.groupBy("x", "y", "height").agg(F.count(F.lit(1)).alias("_n"))
+    labelled = None
+    if cells is not None:
+        placed = spots.withColumn("gx", cell_of(F.col("x"), side)).withColumn("gy", cell_of(F.col("y"), side)).join(cells, ["gx", "gy"], "left")
+        labelled = placed.filter(F.col("zone").isNotNull()).select("x", "y", "height", "zone")
+        spots = placed.filter(F.col("zone").isNull()).select("x", "y", "height")
     weight = (F.sqrt("d2") + F.abs(F.col("height") - F.col("zone_height")) * height_weight
               + F.when(F.col("neutral"), neutral_penalty).otherwise(0.0))
     pairs = near_pairs(spots, zones.withColumnRenamed("height", "zone_height"), radius).withColumn("_w", weight)
     best = pairs.groupBy("x", "y", "height").agg(F.min(F.struct("_w", "zone"))["zone"].alias("zone"))
-    return units.join(best, ["x", "y", "height"])
+    return units.join(best if labelled is None else labelled.unionByName(best), ["x", "y", "height"])
 
 
 def owned_sites(sites: DataFrame, bases: DataFrame, threshold: float) -> DataFrame:
@@ -84,26 +102,36 @@ def owned_sites(sites: DataFrame, bases: DataFrame, threshold: float) -> DataFra
 
 def without_match(orders: DataFrame, started: DataFrame, tolerance: float = 1.0) -> DataFrame:
     """Build orders whose target is not on a started structure of the same type."""
-    spots = started.groupBy("type", F.col("x").alias("cx"), F.col("y").alias("cy")).agg(F.count(F.lit(1)).alias("_n"))
-    targets = orders.select("type", "x", "y").distinct()
-    taken = near_pairs(targets, spots, tolerance, on=["type"]).filter(F.col("d2") < tolerance * tolerance)
-    return orders.join(taken.select("type", "x", "y").distinct(), ["type", "x", "y"], "left_anti")
+    targets = orders.select("type", F.col("x").alias("cx"), F.col("y").alias("cy")).distinct()
+    near = range_sums(build(started, tolerance, {"n": F.lit(1)}, ["type"]), targets, ["type", "cx", "cy"],
+                      {"n": ("n", Between(high=tolerance * tolerance))})
+    taken = near.filter("n > 0").select("type", F.col("cx").alias("x"), F.col("cy").alias("y"))
+    return orders.join(taken, ["type", "x", "y"], "left_anti")
 
 
 def danger(points: DataFrame, enemies: DataFrame, max_range: float) -> DataFrame:
     """Danger per point: dps weighted by distance over range, two slopes by relative speed.
 
-    Beyond twice the range the weight is zero, so a range join holds every
-    enemy that counts. ``enemies`` has x, y, range, dps, slower.
+    Beyond twice the range the weight is zero. Enemies meet points on cells of
+    the power of two that holds twice their own range, so a pair that is joined
+    is near in terms of that enemy. ``enemies`` has x, y, range, dps, slower.
     """
-    grouped = enemies.filter(F.col("range") >= 1).groupBy("x", "y", "range", "dps", "slower").agg(
-        F.count(F.lit(1)).alias("_n"))
-    pairs = near_pairs(grouped, points, 2 * max_range)
-    share = F.sqrt("d2") / F.col("range")
+    grouped = enemies.filter((F.col("range") >= 1) & (F.col("range") <= max_range)).groupBy("x", "y", "range", "dps", "slower").agg(
+        F.count(F.lit(1)).alias("_n")).withColumn("_class", F.ceil(F.log2(2 * F.col("range"))).cast("int"))
+    classes = F.sequence(F.lit(1), F.ceil(F.log2(F.lit(2.0 * max_range))).cast("int"))
+    offsets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    side = F.pow(F.lit(2.0), F.col("_class"))
+    around = points.select("point", "cx", "cy", F.explode(classes).alias("_class")).select("*", F.explode(offsets).alias("_o")).select(
+        "point", "cx", "cy", "_class", (F.floor(F.col("cx") / side) + F.col("_o.i")).alias("_gx"),
+        (F.floor(F.col("cy") / side) + F.col("_o.j")).alias("_gy"))
+    placed = grouped.withColumn("_gx", F.floor(F.col("x") / side)).withColumn("_gy", F.floor(F.col("y") / side))
+    d = distance(F.col("x"), F.col("y"), F.col("cx"), F.col("cy"))
+    pairs = placed.join(around, ["_class", "_gx", "_gy"]).withColumn("_d", d).filter(F.col("_d") <= 2 * F.col("range"))
+    share = F.col("_d") / F.col("range")
     inside = F.col("dps") + (1 - share) * F.col("dps")
     slope = F.when(F.col("slower"), 1.5).otherwise(2.0)
     outside = F.greatest(F.lit(0.0), (slope - share) * F.col("dps"))
-    value = F.when(F.sqrt("d2") < F.col("range"), inside).otherwise(outside) * F.col("_n")
+    value = F.when(F.col("_d") < F.col("range"), inside).otherwise(outside) * F.col("_n")
     sums = pairs.groupBy("point").agg(F.sum(value).alias("danger"))
     return points.select("point").join(sums, "point", "left").select(
         "point", F.coalesce("danger", F.lit(0.0)).alias("danger"))
@@ -162,9 +190,11 @@ def eps_groups(points: DataFrame, eps: float, on: Sequence[str] = (), height: st
     """Groups of points linked by steps of at most ``eps``: (x, y) with ``group``.
 
     Cells are so small that all points of one cell are linked, so cells are the
-    nodes. Two cells are linked if any two of their points are near enough;
-    boxes of an eighth of a cell settle that for crowded cells, and only boxes
-    that leave it open compare their points. With ``height`` (one of a map's
+    nodes. Two cells are linked if any two of their points are near enough.
+    Boxes of an eighth of a cell settle that for most; pairs of boxes that leave
+    it open are refined to boxes of a quarter of the side, round by round, until
+    one pair of a cell is surely near or none can be: a box of one point settles
+    all, so points are never joined to points. With ``height`` (one of a map's
     few levels) a link also needs heights within ``height_gap``. ``group`` is
     one cell of the group.
     """
@@ -176,8 +206,11 @@ def eps_groups(points: DataFrame, eps: float, on: Sequence[str] = (), height: st
         spots = spots.withColumn(name, cell_of(F.col(axis), width))
     spots = cut_lineage(spots)
 
-    def as_other(df, names):
-        return df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])
+    own = {"h": "h2", "gx": "gx2", "gy": "gy2", "bx": "bx2", "by": "by2", "px": "px2", "py": "py2",
+           "ax0": "bx0", "ax1": "bx1", "ay0": "by0", "ay1": "by1"}
+
+    def as_other(df):
+        return df.select(*[F.col(c).alias(own.get(c, c)) for c in df.columns])
 
     boxes = spots.groupBy(*on, "h", "gx", "gy", "bx", "by").agg(*_box("a"))
     # Half of the cells around a cell, and the cell itself for other heights.
@@ -185,9 +218,6 @@ def eps_groups(points: DataFrame, eps: float, on: Sequence[str] = (), height: st
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in half])
     reach = boxes.withColumn("_s", F.explode(steps)).withColumn("gx2", F.col("gx") + F.col("_s.i")).withColumn(
         "gy2", F.col("gy") + F.col("_s.j")).drop("_s")
-    renamed = {"h": "h2", "gx": "gx2", "gy": "gy2", "bx": "bx2", "by": "by2",
-               "ax0": "bx0", "ax1": "bx1", "ay0": "by0", "ay1": "by1"}
-    other = as_other(boxes, renamed)
     zero = F.lit(0.0)
     low = squared(F.greatest(F.col("bx0") - F.col("ax1"), F.col("ax0") - F.col("bx1"), zero),
                   F.greatest(F.col("by0") - F.col("ay1"), F.col("ay0") - F.col("by1"), zero))
@@ -196,20 +226,27 @@ def eps_groups(points: DataFrame, eps: float, on: Sequence[str] = (), height: st
     same_cell = (F.col("gx") == F.col("gx2")) & (F.col("gy") == F.col("gy2"))
     levels = (F.abs(F.col("h") - F.col("h2")) <= height_gap) & (~same_cell | (F.col("h") < F.col("h2")))
     ends = [*on, "h", "gx", "gy", "h2", "gx2", "gy2"]
-    pairs = cut_lineage(reach.join(other, [*on, "gx2", "gy2"]).filter(levels & (low <= e2)).select(
-        *ends, "bx", "by", "bx2", "by2", (high <= e2).alias("sure")))
-    sure = pairs.filter("sure").select(*ends).distinct()
-    undecided = pairs.join(sure, ends, "left_anti")
-    place = [*on, "h", "gx", "gy", "bx", "by", "x", "y"]
-    one = spots.select(*place)
-    two = as_other(one, renamed | {"x": "px", "y": "py"})
-    tested = undecided.join(one, [*on, "h", "gx", "gy", "bx", "by"]).join(
-        two, [*on, "h2", "gx2", "gy2", "bx2", "by2"])
-    tested = tested.filter(squared(F.col("x") - F.col("px"), F.col("y") - F.col("py")) <= e2).select(*ends).distinct()
+    met, sure, width = reach.join(as_other(boxes), [*on, "gx2", "gy2"]).filter(levels), None, side / 8
+    while True:
+        pairs = cut_lineage(met.filter(low <= e2).select(*ends, "bx", "by", "bx2", "by2", (high <= e2).alias("sure")))
+        found = pairs.filter("sure").select(*ends).distinct()
+        sure = found if sure is None else sure.unionByName(found)
+        undecided = cut_lineage(pairs.join(found, ends, "left_anti").select(
+            *ends, *[F.col(c).alias(p) for c, p in (("bx", "px"), ("by", "py"), ("bx2", "px2"), ("by2", "py2"))]))
+        if undecided.isEmpty():
+            break
+        width /= 4
+        # Only cells with an open pair are cut finer.
+        cells = undecided.select(*on, "h", "gx", "gy").unionByName(
+            undecided.select(*on, F.col("h2").alias("h"), F.col("gx2").alias("gx"), F.col("gy2").alias("gy"))).distinct()
+        finer = spots.join(cells, [*on, "h", "gx", "gy"], "left_semi").withColumn("bx", cell_of(F.col("x"), width)).withColumn(
+            "by", cell_of(F.col("y"), width)).groupBy(*on, "h", "gx", "gy", "bx", "by").agg(*_box("a")).withColumn(
+            "px", F.floor(F.col("bx") / 4)).withColumn("py", F.floor(F.col("by") / 4))
+        met = undecided.join(finer, [*on, "h", "gx", "gy", "px", "py"]).join(as_other(finer), [*on, "h2", "gx2", "gy2", "px2", "py2"])
 
     node = F.struct(*on, "h", "gx", "gy")
     far_end = F.struct(*on, F.col("h2").alias("h"), F.col("gx2").alias("gx"), F.col("gy2").alias("gy"))
-    links = sure.unionByName(tested).select(node.alias("a"), far_end.alias("b"))
+    links = sure.select(node.alias("a"), far_end.alias("b"))
     labels = connected_components(spots.select(node.alias("node")).distinct(), links)
     level = [F.col("h").alias(height)] if height else []
     return spots.select(*on, "x", "y", *level, node.alias("node")).join(labels, "node").select(

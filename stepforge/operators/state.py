@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stepforge.operators.ordered import BLOCK, blocked_window
+from stepforge.operators.chains import follow, later_positions
+from stepforge.operators.ordered import blocked_window, even_blocks, numbered
+from stepforge.session import cut_lineage
 
 SECOND = 1_000_000
 
@@ -33,21 +35,22 @@ def expiring(rows: DataFrame, keys: Sequence[str], order: Sequence[str], block:
     return out.withColumn("visible", F.when(fresh, F.col("_write.value"))).drop("_write")
 
 
-def trailing_count(rows: DataFrame, keys: Sequence[str], seconds: int, block_seconds: int, time: str = "us") -> DataFrame:
-    """Rows of the key in the last ``seconds``, the current one included.
+def trailing_count(rows: DataFrame, keys: Sequence[str], seconds: int, time: str = "us", most: int = 1 << 20) -> DataFrame:
+    """Add ``recent``: rows of the key in the last ``seconds``, the current one and those of its instant included.
 
-    Rows near the end of a block are copied into the next one, so a block
-    counts alone; ``block_seconds`` is at least ``seconds``.
+    One running number over the instants of a key, each counted where it comes
+    and taken off again just after it is too old: the difference of two running
+    numbers in one order, without a range frame. No block holds more than about
+    ``most`` instants.
     """
-    if block_seconds < seconds:
-        raise ValueError("a block must be as long as the time looked back")
-    width, reach = block_seconds * SECOND, seconds * SECOND
-    own = rows.withColumn(BLOCK, F.floor(F.col(time) / width)).withColumn("_own", F.lit(True))
-    ahead = F.floor((F.col(time) + reach) / width)
-    copies = own.filter(ahead > F.col(BLOCK)).withColumn(BLOCK, F.col(BLOCK) + 1).withColumn("_own", F.lit(False))
-    frame = Window.partitionBy(*keys, BLOCK).orderBy(time).rangeBetween(-reach, 0)
-    counted = own.unionByName(copies).withColumn("recent", F.count(F.lit(1)).over(frame))
-    return counted.filter("_own").drop(BLOCK, "_own")
+    keys, reach = list(keys), seconds * SECOND
+    instants = rows.groupBy(*keys, time).agg(F.count(F.lit(1)).alias("_n"))
+    moves = instants.select(*keys, F.inline(F.array(
+        F.struct(F.col(time).alias("_t"), F.lit(0).alias("_kind"), F.col("_n").alias("_by")),
+        F.struct((F.col(time) + reach).alias("_t"), F.lit(1).alias("_kind"), (-F.col("_n")).alias("_by")))))
+    placed = even_blocks(moves, keys, "_t", reach, most)
+    summed = blocked_window(placed, keys, ["_t", "_kind"], F.col("_even"), sums={"recent": F.col("_by")})
+    return rows.join(summed.filter("_kind = 0").select(*keys, F.col("_t").alias(time), "recent"), [*keys, time])
 
 
 def commits(issued: DataFrame, seen: DataFrame, keys: Sequence[str], wait: float, time: str = "us") -> DataFrame:
@@ -68,51 +71,44 @@ def commits(issued: DataFrame, seen: DataFrame, keys: Sequence[str], wait: float
 
 def accepted_issues(rows: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, wait: float,
                     time: str = "us") -> DataFrame:
-    """Mark issues that were not ignored because the same key was still pending.
+    """Issues that were not ignored because the same key was still pending.
 
-    ``rows`` has ``committed`` from ``commits``. Whatever was pending is over
-    once the key was confirmed or was silent for ``wait``: there a run starts,
-    and its first issue is accepted. Only inside a run, which is a burst of
-    repeats of one order, the issues are walked in order.
+    ``rows`` has ``committed`` from ``commits``. An accepted issue is pending
+    until it was confirmed or ``wait`` went by; the first issue later than that
+    is accepted next.
     """
-    width = int(wait * SECOND)
-    gap = blocked_window(rows, keys, order, block, lags={"_before": F.struct(F.col(time).alias("at"), "committed")})
-    over = (F.col("_before").isNull() | (F.col(time) - F.col("_before.at") > width)
-            | (F.col("_before.committed") <= F.col(time)))
-    runs = blocked_window(gap.withColumn("_start", F.coalesce(over, F.lit(False))), keys, order, block,
-                          sums={"_run": F.col("_start").cast("bigint")})
-    rest = [c for c in rows.columns if c not in keys and c != time]
-    entry = F.struct(F.col(time).alias("at"), *rest)
-    grouped = runs.groupBy(*keys, "_run").agg(F.array_sort(F.collect_list(entry)).alias("_rows"))
-    row = "struct<at:bigint," + ",".join(
-        f"{f.name}:{f.dataType.simpleString()}" for f in rows.schema.fields if f.name in rest) + ">"
-    empty = F.struct(F.lit(None).cast("bigint").alias("until"), F.array().cast(f"array<{row}>").alias("kept"))
-
-    def walk(state, r):
-        free = state["until"].isNull() | (r["at"] > state["until"])
-        end = F.coalesce(r["committed"], r["at"] + width)
-        return F.struct(F.when(free, end).otherwise(state["until"]).alias("until"),
-                        F.when(free, F.concat(state["kept"], F.array(r))).otherwise(state["kept"]).alias("kept"))
-
-    kept = grouped.select(*keys, F.explode(F.aggregate("_rows", empty, walk)["kept"]).alias("r"))
-    return kept.select(*keys, F.col("r.at").alias(time), *[F.col(f"r.{c}").alias(c) for c in rest]).select(*rows.columns)
-
-
-def sample_tumbling(rows: DataFrame, keys: Sequence[str], seconds: int, time: str = "us") -> DataFrame:
-    """First snapshot of every interval: an aggregate that combines before the shuffle."""
-    slot = F.floor(F.col(time) / (seconds * SECOND))
-    rest = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys, slot.alias("slot")).agg(F.min_by(F.struct(*rest), time).alias("_r")).select(
-        *keys, "slot", *[F.col(f"_r.{c}").alias(c) for c in rest])
-
-
-def clamp_fold(rows: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, a: Column, b: Column,
-               low: Column, high: Column, start: float = 0.0) -> DataFrame:
+    until = F.coalesce("committed", F.col(time) + int(wait * SECOND))
+    return _kept_in_turn(rows, keys, order, block, until, False, int(wait * SECOND), time)
+
+
+def sample_interval(rows: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, seconds: float, time: str = "us") -> DataFrame:
+    """Rows kept when at least ``seconds`` passed since the last kept row of the key; its first row is kept."""
+    width = int(seconds * SECOND)
+    return _kept_in_turn(rows, keys, order, block, F.col(time) + width, True, width, time)
+
+
+def _kept_in_turn(rows: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, until: Column, same: bool, width: int,
+                  time: str) -> DataFrame:
+    """The first row of each key, then always the first one that reaches ``until`` of the one kept before."""
+    placed = cut_lineage(numbered(rows, keys, order, block, "seq"))
+    jumps = later_positions(placed, keys, time, until, width, same=same)
+    return placed.join(follow(jumps, keys).select(*keys, "seq"), [*keys, "seq"], "left_semi").select(*rows.columns)
+
+
+FOLD = 1024
+
+
+def clamp_fold(rows: DataFrame, keys: Sequence[str], order: Sequence[str], width: int, a: Column, b: Column,
+               low: Column, high: Column, start: float = 0.0, most: int = 1 << 20) -> DataFrame:
     """Fold ``h -> min(high, max(low, a * h + b))`` over a key's rows in order.
 
-    Such steps compose to one of the same form, so every block folds its own
-    rows into one step and only the steps of blocks are folded per key.
+    Such steps compose to one of the same form. Rows are numbered in blocks of
+    about equal size (``order`` begins with a time in whole numbers, ``width`` of
+    it is a block until it holds ``most`` rows), and then folded ``FOLD`` at a
+    time, first rows, then the steps that came of them, until a key has one: no
+    list is longer than ``FOLD``. Rows are read twice for their numbers.
     """
+    keys = list(keys)
     step = F.struct(*[c.cast("double").alias(n) for n, c in (("a", a), ("b", b), ("lo", low), ("hi", high))])
     identity = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"), F.lit(float("-inf")).alias("lo"),
                         F.lit(float("inf")).alias("hi"))
@@ -125,13 +121,18 @@ def clamp_fold(rows: DataFrame, keys: Sequence[str], order: Sequence[str], block
         return F.struct((g["a"] * f["a"]).alias("a"), scaled(f["b"]).alias("b"),
                         clamp(scaled(f["lo"]), g).alias("lo"), clamp(scaled(f["hi"]), g).alias("hi"))
 
-    entry = F.struct(*order, step.alias("step"))
-    folded = rows.withColumn(BLOCK, block).groupBy(*keys, BLOCK).agg(
-        F.array_sort(F.collect_list(entry)).alias("_l")).select(
-        *keys, BLOCK, F.aggregate("_l", identity, lambda f, e: then(f, e["step"])).alias("step"))
-    chain = folded.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(BLOCK, "step"))).alias("_l"))
-    value = F.aggregate("_l", F.lit(start), lambda h, e: clamp(e["step"]["a"] * h + e["step"]["b"], e["step"]))
-    return chain.select(*keys, value.alias("value"))
+    narrow = even_blocks(rows.select(*keys, *order, step.alias("step")), keys, order[0], width, most)
+    steps = numbered(narrow, keys, order, F.col("_even")).select(*keys, "seq", "step")
+    while True:
+        entry = F.struct("seq", "step")
+        steps = cut_lineage(
+            steps.groupBy(*keys, F.floor(F.col("seq") / FOLD).alias("block"))
+            .agg(F.array_sort(F.collect_list(entry)).alias("_l"))
+            .select(*keys, F.col("block").alias("seq"), F.aggregate("_l", identity, lambda f, e: then(f, e["step"])).alias("step")))
+        if steps.filter("seq > 0").isEmpty():
+            break
+    value = clamp(F.col("step.a") * start + F.col("step.b"), F.col("step"))
+    return steps.select(*keys, value.alias("value"))
 
 
 def frame_changes(frames: DataFrame, unit: Sequence[str], order: Sequence[str], block: Column, gap: int,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepforge.operators.ordered import blocked_window
+from stepforge.operators.pyramid import Between, build, range_sums
 
 # Gas per second of one saturated miner slot; excess workers mine at half rate.
 GAS_RATE = 0.94339622641509433962
@@ -65,12 +66,35 @@ def sides(units: DataFrame, keys: Sequence[str], values: DataFrame) -> DataFrame
         F.coalesce(F.max(F.when(~F.col("mine"), struct)), zero).alias("enemy"))
 
 
-def zone_balance(units: DataFrame, zone: str, values: DataFrame) -> DataFrame:
-    """Own minus enemy strength per zone and whether an own zone is under attack."""
-    rows = sides(units, [zone], values)
-    balance = F.round(F.col("own.power") - F.col("enemy.power"), 1)
-    return rows.select(zone, balance.alias("balance"),
-                       ((F.col("enemy.power") > 5) | (balance < 1)).alias("under_attack"))
+def zone_states(units: DataFrame, enemies: DataFrame, zones: DataFrame, values: DataFrame, danger_radius: float,
+                line_radius: float = 10.0) -> DataFrame:
+    """State of every zone: strength of both sides, what assaults it, and whether it is attacked or to be evacuated.
+
+    ``units`` has zone, type, mine of the units assigned to zones; ``enemies``
+    has type, x, y of all enemy units; ``zones`` has zone, cx, cy, lx, ly (the
+    mineral line's middle), ours, enemys. Enemies assault a zone of ours from
+    ``danger_radius`` around its middle, and workers leave it when fighters with
+    some strength against ground are near its mineral line. Zones without units
+    are judged too.
+    """
+    own = sides(units, ["zone"], values).select("zone", F.col("own.power").alias("own_power"), F.col("enemy.power").alias("enemy_power"))
+    armed = enemies.join(values, "type").select(
+        "x", "y", "power", F.when(F.col("hits_ground"), F.col("power")).otherwise(0.0).alias("ground"), (~F.col("worker")).cast("int").alias("fighter"))
+    ours = zones.filter("ours")
+
+    def around(radius: float, cx: str, cy: str, wanted: dict[str, str]) -> DataFrame:
+        tree = build(armed, radius, {v: F.col(v) for v in wanted.values()})
+        reach = Between(high=radius * radius, closed=True)
+        return range_sums(tree, ours.select("zone", F.col(cx).alias("cx"), F.col(cy).alias("cy")), ["zone"], {n: (v, reach) for n, v in wanted.items()})
+
+    assault = around(danger_radius, "cx", "cy", {"assault_power": "power"})
+    line = around(line_radius, "lx", "ly", {"_ground": "ground", "_fighters": "fighter"})
+    joined = zones.select("zone", "ours", "enemys").join(own, "zone", "left").join(assault, "zone", "left").join(line, "zone", "left")
+    filled = joined.select("zone", "ours", "enemys", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("own_power", "enemy_power", "assault_power")],
+                           (F.coalesce(F.col("_ground") > 3, F.lit(False)) & (F.coalesce("_fighters", F.lit(0)) > 0)).alias("evacuate"))
+    balance = F.round(F.col("own_power") - F.col("enemy_power"), 1)
+    attacked = (F.col("ours") & (F.col("assault_power") > 5)) | (balance < 1) | (F.col("enemys") & (balance > 0))
+    return filled.withColumn("balance", balance).withColumn("under_attack", attacked)
 
 
 def known_counts(sightings: DataFrame, destroyed: DataFrame, keys: Sequence[str], ignored: Sequence[str]) -> DataFrame:
@@ -198,16 +222,37 @@ def air_bucket(share: Column) -> Column:
     return ladder
 
 
+def counted_strength(counts: DataFrame, keys: Sequence[str], values: DataFrame) -> DataFrame:
+    """Strength struct ``predicted`` per group of counted types (type, count), such as known and guessed ones merged."""
+    rows = counts.filter(F.col("count") > 0).join(values, "type")
+    n, power = F.col("count"), F.col("power") * F.col("count")
+
+    def total(condition: Column, value: Column = power) -> Column:
+        return F.sum(F.when(condition, value).otherwise(F.lit(0.0)))
+
+    air = F.when(F.col("weak_air"), n * WEAK_AIR_POWER).otherwise(power)
+    return rows.groupBy(*keys).agg(
+        F.sum(power).alias("power"), total(F.col("flying")).alias("air_presence"), total(~F.col("flying")).alias("ground_presence"),
+        total(F.col("shoots_air"), air).alias("air_power"), total(F.col("hits_ground")).alias("ground_power")).select(
+        *keys, F.struct("power", "air_presence", "ground_presence", "air_power", "ground_power").alias("predicted"))
+
+
 def advantage_report(games: DataFrame) -> DataFrame:
-    """Buckets and verdicts per game: ``own`` and ``enemy`` strength, income, zones, workers."""
+    """Buckets and verdicts per game: ``own``, ``enemy`` and ``predicted`` enemy strength, income, zones, workers.
+
+    The known enemy gives ``army_advantage``. Verdicts, ``army_predicted`` and
+    the share of air follow the predicted enemy: what can shoot up, over all, if
+    anything flies.
+    """
     income = income_bucket(F.col("income") + F.col("zones") * 10)
-    total = F.col("enemy.air_presence") + F.col("enemy.ground_presence")
+    guess = F.col("predicted")
+    air = F.when(guess["air_presence"] > 0, guess["air_power"] / guess["power"]).otherwise(0.0)
     rows = games.withColumn("income_advantage", income).withColumn("army_advantage", army_bucket()).withColumn(
-        "enemy_air", air_bucket(F.when(total > 0, F.col("enemy.air_presence") / total).otherwise(0.0)))
+        "army_predicted", army_bucket("own", "predicted")).withColumn("enemy_air", air_bucket(air))
     best, worst = "OverwhelmingAdvantage", "OverwhelmingDisadvantage"
     return rows.withColumn(
-        "victory", (F.col("army_advantage") == best) & (F.col("income_advantage") == best)).withColumn(
-        "defeat", (F.col("army_advantage") == worst) & (
+        "victory", (F.col("army_predicted") == best) & (F.col("income_advantage") == best)).withColumn(
+        "defeat", (F.col("army_predicted") == worst) & (
             (F.col("workers") < 5) | (F.col("income_advantage") == worst)))
 
 
@@ -241,11 +286,17 @@ def mineral_total(patches: DataFrame, zone: str, block: Column) -> DataFrame:
     return kept.withColumn("band", band)
 
 
-def worker_window(*, now: Column, ours: Column, workers_seen: Column, base_seen: Column, scouted: Column,
-                  build_time: int) -> Column:
-    """Until when enemy workers may be in a zone."""
-    return (F.when(ours, now + 300).when(workers_seen, F.lit(0)).when(base_seen, now + 60)
-            .when(scouted.isNotNull(), scouted + build_time + 90).otherwise(F.lit(180)))
+def worker_window(*, before: Column, now: Column, ours: Column, enemys: Column, visible: Column, workers_seen: Column, finished: Column,
+                  scouted: Column, build_time: int) -> Column:
+    """Until when enemy workers may be in a zone, from what was held ``before``.
+
+    ``finished`` is when the enemy's base is or will be complete, null without a
+    base; ``scouted`` when the zone was last seen, null if never.
+    """
+    held = F.when(ours, now + 300).otherwise(before)
+    seen = F.when(enemys & workers_seen, F.lit(0)).when(enemys & finished.isNotNull(), F.greatest(now, finished) + 60).otherwise(held)
+    unseen = F.when(scouted.isNull(), F.lit(180)).when(ours | enemys, scouted + build_time + 90).otherwise(held)
+    return F.when(visible, seen).otherwise(unseen)
 
 
 def loss_events(destroyed: DataFrame, values: DataFrame, real_types: DataFrame, ignored: Sequence[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,10 +136,94 @@ def round_robin(rows: DataFrame, bot: str, order: Sequence[str], block: Column)
     return numbered(rows, [bot], order, block, "turn")
 
 
+def greedy_turns(counts: Mapping[tuple[Any, Any, Any], int]) -> list[tuple]:
+    """The order in which bots take turns to pick games, as runs over the counts of (bot, hard, race).
+
+    Round after round every bot in order picks a game of its hardest difficulty
+    left, of the race picked least so far by all bots together (ties: the
+    smaller race). A run ``(bot, hard, race, nth, step, turn, every, times)``
+    says that the bucket's games ``nth``, ``nth + step``, ... are picked in rounds
+    ``turn``, ``turn + every``, ... Rounds that pick alike, or rounds that come
+    back to the same gaps between races, are skipped over at once, so the
+    work follows the buckets and not the games.
+    """
+    left = {k: n for k, n in counts.items() if n > 0}
+    bots = sorted({k[0] for k in left})
+    picked = dict.fromkeys(sorted({k[2] for k in left}), 0)
+    taken, runs, turn, seen, last = dict.fromkeys(left, 0), [], 0, {}, None
+
+    def one_round():
+        """The buckets picked in this round, with what the race counts then were."""
+        now, out = dict(picked), []
+        for bot in bots:
+            open_ = [k for k in left if k[0] == bot and left[k] > taken[k]]
+            if open_:
+                hard = min(k[1] for k in open_)
+                fitting = [k for k in open_ if k[1] == hard]
+                best = min(fitting, key=lambda k: (now[k[2]], k[2]))
+                out.append((best, fitting, dict(now)))
+                now[best[2]] += 1
+        return out
+
+    def advance(rounds, times):
+        """Record the picks of a list of rounds repeated ``times`` times."""
+        nonlocal turn
+        used = Counter(k for picks in rounds for k in picks)
+        done: Counter = Counter()
+        for at, picks in enumerate(rounds):
+            for k in picks:
+                runs.append((*k, taken[k] + done[k], used[k], turn + at, len(rounds), times))
+                done[k] += 1
+        for k, n in used.items():
+            taken[k] += n * times
+            picked[k[2]] += n * times
+        turn += len(rounds) * times
+
+    history: list[list] = []
+    while True:
+        picks = one_round()
+        if not picks:
+            return runs
+        chosen = [k for k, _, _ in picks]
+        gained = Counter(k[2] for k in chosen)
+        # The same picks hold for as long as no bucket ends and no race falls behind another that the bot could pick.
+        times = min(left[k] - taken[k] for k in chosen)
+        for k, fitting, now in picks:
+            for other in fitting:
+                gap, closing = now[other[2]] - now[k[2]], gained[k[2]] - gained[other[2]]
+                if closing > 0:
+                    times = min(times, (gap - (k[2] > other[2])) // closing + 1)
+        state = (tuple(n - min(picked.values()) for n in picked.values()), tuple(left[k] > taken[k] for k in left))
+        if times > 1:
+            history, seen = [], {}
+            advance([chosen], times)
+            continue
+        if state in seen:
+            rounds = history[seen[state]:]
+            used = Counter(k for one in rounds for k in one)
+            again = min((left[k] - taken[k] - 1) // n for k, n in used.items())
+            history, seen = [], {}
+            if again > 0:
+                advance(rounds, again)
+                continue
+        seen[state] = len(history)
+        history.append(chosen)
+        advance([chosen], 1)
+
+
 def diverse_order(rows: DataFrame, bot: str) -> DataFrame:
-    """Hardest first; inside a difficulty the races take turns.
+    """Add ``turn``: bots pick in turns, hardest first, of the race picked least by all of them so far.
 
-    ``rows`` has hard, race and match_id.
+    ``rows`` has hard, race and match_id. Only the number of games of each
+    (bot, hard, race) is brought to the driver, a table of fixed vocabularies;
+    games come in order of match_id inside it.
     """
-    turns = numbered(rows, [bot, "hard", "race"], ["match_id"], F.floor(F.col("match_id") / 65536), "race_turn")
-    return numbered(turns, [bot], ["hard", "race_turn", "race", "match_id"], ranged("hard", "race_turn", 16384), "turn")
+    counts = {(r[0], r[1], r[2]): r[3] for r in rows.groupBy(bot, "hard", "race").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in (bot, "hard", "race"))
+    runs = rows.sparkSession.createDataFrame(
+        greedy_turns(counts), f"{kinds}, _first bigint, _step bigint, _turn bigint, _every bigint, _times bigint")
+    placed = numbered(rows, [bot, "hard", "race"], ["match_id"], F.floor(F.col("match_id") / 65536), "_nth")
+    ahead = F.col("_nth") - F.col("_first")
+    met = placed.join(runs, [bot, "hard", "race"]).filter((ahead >= 0) & (ahead % F.col("_step") == 0) & (ahead < F.col("_step") * F.col("_times")))
+    turn = F.col("_turn") + (ahead / F.col("_step")).cast("bigint") * F.col("_every")
+    return met.select(*rows.columns, turn.alias("turn"))

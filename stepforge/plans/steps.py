@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from stepforge.functions.vocabulary import (
     BOUNDARY_ACTIONS, GAS_HEAVY_ACTIONS, PRODUCTION_ACTIONS, STICKY_ACTIONS, TRAIN_PREFIXES, WORKER_ACTIONS,
 )
+from stepforge.operators.chains import BLOCK_ROWS, follow
 from stepforge.operators.ordered import blocked_window
 
 # Order in which categories are listed.
@@ -71,7 +72,6 @@ def build_summary(rows: DataFrame, traj: str, time: str, base_workers: int = 12)
 
 
 MIN_STEP, MAX_STEP, TAIL = 10, 15, 3
-CHAIN_BLOCK = 4096
 
 
 def boundary_scores(rows: DataFrame, traj: str = "traj_id", seq: str = "seq", action: str = "ability") -> DataFrame:
@@ -87,59 +87,25 @@ def boundary_scores(rows: DataFrame, traj: str = "traj_id", seq: str = "seq", ac
     return rows.join(first, [traj, action], "left").withColumn("score", score).drop("_first")
 
 
-def split_steps(scored: DataFrame, traj: str = "traj_id", size: int = CHAIN_BLOCK) -> DataFrame:
+def split_steps(scored: DataFrame, traj: str = "traj_id", size: int = BLOCK_ROWS) -> DataFrame:
     """Steps (traj, step_id, start, end) of trajectories with dense ``seq`` and ``score``.
 
-    The next cut of a position looks at most ``MAX_STEP`` ahead, so a block of
-    positions can only be entered at its first few places. Each block works out
-    where every such entry leaves it; per trajectory only these short tables
-    are chained; then each block lists its cuts from the one entry used. A
-    trajectory of any length therefore never sits in one group.
+    Every position knows the cut that would follow it, at most ``MAX_STEP``
+    ahead, or the end where no whole step would be left; the cuts are those
+    reached from position 0. Blocks are counted in positions, so none holds more
+    than ``size`` rows and the few that it looks ahead at.
     """
-    entries = MAX_STEP
-    lengths = scored.groupBy(traj).agg((F.max("seq") + 1).alias("n"))
-    rows = scored.select(traj, "seq", "score").withColumn("block", F.floor(F.col("seq") / size))
-    halo = rows.filter((F.col("seq") % size < entries) & (F.col("block") > 0)).withColumn("block", F.col("block") - 1)
-    ahead = Window.partitionBy(traj, "block").orderBy("seq").rowsBetween(MIN_STEP, MAX_STEP)
-    best = F.max_by("seq", F.struct("score", -F.col("seq"))).over(ahead)
-    jumps = rows.unionByName(halo).withColumn("_best", best).filter(F.floor(F.col("seq") / size) == F.col("block"))
-    jumps = jumps.join(lengths, traj).withColumn(
-        "to", F.when(F.col("n") - F.col("seq") <= MAX_STEP + TAIL, F.col("n")).otherwise(F.col("_best")))
-    blocks = jumps.groupBy(traj, "block").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("seq", "to"))), lambda e: e["to"]).alias("to"))
-    base, count = F.col("block") * size, F.size("to")
-    most = F.sequence(F.lit(1), F.floor(count / MIN_STEP).cast("int") + 2)
-
-    def hop(p):
-        return F.element_at(F.col("to"), (p - base + 1).cast("int"))
-
-    def leave(p):
-        return F.aggregate(most, p, lambda at, _: F.when(at < base + count, hop(at)).otherwise(at))
-
-    exits = F.transform(F.sequence(F.lit(0), F.lit(entries - 1)), lambda e: leave(base + e))
-    maps = blocks.select(traj, "block", exits.alias("exits"))
-    place = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<block:bigint,entry:bigint>>").alias("used"))
-
-    def chain(state, b):
-        offset = state["at"] - b["block"] * size
-        inside = (offset >= 0) & (offset < entries)
-        return F.struct(F.when(inside, F.element_at(b["exits"], (offset + 1).cast("int"))).otherwise(state["at"]).alias("at"),
-                        F.concat(state["used"], F.array(F.struct(b["block"].alias("block"), state["at"].alias("entry")))).alias("used"))
-
-    chained = maps.groupBy(traj).agg(F.array_sort(F.collect_list(F.struct("block", "exits"))).alias("_b"))
-    used = chained.select(traj, F.explode(F.aggregate("_b", place, chain)["used"]).alias("_u")).select(
-        traj, "_u.block", "_u.entry")
-    start = F.struct(F.col("entry").alias("at"), F.array().cast("array<bigint>").alias("cuts"))
-
-    def cut(state, _):
-        inside = state["at"] < base + count
-        return F.struct(F.when(inside, hop(state["at"])).otherwise(state["at"]).alias("at"),
-                        F.when(inside, F.concat(state["cuts"], F.array(state["at"]))).otherwise(state["cuts"]).alias("cuts"))
-
-    listed = blocks.join(used, [traj, "block"]).withColumn("cuts", F.aggregate(most, start, cut)["cuts"])
-    cuts = listed.select(traj, F.explode(F.transform("cuts", lambda p: F.struct(
-        p.alias("start"), (hop(p) - 1).alias("end")))).alias("_c")).select(traj, "_c.start", "_c.end")
-    return blocked_window(cuts, [traj], ["start"], F.floor(F.col("start") / size), number="step_id")
+    here, reach = F.floor(F.col("seq") / size), MAX_STEP + TAIL
+    seen_by = F.when((F.col("seq") % size < reach) & (here > 0), F.array(here, here - 1)).otherwise(F.array(here))
+    rows = scored.select(traj, "seq", "score", F.explode(seen_by).alias("_block"))
+    block = Window.partitionBy(traj, "_block")
+    ahead = block.orderBy("seq")
+    best = F.max_by("seq", F.struct("score", -F.col("seq"))).over(ahead.rowsBetween(MIN_STEP, MAX_STEP))
+    # Where no row lies a longest step and its tail ahead, the block sees the trajectory's last row.
+    jumps = rows.select(traj, "seq", "_block", best.alias("_best"), F.lead("seq", reach).over(ahead).alias("_far"), F.max("seq").over(block).alias("_last"))
+    to = F.when(F.col("_far").isNull(), F.col("_last") + 1).otherwise(F.col("_best"))
+    cuts = follow(jumps.filter(F.col("_block") == here).select(traj, "seq", to.alias("to")), [traj], size)
+    return cuts.select(traj, F.col("hop").alias("step_id"), F.col("seq").alias("start"), (F.col("to") - 1).alias("end"))
 
 
 def steps_to_actions(steps: DataFrame, rows: DataFrame, traj: str = "traj_id") -> DataFrame:

@@ -159,13 +159,13 @@ def target_result(target: Column) -> Column:
     return F.coalesce(value["produces_name"], value["upgrade_name"])
 
 
-def read_matches(spark: SparkSession, root: str) -> DataFrame:
-    """Matches of every ``results.json`` below a folder."""
+def read_matches(spark: SparkSession, root: str, names: str = "results.json", lines: bool = False) -> DataFrame:
+    """Matches of every ``results.json`` below a folder; with ``lines`` a file holds a run's results on each line."""
     schema = ("matches array<struct<bot_key:string,bot_folder:string,opponent:string,enemy_race:string,difficulty:string,"
               "map:string,port:int,log_path:string,replay_path:string,sequence_dir:string,status:string,result:string,"
               "error:string,sequence_file:string,victory:boolean>>")
-    files = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "results.json").json(root)
+    files = spark.read.schema(schema).option("multiLine", not lines).option("recursiveFileLookup", True).option(
+        "pathGlobFilter", names).json(root)
     return files.select(F.explode("matches").alias("m")).select("m.*")
 
 

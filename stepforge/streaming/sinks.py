@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stepforge.operators.keyed import first_per_key
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -50,31 +53,15 @@ def read_log(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(folder, name))
 
 
-def upsert(results: DataFrame, folder: str, key: str, time: str = "us", buckets: int = 64) -> str:
-    """Keep the row of the latest ``time`` per key; returns the folder, for ``read_upserted``.
+def upsert(results: DataFrame, folder: str) -> str:
+    """Write every micro-batch as a folder of its own under its number; returns the folder, for ``read_upserted``.
 
-    Keys are dealt to buckets. A batch rewrites only the buckets it touches, each
-    as a new version that holds old and new rows; a version counts once its writer has
-    finished it. What is there is found in the folder and not remembered, so a
-    run goes on where the last one ended, and a batch that is run again meets its own
-    rows and changes nothing. Earlier versions than the last two are removed.
+    A batch that is run again after a failure replaces its folder. Nothing is
+    looked up or rewritten while the stream runs; the newest row of a key is
+    chosen by whoever reads.
     """
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        dealt = batch.withColumn("bucket", F.pmod(F.xxhash64(key), buckets).cast("int")).persist()
-        touched = [r.bucket for r in dealt.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-        if touched:
-            rest = [c for c in batch.columns if c != key]
-            held = {b: p for b, p in _versions(spark, folder, number).items() if b in set(touched)}
-            rows = dealt
-            if held:
-                rows = dealt.unionByName(spark.read.schema(dealt.schema).parquet(*held.values()))
-            newest = rows.groupBy("bucket", key).agg(F.max_by(F.struct(*rest), time).alias("r")).select(
-                "bucket", key, *[F.col(f"r.{c}").alias(c) for c in rest])
-            newest.withColumn("_part", F.col("bucket")).write.mode("overwrite").partitionBy("_part").parquet(
-                os.path.join(folder, f"version={number:012d}"))
-            _remove_old(spark, folder)
-        dealt.unpersist()
+        batch.write.mode("overwrite").parquet(os.path.join(folder, "rows", f"batch={number}"))
 
     run = results.writeStream.foreachBatch(write).option(
         "checkpointLocation", os.path.join(folder, "checkpoint")).trigger(availableNow=True).start()
@@ -82,42 +69,14 @@ def upsert(results: DataFrame, folder: str, key: str, time: str = "us", buckets:
     return folder
 
 
-def _listed(spark: SparkSession, folder: str):
-    """Finished versions, oldest first: ``(number, {bucket: path})``."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(path):
-        return store, []
-    found = []
-    for entry in sorted(str(x.getPath()) for x in store.listStatus(path)):
-        name = entry.rsplit("/", 1)[-1]
-        if name.startswith("version=") and store.exists(spark._jvm.org.apache.hadoop.fs.Path(entry, "_SUCCESS")):
-            parts = [str(x.getPath()) for x in store.listStatus(spark._jvm.org.apache.hadoop.fs.Path(entry))]
-            found.append((int(name[8:]), {int(p.rsplit("=", 1)[1]): p for p in parts if "/_part=" in p}))
-    return store, found
-
-
-def _versions(spark: SparkSession, folder: str, before: int | None = None) -> dict[int, str]:
-    """The path of each bucket's last finished version below ``before``."""
-    latest: dict[int, str] = {}
-    for number, parts in _listed(spark, folder)[1]:
-        if before is None or number < before:
-            latest.update(parts)
-    return latest
-
-
-def _remove_old(spark: SparkSession, folder: str, keep: int = 2) -> None:
-    """Remove bucket versions older than the last ``keep`` of their bucket."""
-    store, found = _listed(spark, folder)
-    seen: dict[int, int] = {}
-    for _, parts in reversed(found):
-        for bucket, path in parts.items():
-            seen[bucket] = seen.get(bucket, 0) + 1
-            if seen[bucket] > keep:
-                store.delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
-
-
-def read_upserted(spark: SparkSession, folder: str) -> DataFrame | None:
-    """The rows of an upserted table, None before its first row."""
-    paths = list(_versions(spark, folder).values())
-    return spark.read.parquet(*paths).drop("bucket") if paths else None
+def read_upserted(spark: SparkSession, folder: str, key: str, order: Sequence[str]) -> DataFrame:
+    """The row of the greatest ``order`` per key over all batches; of equal ones the last batch's."""
+    rows = spark.read.parquet(os.path.join(folder, "rows"))
+    newest = first_per_key(rows, [key], [*[F.col(c) for c in order], F.col("batch")], latest=True)
+    return newest.drop("batch")
+
+
+def compacted(spark: SparkSession, folder: str, key: str, order: Sequence[str], to: str) -> DataFrame:
+    """The newest rows written as one table, which a reader may take instead of the batches so far."""
+    read_upserted(spark, folder, key, order).write.mode("overwrite").parquet(to)
+    return spark.read.parquet(to)

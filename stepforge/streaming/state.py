@@ -23,41 +23,74 @@ def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(frames).sort_values(["us", "event_id"]) if frames else pd.DataFrame()
 
 
-class SampleInterval(StatefulProcessor):
-    """Keeps a row when at least ``seconds`` passed since the last kept one."""
+class Forgetting(StatefulProcessor):
+    """State with one timer per key: when event time passes it, the state is dropped.
 
-    def __init__(self, seconds: float) -> None:
-        self.width = int(seconds * SECOND)
+    ``expired`` may emit rows when that happens. Timers are in milliseconds and
+    round up, so state never goes early.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "us bigint")
+        self.handle = handle
+        self.state = handle.getValueState("state", self.schema)
+
+    def held(self):
+        return tuple(self.state.get()) if self.state.exists() else None
+
+    def hold(self, state, until: int | None) -> None:
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if state is None:
+            self.state.clear()
+            return
+        self.state.update(state)
+        if until is not None:
+            self.handle.registerTimer(-(-until // 1000))
+
+    def expired(self, key, state):
+        return None
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        state = self.held()
+        self.state.clear()
+        out = self.expired(key, state) if state is not None else None
+        return iter(() if out is None else (out,))
+
+    def close(self) -> None:
+        pass
+
+
+class SampleInterval(Forgetting):
+    """Keeps a row when at least ``seconds`` passed since the last kept one; after that time nothing is remembered."""
+
+    schema = "us bigint"
+
+    def __init__(self, seconds: float) -> None:
+        self.width = int(seconds * SECOND)
 
     def handleInputRows(self, key, rows, timerValues):
-        last = self.last.get()[0] if self.last.exists() else None
-        frame, kept = in_order(rows), []
+        last = self.held()
+        last, kept = last and last[0], []
+        frame = in_order(rows)
         for us, event in zip(frame["us"], frame["event_id"]):
             if last is None or us - last >= self.width:
                 last = int(us)
                 kept.append((key[0], last, int(event)))
         if kept:
-            self.last.update((last,))
+            self.hold((last,), last + self.width)
             yield pd.DataFrame(kept, columns=["traj_id", "us", "event_id"])
 
-    def close(self) -> None:
-        pass
 
+class PendingCommit(Forgetting):
+    """Issued orders that are confirmed in time; repeats of a pending order are ignored, an order not confirmed in time is forgotten."""
 
-class PendingCommit(StatefulProcessor):
-    """Issued orders that are confirmed in time; repeats of a pending order are ignored."""
+    schema = "us bigint, event_id bigint"
 
     def __init__(self, wait: float) -> None:
         self.width = int(wait * SECOND)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.pending = handle.getValueState("pending", "us bigint, event_id bigint")
-
     def handleInputRows(self, key, rows, timerValues):
-        pending = tuple(self.pending.get()) if self.pending.exists() else None
+        pending = self.held()
         frame, done = in_order(rows), []
         for us, event, kind in zip(frame["us"], frame["event_id"], frame["kind"]):
             us = int(us)
@@ -68,16 +101,10 @@ class PendingCommit(StatefulProcessor):
             elif kind == "seen" and pending:
                 done.append((key[0], pending[1], us))
                 pending = None
-        if pending:
-            self.pending.update(pending)
-        else:
-            self.pending.clear()
+        self.hold(pending, pending and pending[0] + self.width + 1000)
         if done:
             yield pd.DataFrame(done, columns=["unit", "event_id", "committed"])
 
-    def close(self) -> None:
-        pass
-
 
 class LastSeenUnits(StatefulProcessor):
     """Emits a unit's last sighting once it expired unseen; seen or destroyed units are dropped."""
@@ -135,41 +162,64 @@ class ClassGate(StatefulProcessor):
         pass
 
 
-class FrameChanges(StatefulProcessor):
-    """Created and damaged events of a unit from its successive sightings."""
+class FrameChanges(Forgetting):
+    """Change events of a unit from its successive sightings, as ``operators.state.frame_changes`` has them.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.was = handle.getValueState("was", "health double, kind string")
+    A pause above ``gap`` means that the unit left view with its last sighting.
+    A unit not seen for ``forget`` is forgotten with the event ``last_seen``, and
+    is created anew if it comes back.
+    """
+
+    schema = "us bigint, event_id bigint, kind string, health double, shield double, progress double"
+
+    def __init__(self, gap: float, forget: float) -> None:
+        self.gap, self.forget = int(gap * SECOND), int(forget * SECOND)
 
     def handleInputRows(self, key, rows, timerValues):
-        was = tuple(self.was.get()) if self.was.exists() else None
-        out = []
-        for event, health, kind in in_order(rows)[["event_id", "health", "kind"]].itertuples(index=False):
+        was, out = self.held(), []
+        names = ["us", "event_id", "kind", "health", "shield", "progress", "destroyed"]
+        for us, event, kind, health, shield, progress, destroyed in in_order(rows)[names].itertuples(index=False):
+            us, event = int(us), int(event)
+
+            def tell(change, amount=0.0, at=event):
+                out.append((key[0], at, change, amount))
+
             if was is None:
-                out.append((key[0], int(event), "created", 0.0))
-            elif health < was[0]:
-                out.append((key[0], int(event), "damaged", was[0] - health))
-            if was is not None and kind != was[1]:
-                out.append((key[0], int(event), "type_changed", 0.0))
-            was = (float(health), kind)
+                tell("created")
+                if progress < 1:
+                    tell("construction_started")
+            else:
+                if us - was[0] > self.gap:
+                    tell("left_view", at=was[1])
+                    tell("entered_view")
+                if health < was[3] or shield < was[4]:
+                    tell("damaged", was[3] - health + was[4] - shield)
+                if kind != was[2]:
+                    tell("type_changed")
+                if destroyed:
+                    tell("destroyed")
+            if progress >= 1 and (was is None or was[5] < 1):
+                tell("construction_completed")
+            was = (us, event, kind, float(health), float(shield), float(progress))
         if was is not None:
-            self.was.update(was)
+            self.hold(was, was[0] + self.forget)
         if out:
             yield pd.DataFrame(out, columns=["traj_id", "event_id", "change", "amount"])
 
-    def close(self) -> None:
-        pass
+    def expired(self, key, state):
+        return pd.DataFrame([(key[0], state[1], "last_seen", 0.0)], columns=["traj_id", "event_id", "change", "amount"])
 
 
-def sample_interval(rows: DataFrame, seconds: float) -> DataFrame:
-    return rows.groupBy("traj_id").transformWithStateInPandas(
-        SampleInterval(seconds), "traj_id bigint, us bigint, event_id bigint", "Append", "None")
+def sample_interval(rows: DataFrame, seconds: float, late: str = "8 seconds") -> DataFrame:
+    """``rows`` has traj_id, us, event_id and the event time ``ts``; rows later than ``late`` are dropped."""
+    return rows.withWatermark("ts", late).groupBy("traj_id").transformWithStateInPandas(
+        SampleInterval(seconds), "traj_id bigint, us bigint, event_id bigint", "Append", "EventTime")
 
 
-def pending_commit(rows: DataFrame, wait: float) -> DataFrame:
-    """``rows`` has unit, kind (issue or seen), us, event_id."""
-    return rows.groupBy("unit").transformWithStateInPandas(
-        PendingCommit(wait), "unit bigint, event_id bigint, committed bigint", "Append", "None")
+def pending_commit(rows: DataFrame, wait: float, late: str = "8 seconds") -> DataFrame:
+    """``rows`` has unit, kind (issue or seen), us, event_id and the event time ``ts``."""
+    return rows.withWatermark("ts", late).groupBy("unit").transformWithStateInPandas(
+        PendingCommit(wait), "unit bigint, event_id bigint, committed bigint", "Append", "EventTime")
 
 
 def expired_units(rows: DataFrame, air_age: float, ground_age: float, late: str = "8 seconds") -> DataFrame:
@@ -185,9 +235,10 @@ def class_gate(rows: DataFrame, target: int, existing: DataFrame | None = None)
         ClassGate(target), "class string, index bigint", "Append", "None", begin)
 
 
-def frame_changes(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("traj_id").transformWithStateInPandas(
-        FrameChanges(), "traj_id bigint, event_id bigint, change string, amount double", "Append", "None")
+def frame_changes(rows: DataFrame, gap: float, forget: float, late: str = "8 seconds") -> DataFrame:
+    """``rows`` has traj_id, us, event_id, kind, health, shield, progress, destroyed and the event time ``ts``."""
+    return rows.withWatermark("ts", late).groupBy("traj_id").transformWithStateInPandas(
+        FrameChanges(gap, forget), "traj_id bigint, event_id bigint, change string, amount double", "Append", "EventTime")
 
 
 def first_commits(issued: DataFrame, seen: DataFrame, wait: str = "8 seconds") -> DataFrame:

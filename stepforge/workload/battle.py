@@ -63,49 +63,64 @@ def zoned(spark, sf):
     return S.zone_assign(rows, zones(spark, sf), 30.0)
 
 
-@query("zone_balance", f"WITH {ZONED_SQL}, " + SIDES_SQL.format(key="zone", units="zoned") + """
-    SELECT zone, round(op - ep, 1) AS balance, ep > 5 OR round(op - ep, 1) < 1 AS under_attack FROM sides""",
+# Every third zone is ours and every third the enemy's; mineral lines lie beside the middle.
+OWNED_SQL = """owned AS (SELECT *, zone % 3 = 0 AS ours, zone % 3 = 1 AS enemys, cx + 7 AS lx, cy AS ly FROM zones),
+    foes AS (SELECT x, y, power, hits_ground, worker FROM units JOIN unit_values USING (type) WHERE NOT mine AND game % 25 = 1),
+    near AS (SELECT zone, sum(CASE WHEN (x - cx) ** 2 + (y - cy) ** 2 <= 144 THEN power END) AS assault,
+        sum(CASE WHEN (x - lx) ** 2 + (y - ly) ** 2 <= 100 AND hits_ground THEN power END) AS ground,
+        count(*) FILTER ((x - lx) ** 2 + (y - ly) ** 2 <= 100 AND NOT worker) AS fighters FROM owned, foes WHERE ours GROUP BY zone),
+    states AS (SELECT zone, ours, enemys, coalesce(op, 0) AS op, coalesce(ep, 0) AS ep, coalesce(assault, 0) AS assault,
+        coalesce(ground > 3 AND fighters > 0, false) AS evacuate, round(coalesce(op, 0) - coalesce(ep, 0), 1) AS balance
+        FROM owned LEFT JOIN sides USING (zone) LEFT JOIN near USING (zone))"""
+ZONE_STATES_SQL = f"WITH {ZONED_SQL}, " + SIDES_SQL.format(key="zone", units="(SELECT * FROM zoned WHERE game % 7 < 5)") + ", " + OWNED_SQL
+
+
+def zone_states(spark, sf):
+    middle = zones(spark, sf)
+    owned = middle.select("zone", "cx", "cy", (F.col("cx") + 7).alias("lx"), F.col("cy").alias("ly"),
+                          (F.col("zone") % 3 == 0).alias("ours"), (F.col("zone") % 3 == 1).alias("enemys"))
+    rows = zoned(spark, sf).filter(F.col("game") % 7 < 5)
+    foes = units(spark, sf).filter(~F.col("mine") & (F.col("game") % 25 == 1))
+    return B.zone_states(rows, foes, owned, graph(spark, "unit_values"), 12.0)
+
+
+@query("zone_balance", ZONE_STATES_SQL + """
+    SELECT zone, balance, (ours AND assault > 5) OR balance < 1 OR (enemys AND balance > 0) AS under_attack FROM states""",
        using="units pos unit_values")
 def zone_balance(spark, sf):
-    return B.zone_balance(zoned(spark, sf), "zone", graph(spark, "unit_values"))
+    return zone_states(spark, sf).select("zone", "balance", "under_attack")
 
 
-@query("zone_state", f"""WITH {ZONED_SQL}, """ + SIDES_SQL.format(key="zone", units="zoned") + """,
-    extra AS (SELECT zone, max(us) FILTER (flag = 'A') AS last_scouted,
-        sum(CASE WHEN NOT mine AND flag = 'R' AND hits_ground THEN power ELSE 0 END) > 3
-        AND count(*) FILTER (NOT mine AND flag = 'R' AND NOT worker) > 0 AS evacuate
-        FROM zoned JOIN unit_values USING (type) GROUP BY zone)
-    SELECT zone, op AS own_power, ep AS enemy_power, last_scouted, evacuate FROM sides JOIN extra USING (zone)""",
+@query("zone_state", ZONE_STATES_SQL + """, seen AS (SELECT zone, max(us) FILTER (flag = 'A') AS last_scouted FROM zoned GROUP BY zone)
+    SELECT zone, op AS own_power, ep AS enemy_power, assault AS assault_power, evacuate, last_scouted FROM states LEFT JOIN seen USING (zone)""",
        using="units pos unit_values")
 def zone_state(spark, sf):
-    values = graph(spark, "unit_values")
-    rows = zoned(spark, sf)
-    strength = B.sides(rows, ["zone"], values).select(
-        "zone", F.col("own.power").alias("own_power"), F.col("enemy.power").alias("enemy_power"))
-    near = ~F.col("mine") & (F.col("flag") == "R")
-    extra = rows.join(values, "type").groupBy("zone").agg(
-        F.max(F.when(F.col("flag") == "A", F.col("us"))).alias("last_scouted"),
-        ((F.sum(F.when(near & F.col("hits_ground"), F.col("power")).otherwise(0.0)) > 3)
-         & (F.count_if(near & ~F.col("worker")) > 0)).alias("evacuate"))
-    return strength.join(extra, "zone")
+    seen = zoned(spark, sf).groupBy("zone").agg(F.max(F.when(F.col("flag") == "A", F.col("us"))).alias("last_scouted"))
+    return zone_states(spark, sf).join(seen, "zone", "left").select(
+        "zone", "own_power", "enemy_power", "assault_power", "evacuate", "last_scouted")
 
 
 @query("zone_worker_window", """
-    SELECT zone, until FROM (SELECT l_suppkey AS zone, CASE
-        WHEN bool_or(l_returnflag = 'A' AND l_tax = 0) THEN max(epoch_us(l_shipdate)) // 1000000 + 300
-        WHEN bool_or(l_returnflag = 'R' AND l_quantity = 50) THEN 0
-        WHEN bool_or(l_returnflag = 'R' AND l_tax = 0.08) THEN max(epoch_us(l_shipdate)) // 1000000 + 60
-        WHEN bool_or(l_returnflag = 'N') THEN max(epoch_us(l_shipdate)) FILTER (l_returnflag = 'N') // 1000000 + 71 + 90
-        ELSE 180 END AS until FROM lineitem GROUP BY l_orderkey, l_suppkey)""")
+    WITH z AS (SELECT l_orderkey, l_suppkey AS zone, l_suppkey % 5 * 100 AS before, max(epoch_us(l_shipdate)) // 1000000 AS now,
+        bool_or(l_returnflag = 'A' AND l_tax = 0) AS ours, bool_or(l_returnflag = 'R' AND l_tax > 0.03) AS enemys, bool_or(l_linestatus = 'F') AS visible,
+        bool_or(l_returnflag = 'R' AND l_quantity > 40) AS workers,
+        max(epoch_us(l_shipdate) // 1000000 + l_linenumber % 2 * 71) FILTER (l_discount > 0.05) AS finished,
+        max(epoch_us(l_shipdate)) FILTER (l_linenumber > 2) // 1000000 AS scouted FROM lineitem GROUP BY ALL)
+    SELECT l_orderkey, zone, CASE WHEN visible AND enemys AND workers THEN 0
+        WHEN visible AND enemys AND finished IS NOT NULL THEN CASE WHEN finished > now THEN finished ELSE now END + 60
+        WHEN NOT visible AND scouted IS NULL THEN 180 WHEN NOT visible AND (ours OR enemys) THEN scouted + 161
+        WHEN ours THEN now + 300 ELSE before END AS until FROM z""")
 def zone_worker_window(spark, sf):
     rows = table(spark, sf, "lineitem")
-    seconds = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
-    flag, tax = F.col("l_returnflag"), F.col("l_tax")
-    return rows.groupBy("l_orderkey", F.col("l_suppkey").alias("zone")).agg(B.worker_window(
-        now=F.max(seconds), ours=F.bool_or((flag == "A") & (tax == 0)),
-        workers_seen=F.bool_or((flag == "R") & (F.col("l_quantity") == 50)),
-        base_seen=F.bool_or((flag == "R") & (tax == 0.08)),
-        scouted=F.max(F.when(flag == "N", seconds)), build_time=71).alias("until")).drop("l_orderkey")
+    seconds = lambda name: F.unix_seconds(F.col(name).cast("timestamp"))
+    flag, line, supplier = F.col("l_returnflag"), F.col("l_linenumber"), F.col("l_suppkey")
+    until = B.worker_window(
+        before=F.col("l_suppkey") % 5 * 100, now=F.max(seconds("l_shipdate")), ours=F.bool_or((flag == "A") & (F.col("l_tax") == 0)),
+        enemys=F.bool_or((flag == "R") & (F.col("l_tax") > 0.03)), visible=F.bool_or(F.col("l_linestatus") == "F"),
+        workers_seen=F.bool_or((flag == "R") & (F.col("l_quantity") > 40)),
+        finished=F.max(F.when(F.col("l_discount") > 0.05, seconds("l_shipdate") + line % 2 * 71)),
+        scouted=F.max(F.when(line > 2, seconds("l_shipdate"))), build_time=71)
+    return rows.groupBy("l_orderkey", "l_suppkey").agg(until.alias("until")).select("l_orderkey", supplier.alias("zone"), "until")
 
 
 @query("known_counts", """
@@ -326,30 +341,46 @@ def advantage_bucket(spark, sf):
 
 
 @query("advantage_report", "WITH " + SIDES_SQL.format(key="tag", units="units") + f""",
+    guess AS (SELECT tag, type, count(*) AS n FROM units WHERE NOT mine GROUP BY ALL
+        UNION ALL SELECT tag, 'MEDIUM', count(*) * 2 FROM units WHERE NOT mine AND type = 'ECONOMY' GROUP BY tag),
+    predicted AS (SELECT tag, sum(power * n) AS ep, sum(CASE WHEN flying THEN power * n ELSE 0 END) AS eap,
+        sum(CASE WHEN flying THEN 0 ELSE power * n END) AS egp,
+        sum(CASE WHEN NOT shoots_air THEN 0 WHEN weak_air THEN n * 0.5 ELSE power * n END) AS ea,
+        sum(CASE WHEN hits_ground THEN power * n ELSE 0 END) AS eg FROM guess JOIN unit_values USING (type) GROUP BY tag),
     econ AS (SELECT tag, sum(CASE WHEN mine THEN assigned ELSE -assigned END) AS income,
              count(DISTINCT type) FILTER (mine) - count(DISTINCT type) FILTER (NOT mine) AS zones,
              count(*) FILTER (mine AND type = 'ECONOMY') AS workers FROM units GROUP BY tag),
+    known AS (SELECT tag, {ARMY_SQL.format(a="o", b="e", w="Advantage")} ELSE
+        {ARMY_SQL.format(a="e", b="o", w="Disadvantage")} ELSE 'Even' END END AS army_advantage FROM sides),
+    foreseen AS (SELECT tag, op, oa, og, oap, ogp, coalesce(p.ep, 0) AS ep, coalesce(p.ea, 0) AS ea, coalesce(p.eg, 0) AS eg,
+        coalesce(p.eap, 0) AS eap, coalesce(p.egp, 0) AS egp FROM sides LEFT JOIN predicted p USING (tag)),
     b AS (SELECT tag, {INCOME_SQL.format(n="(income + zones * 10)")} AS income_advantage,
         {ARMY_SQL.format(a="o", b="e", w="Advantage")} ELSE
-        {ARMY_SQL.format(a="e", b="o", w="Disadvantage")} ELSE 'Even' END END AS army_advantage,
-        CASE WHEN eap + egp > 0 THEN eap / (eap + egp) ELSE 0 END AS air, workers FROM sides JOIN econ USING (tag))
-    SELECT tag AS fight, income_advantage, army_advantage, CASE WHEN air > 0.9 THEN 'AllAir' WHEN air > 0.65
+        {ARMY_SQL.format(a="e", b="o", w="Disadvantage")} ELSE 'Even' END END AS army_predicted,
+        CASE WHEN eap > 0 THEN ea / ep ELSE 0 END AS air, workers FROM foreseen JOIN econ USING (tag))
+    SELECT tag AS fight, income_advantage, army_advantage, army_predicted, CASE WHEN air > 0.9 THEN 'AllAir' WHEN air > 0.65
         THEN 'AlmostAllAir' WHEN air > 0.35 THEN 'Mixed' WHEN air > 0 THEN 'SomeAir' ELSE 'NoAir' END AS enemy_air,
-        army_advantage = 'OverwhelmingAdvantage' AND income_advantage = 'OverwhelmingAdvantage' AS victory,
-        army_advantage = 'OverwhelmingDisadvantage'
-            AND (workers < 5 OR income_advantage = 'OverwhelmingDisadvantage') AS defeat FROM b""",
+        army_predicted = 'OverwhelmingAdvantage' AND income_advantage = 'OverwhelmingAdvantage' AS victory,
+        army_predicted = 'OverwhelmingDisadvantage'
+            AND (workers < 5 OR income_advantage = 'OverwhelmingDisadvantage') AS defeat FROM b JOIN known USING (tag)""",
        using="units unit_values")
 def advantage_report(spark, sf):
-    rows = skirmish(spark, sf)
-    strength = B.sides(rows, ["fight"], graph(spark, "unit_values"))
+    rows, values = skirmish(spark, sf), graph(spark, "unit_values")
+    strength = B.sides(rows, ["fight"], values)
     per_type = rows.groupBy("fight", "mine", "type").agg(
         F.sum("assigned").alias("a"), F.count(F.lit(1)).alias("n"))
     sign = F.when(F.col("mine"), 1).otherwise(-1)
     economy = per_type.groupBy("fight").agg(
         F.sum(F.col("a") * sign).alias("income"), F.sum(sign).alias("zones"),
         B.zero_if_null(F.sum(F.when(F.col("mine") & (F.col("type") == "ECONOMY"), F.col("n")))).alias("workers"))
-    return B.advantage_report(strength.join(economy, "fight")).select(
-        "fight", "income_advantage", "army_advantage", "enemy_air", "victory", "defeat")
+    known = per_type.filter(~F.col("mine")).select("fight", "type", F.col("n").alias("count"))
+    # Every enemy worker seen lets two more soldiers be expected.
+    guessed = known.filter(F.col("type") == "ECONOMY").select("fight", F.lit("MEDIUM").alias("type"), (F.col("count") * 2).alias("count"))
+    predicted = B.counted_strength(B.merge_composition(known, guessed, ["fight", "type"]), ["fight"], values)
+    nothing = F.struct(*[F.lit(0.0).alias(n) for n in ("power", "air_presence", "ground_presence", "air_power", "ground_power")])
+    games = strength.join(economy, "fight").join(predicted, "fight", "left").withColumn("predicted", F.coalesce("predicted", nothing))
+    return B.advantage_report(games).select(
+        "fight", "income_advantage", "army_advantage", "army_predicted", "enemy_air", "victory", "defeat")
 
 
 @query("supply_cost", """

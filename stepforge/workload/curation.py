@@ -438,14 +438,19 @@ def resample_invariants(spark, sf):
     return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
 
 
-@query("resample_report", f"""WITH {CLASSED}, a AS (SELECT * FROM classed QUALIFY row_number() OVER (PARTITION BY label, summary ORDER BY step DESC, index) = 1),
+@query("resample_report")
+def resample_report(spark, sf):
+    return R.resample_report(*selected(spark, sf))
+
+
+@query("dedupe_report", f"""WITH {CLASSED}, a AS (SELECT * FROM classed QUALIFY row_number() OVER (PARTITION BY label, summary ORDER BY step DESC, index) = 1),
     o AS (SELECT label, count(*) AS f, count(*) FILTER (step >= 16) AS late FROM classed GROUP BY label),
     k AS (SELECT label, count(*) AS m, count(*) FILTER (step >= 16) AS kept_late FROM a GROUP BY label)
     SELECT CASE WHEN f >= 50 THEN 'T0' WHEN f >= 30 THEN 'T1' WHEN f >= 10 THEN 'T2' WHEN f >= 5 THEN 'T3' WHEN f >= 2 THEN 'T4'
         ELSE 'T5_singleton' END AS tier, CAST(sum(f) AS BIGINT) AS original, CAST(sum(m) AS BIGINT) AS kept,
         CAST(sum(f) - sum(m) AS BIGINT) AS dropped, count(*) AS multisets, round(100 * sum(late) / sum(f), 2) AS late_before,
         round(100 * sum(kept_late) / sum(m), 2) AS late_after FROM o JOIN k USING (label) GROUP BY ROLLUP (1)""")
-def resample_report(spark, sf):
+def dedupe_report(spark, sf):
     rows = parsed(spark, sf)
     return R.resample_report(rows, R.dedupe_summary(rows))
 
@@ -474,11 +479,26 @@ def round_robin(spark, sf):
         "turn", "bot")
 
 
-@query("diverse_order", f"""
-    WITH t AS (SELECT match_id, bot, race, {HARDNESS} AS hard, row_number() OVER (PARTITION BY bot, difficulty, race ORDER BY match_id) - 1
-        AS race_turn FROM match)
-    SELECT match_id, bot, race, row_number() OVER (PARTITION BY bot ORDER BY hard, race_turn, race, match_id) - 1 AS turn FROM t
-    ORDER BY turn, bot""", using="match")
+# One pick after the other: c counts the races picked, t the games taken of each bucket; buckets lie by bot, hardness and race.
+TURNS_SQL = f"""m AS (SELECT match_id, bot, race, {HARDNESS} AS hard, row_number() OVER (PARTITION BY bot, {HARDNESS}, race ORDER BY match_id) - 1 AS nth
+        FROM match),
+    buckets AS (SELECT bot, hard, race, count(*) AS n, dense_rank() OVER (ORDER BY bot) - 1 AS b, list_position(['Protoss', 'Terran', 'Zerg'], race) AS r
+        FROM m GROUP BY bot, hard, race),
+    every AS (SELECT list({{'bot': bot, 'hard': hard, 'race': race, 'n': n, 'b': b, 'r': r}} ORDER BY bot, hard, race) AS bs, max(b) + 1 AS nb FROM buckets),
+    walk AS (SELECT 0 AS turn, 0 AS b, [0, 0, 0] AS c, list_transform(bs, lambda x: 0) AS t, NULL::BIGINT AS i, NULL::BIGINT AS nth_picked, 0 AS idle FROM every
+        UNION ALL
+        SELECT CASE WHEN b = nb - 1 THEN turn + 1 ELSE turn END, CAST((b + 1) % nb AS INTEGER),
+            CASE WHEN p IS NULL THEN c ELSE list_transform(c, lambda x, k: x + CASE WHEN k = bs[p.i].r THEN 1 ELSE 0 END) END,
+            CASE WHEN p IS NULL THEN t ELSE list_transform(t, lambda x, k: x + CASE WHEN k = p.i THEN 1 ELSE 0 END) END,
+            p.i, CASE WHEN p IS NOT NULL THEN t[p.i] END, CASE WHEN p IS NULL THEN idle + 1 ELSE 0 END
+        FROM (SELECT w.*, bs, nb, list_min([{{'h': bs[k].hard, 'c': c[bs[k].r], 'r': bs[k].r, 'i': k}} FOR k IN range(1, len(bs) + 1)
+              IF bs[k].b = w.b AND t[k] < bs[k].n]) AS p FROM walk w, every) WHERE idle <= nb),
+    picks AS (SELECT bs[i].bot AS bot, bs[i].hard AS hard, bs[i].race AS race, nth_picked AS nth, CASE WHEN b = 0 THEN turn - 1 ELSE turn END AS turn
+        FROM walk, every WHERE i IS NOT NULL)"""
+
+
+@query("diverse_order", f"""WITH RECURSIVE {TURNS_SQL}
+    SELECT match_id, bot, race, turn FROM m JOIN picks USING (bot, hard, race, nth) ORDER BY turn, bot""", using="match")
 def diverse_order(spark, sf):
     rows = match(spark, sf).select("match_id", "bot", "race", hardness().alias("hard"))
     return C.diverse_order(rows, "bot").select("match_id", "bot", "race", "turn").orderBy("turn", "bot")

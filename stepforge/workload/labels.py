@@ -8,8 +8,8 @@ from stepforge.plans import labels as P
 from stepforge.plans.steps import split_steps
 from stepforge.plans.steps import boundary_scores
 from stepforge.workload.registry import query
-from stepforge.workload.steps import CUE_SQL, SPLIT_SQL, cue_names
-from stepforge.workload.views import table, traj
+from stepforge.workload.steps import CUE_SQL, SPLIT_SQL, cue_names, numbered_once
+from stepforge.workload.views import table
 
 GAMES_SQL = "won AS (SELECT traj_id FROM traj GROUP BY traj_id HAVING count(*) FILTER (event_type = 'purchase') >= 12)"
 WON_SPLIT = SPLIT_SQL.replace("FROM traj)", "FROM traj WHERE traj_id IN (SELECT traj_id FROM won))")
@@ -23,7 +23,7 @@ TEXTS_SQL = "texts AS (SELECT doc_id % 100 AS traj_id, doc_id // 100 AS step_id,
         coalesce(failed, true) AS relabel FROM steps s JOIN cues c ON c.traj_id = s.traj_id AND c.step_id = s.step_id
     LEFT JOIN texts t ON t.traj_id = s.traj_id AND t.step_id = s.step_id""", using="traj")
 def label_steps(spark, sf):
-    rows = traj(spark, sf)
+    rows = numbered_once(spark, sf)
     games = rows.groupBy("traj_id").agg(F.count_if(F.col("event_type") == "purchase").alias("bought"))
     doc = F.col("doc_id")
     text = F.when(F.col("lang") == "de", F.lit(P.FAILED_MARK)).otherwise(F.col("text"))
@@ -48,5 +48,5 @@ def recover_labels(spark, sf):
     lines = table(spark, sf, "documents").select(
         (doc % 100).alias("traj_id"), doc.alias("at"),
         F.concat(F.lit("[Step "), number.cast("string"), F.lit("] "), body).alias("value"))
-    steps = split_steps(boundary_scores(traj(spark, sf)))
+    steps = split_steps(boundary_scores(numbered_once(spark, sf)))
     return P.recover_labels(steps, parse_step_lines(lines, ["traj_id"])).select("traj_id", "step_id", "status")

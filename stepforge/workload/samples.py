@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stepforge.functions import text as X
+from stepforge.operators import actions as A
 from stepforge.plans import ranking as R
 from stepforge.plans import reports
 from stepforge.plans import rules
@@ -13,7 +14,7 @@ from stepforge.workload.aggregations import ITEMS_SQL, step_items
 from stepforge.workload.graph_rows import graph
 from stepforge.workload.registry import query
 from stepforge.workload.steps import step_lists
-from stepforge.workload.views import audit, cand, cand_list, step, table, text_array
+from stepforge.workload.views import audit, cand, cand_list, step, table, text_array, traj_raw
 
 KEYS = ["traj_id", "step_id"]
 
@@ -133,26 +134,20 @@ def golden_outputs(spark, sf):
 
 
 @query("capture_candidates", """
-    WITH made AS (SELECT l_suppkey AS game, l_orderkey AS tag, CASE l_returnflag WHEN 'A' THEN 'Barracks' WHEN 'N' THEN 'Factory'
-        ELSE 'Starport' END AS unit FROM lineitem WHERE l_tax > 0.06 GROUP BY ALL),
-    per AS (SELECT game, unit, count(*) AS n, min(tag) AS least, max(tag) AS most FROM made GROUP BY ALL)
-    SELECT event_id, CAST(sum(n) AS BIGINT) AS candidates, min(least) AS least, max(most) AS most FROM traj JOIN ability USING (ability) JOIN executor USING (ability)
-    JOIN per USING (unit) WHERE kind = 'Train' AND game = traj_id GROUP BY event_id HAVING sum(n) > 1""", using="traj ability executor")
+    WITH made AS (SELECT l_suppkey AS game, l_orderkey AS tag, min(CASE l_returnflag WHEN 'A' THEN 'Barracks' WHEN 'N' THEN 'Factory'
+        ELSE 'Starport' END) AS unit FROM lineitem GROUP BY ALL HAVING max(l_tax) > 0.07),
+    found AS (SELECT event_id, tag, unit, count(*) OVER (PARTITION BY event_id) AS candidates
+        FROM traj JOIN ability USING (ability) JOIN executor USING (ability) JOIN made USING (unit) WHERE kind = 'Train' AND game = traj_id)
+    SELECT * FROM found WHERE candidates > 1""", using="traj ability executor")
 def capture_candidates(spark, sf):
-    from stepforge.workload.views import traj_raw
-
     names = {"A": "Barracks", "N": "Factory", "R": "Starport"}
     unit = F.create_map(*[F.lit(x) for p in names.items() for x in p])[F.col("l_returnflag")]
-    finished = table(spark, sf, "lineitem").filter(F.col("l_tax") > 0.06).select(
-        F.col("l_suppkey").alias("traj_id"), F.col("l_orderkey").alias("tag"), unit.alias("unit")).distinct()
-    # A game's units of a type are summed up once, then every Train action reads the few sums it needs.
-    per_type = finished.groupBy("traj_id", "unit").agg(
-        F.count(F.lit(1)).alias("n"), F.min("tag").alias("least"), F.max("tag").alias("most"))
-    trains = traj_raw(spark, sf).join(graph(spark, "ability").filter("kind = 'Train'"), "ability").join(
-        graph(spark, "executor").select("ability", "unit"), "ability")
-    found = trains.join(per_type, ["traj_id", "unit"]).groupBy("event_id").agg(
-        F.sum("n").alias("candidates"), F.min("least").alias("least"), F.max("most").alias("most"))
-    return found.filter(F.col("candidates") > 1)
+    producers = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("traj_id"), F.col("l_orderkey").alias("tag"), unit.alias("unit"),
+        F.when(F.col("l_tax") > 0.07, 1.0).otherwise(0.5).alias("progress"))
+    actions = traj_raw(spark, sf).join(graph(spark, "ability"), "ability")
+    return A.train_candidates(actions, producers, graph(spark, "executor"), ["traj_id"], "event_id").select(
+        "event_id", "tag", "unit", "candidates")
 
 
 @query("naming_samples", f"""

@@ -73,8 +73,12 @@ def scan_laststep_qa(spark, sf):
 @query("scan_matches", "SELECT bot, difficulty, count(*) AS n, count(*) FILTER (victory) AS wins FROM match GROUP BY ALL",
        using="match")
 def scan_matches(spark, sf):
-    wins = F.count_if("victory")
-    return match(spark, sf).groupBy("bot", "difficulty").agg(F.count(F.lit(1)).alias("n"), wins.alias("wins"))
+    # Runs of at most 32 matches are written as result files and read back.
+    folder = IO.run_folder(spark, "matches")
+    entry = F.struct(F.col("bot").alias("bot_key"), "difficulty", F.col("race").alias("enemy_race"), "victory")
+    match(spark, sf).groupBy("bot", F.floor(F.col("match_id") / 32)).agg(F.collect_list(entry).alias("matches")).select("matches").write.json(folder)
+    rows = IO.read_matches(spark, folder, "*.json", lines=True)
+    return rows.groupBy(F.col("bot_key").alias("bot"), "difficulty").agg(F.count(F.lit(1)).alias("n"), F.count_if("victory").alias("wins"))
 
 
 @query("write_dataset", "SELECT doc_id, lang, n_chars FROM documents")
@@ -237,14 +241,33 @@ def graph_edges(spark, sf):
     return traj_raw(spark, sf).join(edges, "ability").select("event_id", "r.relation", F.col("r.object_name").alias("object"))
 
 
+def graph_file(spark):
+    """The graph written as one file of nested tables."""
+    folder = IO.run_folder(spark, "graph")
+    product = F.struct(F.when(F.col("kind") != "Research", F.col("result")).alias("produces_name"),
+                       F.when(F.col("kind") == "Research", F.col("result")).alias("upgrade_name"))
+    link = F.when(F.col("result").isNotNull(), F.struct(F.lit("action_result").alias("relation"), F.col("result").alias("object_name")))
+    abilities = graph(spark, "ability").agg(F.collect_list(F.struct(
+        F.col("ability").alias("name"), F.when(F.col("kind").isNotNull(), F.create_map(F.coalesce("kind", F.lit("")), product)).alias("target"), F.array_compact(F.array(link)).alias("relations"))).alias("Ability"))
+
+    def listed(kind):
+        return F.collect_list(F.when(F.col("type") == kind, F.struct("name", "race"))).alias(kind)
+
+    # Both are single rows of fixed tables.
+    entities = graph(spark, "entity").agg(listed("Unit"), listed("Upgrade"))
+    abilities.withColumn("one", F.lit(1)).join(entities.withColumn("one", F.lit(1)), "one").drop("one").write.json(folder)
+    return folder
+
+
 @query("scan_graph", """
     SELECT e.type AS subject_table, e.race, count(*) AS uses, count(DISTINCT name) AS names
     FROM traj JOIN ability USING (ability) JOIN entity e ON result = name GROUP BY ALL""", using="traj ability entity")
 def scan_graph(spark, sf):
-    rows = traj_raw(spark, sf).join(graph(spark, "ability"), "ability").join(
-        graph(spark, "entity"), F.col("result") == F.col("name"))
-    return rows.groupBy(F.col("type").alias("subject_table"), "race").agg(
-        F.count(F.lit(1)).alias("uses"), F.countDistinct("name").alias("names"))
+    tables = IO.read_graph(spark, graph_file(spark))
+    made = tables["Ability"].select(F.col("name").alias("ability"), "result")
+    kinds = [tables[t].select(F.col("name").alias("result"), "race", F.lit(t).alias("subject_table")) for t in ("Unit", "Upgrade")]
+    rows = traj_raw(spark, sf).join(made, "ability").join(kinds[0].unionByName(kinds[1]), "result")
+    return rows.groupBy("subject_table", "race").agg(F.count(F.lit(1)).alias("uses"), F.countDistinct("result").alias("names"))
 
 
 @query("ontology_check", """

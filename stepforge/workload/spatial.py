@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stepforge.operators import spatial as S
 from stepforge.operators.keyed import top_per_key
+from stepforge.operators.pyramid import nearest
 from stepforge.workload.registry import query
 from stepforge.workload.views import pos, table
 
@@ -48,13 +49,13 @@ def in_distance_of_group(spark, sf):
     return units.join(near, ["x", "y"], "left_semi").select("tag")
 
 
-@query("nearest_k", """
+@query("nearest_to_centroid", """
     WITH e AS (SELECT vec_id, label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
     c AS (SELECT label, i, avg(CAST(v AS DOUBLE)) AS m FROM e GROUP BY label, i),
     d AS (SELECT vec_id, e.label, round(sqrt(sum((v - m) * (v - m))), 6) AS distance
           FROM e JOIN c ON e.label = c.label AND e.i = c.i GROUP BY vec_id, e.label)
     SELECT vec_id, label, distance FROM d QUALIFY row_number() OVER (PARTITION BY label ORDER BY distance, vec_id) <= 5""")
-def nearest_k(spark, sf):
+def nearest_to_centroid(spark, sf):
     rows = table(spark, sf, "embeddings")
     parts = rows.select("label", F.posexplode("embedding").alias("i", "v")).groupBy("label", "i").agg(
         F.avg(F.col("v").cast("double")).alias("m"))
@@ -65,6 +66,17 @@ def nearest_k(spark, sf):
     return top_per_key(near, ["label"], [F.col("distance"), F.col("vec_id")], 5)
 
 
+@query("nearest_k", """
+    WITH d AS (SELECT a.tag, b.tag AS near, (b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) AS d2,
+        row_number() OVER (PARTITION BY a.tag ORDER BY (b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y), b.tag) AS rank
+        FROM pos a JOIN pos b ON b.type = a.type AND b.size > 5) SELECT tag, near, rank, d2 FROM d WHERE rank <= 5""", using="pos")
+def nearest_k(spark, sf):
+    units = pos(spark, sf)
+    others = units.filter(F.col("size") > 5).select("type", F.col("tag").alias("near"), "x", "y")
+    centres = units.select("tag", "type", F.col("x").alias("cx"), F.col("y").alias("cy"))
+    return nearest(others, centres, ["tag"], 5, "near", ["type"]).select("tag", "near", "rank", "d2")
+
+
 @query("furthest_k", """
     SELECT tag, type, round(sqrt((x - 50) * (x - 50) + (y - 50) * (y - 50)), 6) AS distance FROM pos
     QUALIFY row_number() OVER (PARTITION BY type ORDER BY (x - 50) * (x - 50) + (y - 50) * (y - 50) DESC, tag) <= 4""",
@@ -107,14 +119,37 @@ def en_route_anti(spark, sf):
     return S.without_match(orders, started).groupBy("type").agg(F.count(F.lit(1)).alias("workers"))
 
 
+STEPS = 3
+# Cells of ten by ten with a large unit can be walked; a zone floods from the cell of its middle.
+CELLS_SQL = f"""walkable AS (SELECT CAST(floor(x / 10) AS BIGINT) AS gx, CAST(floor(y / 10) AS BIGINT) AS gy FROM pos WHERE size > 44 GROUP BY ALL),
+    flood(zone, gx, gy, d) AS (SELECT zone, CAST(floor(cx / 10) AS BIGINT), CAST(floor(cy / 10) AS BIGINT), 0 FROM zones
+        UNION SELECT f.zone, w.gx, w.gy, f.d + 1 FROM flood f JOIN walkable w ON abs(w.gx - f.gx) <= 1 AND abs(w.gy - f.gy) <= 1 WHERE f.d < {STEPS}),
+    cells AS (SELECT gx, gy, arg_min(zone, (d, zone)) AS zone FROM flood GROUP BY ALL)"""
+
+
+def zone_map(spark, sf):
+    def at(x, y):
+        return S.cell_of(F.col(x), 10).alias("gx"), S.cell_of(F.col(y), 10).alias("gy")
+
+    walkable = pos(spark, sf).filter(F.col("size") > 44).select(*at("x", "y"))
+    return S.zone_cells(walkable, zones(spark, sf).select("zone", *at("cx", "cy")), STEPS)
+
+
+@query("zone_cells", f"WITH RECURSIVE {ZONES_SQL}, {CELLS_SQL} SELECT gx, gy, zone FROM cells", using="pos")
+def zone_cells(spark, sf):
+    return zone_map(spark, sf).select("gx", "gy", "zone")
+
+
 @query("zone_assign", f"""
-    WITH {ZONES_SQL}, w AS (SELECT tag, zone, sqrt((x - cx) ** 2 + (y - cy) ** 2) + abs(size % 3 - height) * 10
+    WITH RECURSIVE {ZONES_SQL}, {CELLS_SQL}, w AS (SELECT tag, zone, sqrt((x - cx) ** 2 + (y - cy) ** 2) + abs(size % 3 - height) * 10
                + CASE WHEN neutral THEN 5 ELSE 0 END AS w FROM pos, zones
-               WHERE (x - cx) ** 2 + (y - cy) ** 2 <= 900)
-    SELECT tag, arg_min(zone, (w, zone)) AS zone FROM w GROUP BY tag""", using="pos")
+               WHERE (x - cx) ** 2 + (y - cy) ** 2 <= 900),
+    ruled AS (SELECT tag, arg_min(zone, (w, zone)) AS zone FROM w GROUP BY tag)
+    SELECT tag, coalesce(c.zone, r.zone) AS zone FROM pos LEFT JOIN cells c ON floor(x / 10) = gx AND floor(y / 10) = gy LEFT JOIN ruled r USING (tag)
+    WHERE coalesce(c.zone, r.zone) IS NOT NULL""", using="pos")
 def zone_assign(spark, sf):
     units = pos(spark, sf).select("tag", "x", "y", (F.col("size") % 3).alias("height"))
-    return S.zone_assign(units, zones(spark, sf), 30.0).select("tag", "zone")
+    return S.zone_assign(units, zones(spark, sf), 30.0, cells=zone_map(spark, sf), side=10.0).select("tag", "zone")
 
 
 @query("owned_sites", f"""

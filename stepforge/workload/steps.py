@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stepforge.functions.vocabulary import (
     BOUNDARY_ACTIONS, GAS_HEAVY_ACTIONS, IMPLIED_ENTITIES, PRODUCTION_ACTIONS, WORKER_ACTIONS,
 )
 from stepforge.operators import actions as A
-from stepforge.operators.closure import close_entities, implication_closure
+from stepforge.operators.closure import held_with, implied_pairs
+from stepforge.operators.ordered import even_blocks, numbered
 from stepforge.plans import steps as P
+from stepforge.session import cut_lineage
 from stepforge.workload.graph_joins import ACCEPTED, RESOURCES
 from stepforge.workload.graph_rows import graph, values_frame, values_sql
 from stepforge.workload.registry import query
-from stepforge.workload.views import hour_of, sql_list, step, table, text_array, traj, traj_raw
+from stepforge.workload.views import HOUR, hour_of, sql_list, step, table, text_array, traj, traj_raw
 
 KEYS = ["traj_id", "step_id"]
 
@@ -43,8 +46,14 @@ def boundary_score(spark, sf):
     return P.boundary_scores(traj(spark, sf)).select("event_id", "score")
 
 
+def numbered_once(spark, sf):
+    """Trajectories numbered in blocks of about equal rows, written out as they are read more than once."""
+    rows = even_blocks(traj_raw(spark, sf), ["traj_id"], "us", HOUR, 1 << 20)
+    return cut_lineage(numbered(rows, ["traj_id"], ["us", "event_id"], F.col("_even")).drop("_even"))
+
+
 def cut_steps(spark, sf, rows=None):
-    return P.split_steps(P.boundary_scores(traj(spark, sf) if rows is None else rows))
+    return P.split_steps(P.boundary_scores(numbered_once(spark, sf) if rows is None else rows))
 
 
 @query("split_steps", f"WITH RECURSIVE {SPLIT_SQL} SELECT traj_id, step_id, first, last FROM steps", using="traj")
@@ -56,10 +65,11 @@ def split_steps(spark, sf):
     SELECT event_id, s.traj_id, step_id, first_value(value) OVER (PARTITION BY s.traj_id, step_id ORDER BY seq) AS at_start
     FROM steps s JOIN traj t ON t.traj_id = s.traj_id AND t.seq BETWEEN first AND last""", using="traj")
 def steps_to_actions(spark, sf):
-    rows = traj(spark, sf)
+    rows = numbered_once(spark, sf)
     found = P.steps_to_actions(cut_steps(spark, sf, rows), rows)
-    start = found.filter(F.col("seq") == F.col("start")).select(*KEYS, F.col("value").alias("at_start"))
-    return found.join(start, KEYS).select("event_id", *KEYS, "at_start")
+    # A step is short by construction, so it fits a window.
+    at_start = F.first("value").over(Window.partitionBy(*KEYS).orderBy("seq"))
+    return found.select("event_id", *KEYS, at_start.alias("at_start"))
 
 
 CUE_SQL = f"""SELECT {{keys}}, array_to_string([x FOR x IN [
@@ -132,7 +142,7 @@ def at_start(spark, sf):
 
 def all_facts(spark):
     ability, executor = graph(spark, "ability"), graph(spark, "executor")
-    implied = implication_closure(values_frame(spark, ["entity", "implied"], IMPLIED_ENTITIES))
+    implied = values_frame(spark, ["entity", "implied"], implied_pairs(IMPLIED_ENTITIES))
     return P.ability_facts(ability, A.accepted_entities(ability, executor), implied, executor)
 
 
@@ -265,7 +275,7 @@ def gap_fill(spark, sf):
 def entity_closure(spark, sf):
     names = text_array(["OrbitalCommandFlying", "VikingAssault", "FactoryReactor", "Marine", "SupplyDepotLowered"])
     rows = traj_raw(spark, sf).withColumn("entity", F.element_at(names, (F.col("k") % 5 + 1).cast("int")))
-    closed = close_entities(rows, "traj_id", values_frame(spark, ["entity", "implied"], IMPLIED_ENTITIES))
+    closed = held_with(rows, "traj_id", values_frame(spark, ["entity", "implied"], implied_pairs(IMPLIED_ENTITIES)))
     return closed.groupBy("traj_id").agg(F.concat_ws(",", F.array_sort(F.collect_set("entity"))).alias("entities"))
 
 

@@ -8,27 +8,21 @@ from stepforge.sources.files import run_folder
 from stepforge.streaming import sinks
 from stepforge.streaming import state as S
 from stepforge.workload.registry import query
-from stepforge.workload.timeline import COMMIT_SQL, WAIT
+from stepforge.workload.timeline import CHANGES_SQL, COMMIT_SQL, SAMPLE_SQL, WAIT
 from stepforge.workload.views import micros
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def events(spark, sf):
-    rows = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf)
+    rows = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 16).parquet(sf)
     return rows.select(F.col("user_id").alias("traj_id"), "event_id", micros("ts").alias("us"), "event_type", "value",
                        F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.col("ts").cast("timestamp").alias("ts"))
 
 
-@query("sample_interval_stream", """
-    WITH RECURSIVE n AS (SELECT traj_id, us, event_id, seq FROM traj),
-    walk AS (SELECT traj_id, seq, us, event_id, true AS kept, us AS last FROM n WHERE seq = 0
-        UNION ALL SELECT n.traj_id, n.seq, n.us, n.event_id, n.us - w.last >= 36000000000,
-            CASE WHEN n.us - w.last >= 36000000000 THEN n.us ELSE w.last END
-        FROM walk w JOIN n ON n.traj_id = w.traj_id AND n.seq = w.seq + 1)
-    SELECT traj_id, us, event_id FROM walk WHERE kept""", using="traj")
+@query("sample_interval_stream", SAMPLE_SQL, using="traj")
 def sample_interval_stream(spark, sf):
-    rows = events(spark, sf).select("traj_id", "us", "event_id")
+    rows = events(spark, sf).select("traj_id", "us", "event_id", "ts")
     return sinks.run_available(S.sample_interval(rows, 36_000), run_folder(spark, "sample"))
 
 
@@ -42,19 +36,18 @@ def sample_interval_stream(spark, sf):
     SELECT unit, event_id, committed FROM walk WHERE kept AND committed IS NOT NULL""", using="traj")
 def pending_commit_stream(spark, sf):
     kind = F.when(F.col("event_type") == "click", "issue").when(F.col("event_type") == "purchase", "seen")
-    rows = events(spark, sf).select((F.col("traj_id") % 8).alias("unit"), "us", "event_id", kind.alias("kind"))
+    rows = events(spark, sf).select((F.col("traj_id") % 8).alias("unit"), "us", "event_id", kind.alias("kind"), "ts")
     return sinks.run_available(S.pending_commit(rows.filter(F.col("kind").isNotNull()), WAIT), run_folder(spark, "commit"))
 
 
-@query("frame_diff_stream", """
-    WITH s AS (SELECT traj_id, event_id, event_type AS kind, value AS health, lag(event_type) OVER w AS pk, lag(value) OVER w AS ph,
-        seq FROM traj WINDOW w AS (PARTITION BY traj_id ORDER BY us, event_id))
-    SELECT traj_id, event_id, 'created' AS change, 0.0 AS amount FROM s WHERE seq = 0
-    UNION ALL SELECT traj_id, event_id, 'damaged', round(ph - health, 4) FROM s WHERE health < ph
-    UNION ALL SELECT traj_id, event_id, 'type_changed', 0.0 FROM s WHERE kind <> pk""", using="traj")
+@query("frame_diff_stream", f"SELECT * FROM ({CHANGES_SQL}) WHERE change <> 'last_seen'", using="traj")
 def frame_diff_stream(spark, sf):
-    rows = events(spark, sf).select("traj_id", "us", "event_id", F.col("event_type").alias("kind"), F.col("value").alias("health"))
-    found = sinks.run_available(S.frame_changes(rows), run_folder(spark, "changes"))
+    rows = events(spark, sf).select(
+        "traj_id", "us", "event_id", F.col("event_type").alias("kind"), F.col("value").alias("health"),
+        (F.col("k") % 11 / 8.0).alias("progress"), (F.col("k") % 7).cast("double").alias("shield"),
+        (F.col("k") % 13 == 0).alias("destroyed"), "ts")
+    # Units are remembered for longer than the table lasts, so only the batch form knows which sighting was the last.
+    found = sinks.run_available(S.frame_changes(rows, 86_400, 366 * 86_400), run_folder(spark, "changes"))
     return found.withColumn("amount", F.round("amount", 4))
 
 
@@ -83,7 +76,8 @@ def append_log(spark, sf):
 
 
 @query("history_upsert_stream", """
-    SELECT traj_id * 1000 + k AS guid, arg_max(event_id, us) AS event_id FROM traj GROUP BY 1""", using="traj")
+    SELECT traj_id * 1000 + k AS guid, arg_max(event_id, (us, event_id)) AS event_id FROM traj GROUP BY 1""", using="traj")
 def history_upsert_stream(spark, sf):
     rows = events(spark, sf).select((F.col("traj_id") * 1000 + F.col("k")).alias("guid"), "event_id", "us")
-    return sinks.read_upserted(spark, sinks.upsert(rows, run_folder(spark, "history"), "guid")).select("guid", "event_id")
+    folder = sinks.upsert(rows, run_folder(spark, "history"))
+    return sinks.read_upserted(spark, folder, "guid", ["us", "event_id"]).select("guid", "event_id")

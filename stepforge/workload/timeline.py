@@ -9,7 +9,7 @@ from stepforge.operators.keyed import first_per_key, top_per_key
 from stepforge.operators.ordered import blocked_window
 from stepforge.plans import detect as D
 from stepforge.workload.registry import query
-from stepforge.workload.views import hour_of, traj_raw
+from stepforge.workload.views import HOUR, hour_of, traj_raw
 
 ORDER = ["us", "event_id"]
 
@@ -64,12 +64,18 @@ def pending_commit(spark, sf):
     return numbered.select("event_id", "unit", "seq")
 
 
-@query("sample_interval", """
-    SELECT traj_id, us // 3600000000 AS slot, min(us) AS us, arg_min(event_id, (us, event_id)) AS event_id
-    FROM traj GROUP BY ALL""", using="traj")
+SAMPLE_SQL = """WITH RECURSIVE n AS (SELECT traj_id, us, event_id, seq FROM traj),
+    walk AS (SELECT traj_id, seq, us, event_id, true AS kept, us AS last FROM n WHERE seq = 0
+        UNION ALL SELECT n.traj_id, n.seq, n.us, n.event_id, n.us - w.last >= 36000000000,
+            CASE WHEN n.us - w.last >= 36000000000 THEN n.us ELSE w.last END
+        FROM walk w JOIN n ON n.traj_id = w.traj_id AND n.seq = w.seq + 1)
+    SELECT traj_id, us, event_id FROM walk WHERE kept"""
+
+
+@query("sample_interval", SAMPLE_SQL, using="traj")
 def sample_interval(spark, sf):
     rows = traj_raw(spark, sf).select("traj_id", "us", "event_id")
-    return T.sample_tumbling(rows, ["traj_id"], 3600)
+    return T.sample_interval(rows, ["traj_id"], ORDER, hour_of(), 36_000)
 
 
 NOW = 1706486400_000_000  # 2024-01-29 00:00 UTC
@@ -122,7 +128,7 @@ def heat_decay(spark, sf):
     visible, gain = F.col("event_type") == "view", F.col("value") / 100 * dt
     lost = F.when(visible, 0.02).otherwise(0.01)
     keep = 1 - dt * F.when(visible, 0.5).otherwise(0.25)
-    heat = T.clamp_fold(rows, ["cell"], ORDER, hour_of(), a=keep, b=gain - dt * lost * keep, low=gain,
+    heat = T.clamp_fold(rows, ["cell"], ORDER, HOUR, a=keep, b=gain - dt * lost * keep, low=gain,
                         high=F.lit(float("inf")))
     return heat.select("cell", F.round("value", 4).alias("heat"))
 
@@ -139,7 +145,7 @@ def stealth_heat(spark, sf):
     dt = F.lit(0.1) + (F.col("traj_id") % 10) / 10.0
     added = F.when(F.col("event_type") == "error", dt).otherwise(0.0)
     keep = 1 - dt * 0.5
-    heat = T.clamp_fold(rows, ["cell"], ORDER, hour_of(), a=keep, b=(added - dt) * keep, low=F.lit(0.0), high=F.lit(2.0))
+    heat = T.clamp_fold(rows, ["cell"], ORDER, HOUR, a=keep, b=(added - dt) * keep, low=F.lit(0.0), high=F.lit(2.0))
     return heat.select("cell", F.round("value", 4).alias("heat"))
 
 
@@ -228,7 +234,7 @@ def cloak_trigger(spark, sf):
     return rows.select("event_id", (F.col("_seen") == 1).alias("cloak"))
 
 
-@query("frame_diff", """
+CHANGES_SQL = """
     WITH s AS (SELECT traj_id, event_id, us, event_type AS kind, value AS health, (k % 11) / 8.0 AS progress,
         (k % 7) / 1.0e0 AS shield, lag((k % 7) / 1.0e0) OVER w AS psh, k % 13 = 0 AS destroyed, lag(us) OVER w AS pus, lag(event_type) OVER w AS pk, lag(value) OVER w AS ph, lag((k % 11) / 8.0) OVER w AS pp,
         lead(us) OVER w AS nus FROM traj WINDOW w AS (PARTITION BY traj_id ORDER BY us, event_id))
@@ -240,7 +246,10 @@ def cloak_trigger(spark, sf):
     UNION ALL SELECT traj_id, event_id, 'construction_started', 0.0 FROM s WHERE pus IS NULL AND progress < 1
     UNION ALL SELECT traj_id, event_id, 'construction_completed', 0.0 FROM s WHERE progress >= 1 AND (pus IS NULL OR pp < 1)
     UNION ALL SELECT traj_id, event_id, 'destroyed', 0.0 FROM s WHERE destroyed AND pus IS NOT NULL
-    UNION ALL SELECT traj_id, event_id, 'last_seen', 0.0 FROM s WHERE nus IS NULL""", using="traj")
+    UNION ALL SELECT traj_id, event_id, 'last_seen', 0.0 FROM s WHERE nus IS NULL"""
+
+
+@query("frame_diff", CHANGES_SQL, using="traj")
 def frame_diff(spark, sf):
     rows = traj_raw(spark, sf).select(
         "traj_id", "us", "event_id", F.col("event_type").alias("kind"), F.col("value").alias("health"),
@@ -270,7 +279,7 @@ def first_attacked(spark, sf):
     SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY us RANGE BETWEEN 3600000000 PRECEDING
         AND CURRENT ROW) AS recent FROM traj""", using="traj")
 def trailing_count(spark, sf):
-    rows = T.trailing_count(traj_raw(spark, sf).select("event_type", "event_id", "us"), ["event_type"], 3600, 7200)
+    rows = T.trailing_count(traj_raw(spark, sf).select("event_type", "event_id", "us"), ["event_type"], 3600)
     return rows.select("event_id", "recent")
 
 

@@ -3,6 +3,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from stepforge.operators import closure, spatial, state
@@ -65,11 +66,13 @@ def test_split_steps_over_many_blocks(spark):
             assert sorted(got[t]) == [(i, a, b) for i, (a, b) in enumerate(greedy(all_))]
 
 
-def test_clamp_fold(spark):
+@pytest.mark.parametrize("fold", [4, 1024])
+def test_clamp_fold(spark, monkeypatch, fold):
+    monkeypatch.setattr(state, "FOLD", fold)
     draw = random.Random(5)
     rows = [(draw.randrange(3), i, draw.uniform(0.2, 1.1), draw.uniform(-1, 1)) for i in range(300)]
     df = spark.createDataFrame(rows, "k bigint, at bigint, a double, b double")
-    out = state.clamp_fold(df, ["k"], ["at"], F.floor(F.col("at") / 20), F.col("a"), F.col("b"), F.lit(0.0), F.lit(2.0))
+    out = state.clamp_fold(df, ["k"], ["at"], 100, F.col("a"), F.col("b"), F.lit(0.0), F.lit(2.0), most=16)
     for r in out.collect():
         heat = 0.0
         for _, _, a, b in [x for x in rows if x[0] == r.k]:
@@ -77,10 +80,11 @@ def test_clamp_fold(spark):
         assert math.isclose(heat, r.value, abs_tol=1e-9)
 
 
-def test_trailing_count(spark):
+@pytest.mark.parametrize("most", [8, 1 << 20])
+def test_trailing_count(spark, most):
     rows, df = rows_for(spark, 300, 4, 7)
     seconds = df.withColumn("us", F.col("us") * 1_000_000)
-    got = {r.event_id: r.recent for r in state.trailing_count(seconds, ["k"], 60, 100).collect()}
+    got = {r.event_id: r.recent for r in state.trailing_count(seconds, ["k"], 60, most=most).collect()}
     for key, us, event, _ in rows:
         assert got[event] == sum(1 for r in rows if r[0] == key and us - 60 <= r[1] <= us)
 

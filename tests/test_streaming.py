@@ -23,10 +23,10 @@ def second(n):
 
 def test_sample_interval_goes_on_after_a_restart(spark, tmp_path):
     source, out = tmp_path / "in", str(tmp_path / "out")
-    feed(spark, source, [(1, 0, "seen", False, second(t), t) for t in (0, 3, 5, 9)], "a")
-    query = lambda: S.sample_interval(stream(spark, source).select("traj_id", "us", "event_id"), 5)
+    feed(spark, source, [(1, 0, "seen", False, second(100 + t), t) for t in (0, 3, 5, 9)], "a")
+    query = lambda: S.sample_interval(stream(spark, source).select("traj_id", "us", "event_id", "ts"), 5)
     sinks.run_available(query(), out)
-    feed(spark, source, [(1, 0, "seen", False, second(t), t) for t in (11, 14, 16)], "b")
+    feed(spark, source, [(1, 0, "seen", False, second(100 + t), t) for t in (11, 14, 16)], "b")
     rows = sinks.run_available(query(), out)
     assert sorted(r.event_id for r in rows.collect()) == [0, 5, 11, 16]
 
@@ -83,12 +83,52 @@ def test_logs_and_upserts_resume(spark, tmp_path):
     sinks.append_log(rows, logs, {"audit": F.col("kind") == "a", "rejected": F.col("kind") != "a"})
     assert sinks.read_log(spark, logs, "audit").count() == 1
     assert sinks.read_log(spark, logs, "rejected").count() == 2
-    found = lambda: {r.tag: r.event_id for r in sinks.read_upserted(spark, table).collect()}
-    sinks.upsert(rows, table, "tag")
+    found = lambda: {r.tag: r.event_id for r in sinks.read_upserted(spark, table, "tag", ["us"]).collect()}
+    sinks.upsert(rows, table)
     assert found() == {7: 3, 8: 2}
     # A later run on the same checkpoint keeps what was there; an older row replaces nothing.
     feed(spark, source, [(1, 9, "a", False, second(4), 4), (1, 7, "a", False, second(2), 5)], "c")
-    sinks.upsert(rows, table, "tag")
+    sinks.upsert(rows, table)
     assert found() == {7: 3, 8: 2, 9: 4}
-    sinks.upsert(rows, table, "tag")
+    sinks.upsert(rows, table)
     assert found() == {7: 3, 8: 2, 9: 4}
+    whole = sinks.compacted(spark, table, "tag", ["us"], str(tmp_path / "whole"))
+    assert {r.tag: r.event_id for r in whole.collect()} == found()
+
+
+def states_left(spark, folder):
+    """Keys whose state a finished stream still holds."""
+    reader = spark.read.format("statestore").option("stateVarName", "state")
+    return sorted(r.key[0] for r in reader.load(f"{folder}/checkpoint").collect())
+
+
+def test_state_of_silent_keys_is_gone(spark, tmp_path):
+    """Two keys are seen, one falls silent while the other goes on: the first one's state goes, its rows stay."""
+    source = tmp_path / "in"
+    feed(spark, source, [(1, 0, "issue", False, second(100), 1), (2, 0, "issue", False, second(100), 2)], "a")
+    feed(spark, source, [(2, 0, "issue", False, second(500), 3)], "b")
+    feed(spark, source, [(2, 0, "issue", False, second(501), 4)], "c")
+    sampled = sinks.run_available(S.sample_interval(stream(spark, source), 20), str(tmp_path / "sample"))
+    assert sorted(r.event_id for r in sampled.collect()) == [1, 2, 3]
+    assert states_left(spark, tmp_path / "sample") == [2]
+    orders = stream(spark, source).withColumn("unit", F.col("traj_id"))
+    assert sinks.run_available(S.pending_commit(orders, 20), str(tmp_path / "orders")).collect() == []
+    assert states_left(spark, tmp_path / "orders") == [2]
+
+
+def test_frame_changes_over_batches(spark, tmp_path):
+    source, schema = tmp_path / "in", "traj_id bigint, us bigint, event_id bigint, kind string, health double, shield double, progress double, destroyed boolean"
+
+    def put(name, *rows):
+        spark.createDataFrame([(1, second(100 + t), e, k, h, s, p, d) for t, e, k, h, s, p, d in rows], schema).coalesce(1).write.parquet(str(source / name))
+
+    put("a", (0, 1, "x", 10.0, 5.0, 0.5, False), (1, 2, "x", 8.0, 5.0, 0.7, False))
+    put("b", (2, 3, "y", 8.0, 1.0, 1.0, False), (30, 4, "y", 8.0, 1.0, 1.0, True))
+    spark.createDataFrame([(2, second(900), 5, "z", 1.0, 1.0, 1.0, False)], schema).coalesce(1).write.parquet(str(source / "c"))
+    spark.createDataFrame([(2, second(901), 6, "z", 1.0, 1.0, 1.0, False)], schema).coalesce(1).write.parquet(str(source / "d"))
+    rows = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(source))
+    found = sinks.run_available(S.frame_changes(rows.withColumn("ts", F.timestamp_micros("us")), 10, 60), str(tmp_path / "out"))
+    assert sorted((r.event_id, r.change, r.amount) for r in found.collect() if r.traj_id == 1) == [
+        (1, "construction_started", 0.0), (1, "created", 0.0), (2, "damaged", 2.0), (3, "construction_completed", 0.0), (3, "damaged", 4.0),
+        (3, "left_view", 0.0), (3, "type_changed", 0.0), (4, "destroyed", 0.0), (4, "entered_view", 0.0), (4, "last_seen", 0.0)]
+    assert states_left(spark, tmp_path / "out") == [2]
