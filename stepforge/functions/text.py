@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -359,17 +361,38 @@ def no_ordinals(text: Column) -> Column:
     return text
 
 
-def neutral_words(text: Column) -> Column:
-    """Enemy wording replaced phrase by phrase; a phrase is only searched where a part of it occurs."""
-    phrases = F.array(*[F.struct(F.lit("(?iU)" + p).alias("p"), F.lit(r).alias("r"), F.lit(s).alias("s"))
-                        for p, r, s in NEUTRAL_WORDS])
+def spelled(pattern: str) -> list[str]:
+    """All lower-case phrases of a pattern of words, white space and optional parts."""
+    part = re.search(r"\(\?:([^()]*)\)\?|(\w)\?", pattern)
+    if part:
+        before, after = pattern[:part.start()], pattern[part.end():]
+        return [s for middle in (part[1] or part[2], "") for s in spelled(before + middle + after)]
+    return [pattern.replace(r"\b", "").replace(r"\s+", " ")]
+
+
+# The last rules join what others wrote; no other rule finds anything in a replacement, so those are one pass.
+JOINING = [rule for rule in NEUTRAL_WORDS if rule[2] == "mobile map presence"]
+SINGLE = [rule for rule in NEUTRAL_WORDS if rule not in JOINING]
+NEUTRAL_OF = {phrase: replacement for pattern, replacement, _ in reversed(SINGLE) for phrase in spelled(pattern)}
+ANY_NEUTRAL = r"(?iU)\b(?:" + "|".join(pattern.replace(r"\b", "") for pattern, _, _ in SINGLE) + r")\b"
 
-    def replace(t, phrase):
-        # The long s is the one letter that matches s but is not lowered to it.
-        near = F.contains(F.lower(t), phrase["s"]) | F.contains(t, F.lit("\u017f"))
-        return F.when(near, F.regexp_replace(t, phrase["p"], phrase["r"])).otherwise(t)
 
-    return single_line(F.aggregate(phrases, or_empty(text), replace))
+def neutral_words(text: Column) -> Column:
+    """Enemy wording replaced phrase by phrase, all phrases in one pass over the text.
+
+    Where two rules fit, the one that begins first does, of those the earlier one:
+    phrases that overlap are parts of one another, so that is what rule after rule gives.
+    """
+    bare = or_empty(text)
+    neutral = F.create_map(*[F.lit(x) for pair in NEUTRAL_OF.items() for x in pair])
+    # The long s is the one letter that matches s but is not lowered to it.
+    key = lambda m: F.replace(F.lower(F.regexp_replace(m, r"(?U)\s+", " ")), F.lit("\u017f"), F.lit("s"))
+    parts, found = F.split(bare, ANY_NEUTRAL, -1), F.regexp_extract_all(bare, F.lit(ANY_NEUTRAL), F.lit(0))
+    rest = F.zip_with(found, F.slice(parts, 2, 1 << 30), lambda m, after: F.concat(neutral[key(m)], after))
+    out = F.concat(parts[0], F.array_join(rest, ""))
+    for pattern, replacement, sign in JOINING:
+        out = F.when(F.contains(out, F.lit(sign)), F.regexp_replace(out, "(?iU)" + pattern, replacement)).otherwise(out)
+    return single_line(out)
 
 
 def closing_line(text: Column, number: Column) -> Column:

@@ -128,7 +128,10 @@ def even_blocks(df: DataFrame, keys: Sequence[str], time: str, width: int, most:
     keys = list(keys)
     cell = F.floor(F.col(time) / F.lit(width))
     rows = df.withColumn("_cell", cell)
-    crowded = rows.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
+    sizes = rows.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= most:
+        return df.withColumn(name, F.struct(cell.alias("_cell"), F.lit(0).alias("part")))
+    crowded = sizes.filter(F.col("_n") > most)
     wanted = F.least(F.lit(CUTS), F.ceil(F.col("_n") / most).cast("int"))
     sketch = F.percentile_approx(time, [i / CUTS for i in range(1, CUTS)], 4 * CUTS)
     cuts = rows.join(crowded, [*keys, "_cell"]).groupBy(*keys, "_cell", "_n").agg(sketch.alias("_q")).select(

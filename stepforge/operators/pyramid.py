@@ -65,7 +65,7 @@ def build(points: DataFrame, side: float, values: Mapping[str, Column], on: Sequ
     whole = leaves[0]
     for part in leaves[1:]:
         whole = whole.unionByName(part)
-    return Pyramid(on, names, float(side), levels, cut_lineage(whole))
+    return Pyramid(on, names, float(side), levels, whole)
 
 
 def _bounds() -> tuple[Column, Column]:

@@ -1,5 +1,8 @@
 """Texts: reasoning tags, answers, rules and wording."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,6 +35,46 @@ def test_neutral_words(spark):
         "read the map state and add production tempo, stabilize")
 
 
+def test_neutral_words_equal_rule_after_rule(spark):
+    draw = random.Random(1)
+    words = ["scout", "scouting", "Enemy", "threat", "threats", "to", "pressure", "the", "game", "apply", "cloaked", "harassers", "harasser", "HARASS",
+             "harassment", "harrassment", "units", "harassing", "rush", "rushes", "opponent", "opponents", "move-out", "move out", "poke", "hold", "mobile",
+             "map", "presence", "production", "tempo", "x", "(", ",", "scoutx", "\u017fcout", "thre\nats"]
+    texts = ["".join(draw.choice(words) + draw.choice([" ", " ", "  ", "\n", "", "-", "\u00a0"]) for _ in range(12)) for _ in range(3000)]
+
+    def plain(text):
+        for pattern, replacement, _ in X.NEUTRAL_WORDS:
+            text = re.sub(pattern, replacement, text, flags=re.I)
+        return " ".join(text.split())
+
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(X.neutral_words(F.col("t")).alias("v")).collect()
+    assert [" ".join(r.v.split()) for r in got] == [plain(t) for t in texts]
+
+
+# Answers and what is read of them.
+ITEMS = [
+    ('"2.5"', None), ('"1e2"', None), ("true", 1), ("false", None), ("2.9", 2), ("1e2", 100), ('" 7 "', 7), ('"+3"', 3), ('"1_0"', 10), ("null", None),
+    ("0.9", None), ("-4", None), ("[2]", None), ('"x"', None), ("12345678901", 12345678901),
+]
+
+
+@pytest.mark.parametrize("count,expected", ITEMS)
+def test_counts_by_json_type(spark, count, expected):
+    items = value(spark, X.parse_items, '{"items": [{"name": "A", "count": %s}]}' % count)
+    assert (None if items is None else [tuple(i) for i in items]) == (None if expected is None else [("A", expected)])
+    tags = value(spark, X.parse_tags, f"[{count}]")
+    assert tags == {"false": 0, "0.9": 0, "-4": -4}.get(count, expected)
+
+
+def test_items_that_are_none(spark):
+    for text in ('{"items": [{"name": "A", "count": 1}]} {"x": 1}', '{"items": [{"name": "A", "count": 1}]} tail', '{"items": [1]}', '{"items": {}}', "[1]", "", "{}",
+                 '{"items": [{"name": "", "count": 1}]}', '{"items": [{"count": 1}]}', '{"items": [{"name": 0, "count": 1}]}', '{"items": [{"name": [], "count": 1}]}'):
+        assert value(spark, X.parse_items, text) is None, text
+    assert value(spark, X.parse_items, '{"items": []}') == []
+    got = value(spark, X.parse_items, '{"items": [{"name": 5, "count": 1}, {"name": true, "count": 2}]}')
+    assert [tuple(i) for i in got] == [("5", 1), ("True", 2)]
+
+
 def test_split_reasoning_modes(spark):
     def parts(text, **fields):
         return lambda t: X.split_reasoning(t, {k: F.lit(v) for k, v in fields.items()})
