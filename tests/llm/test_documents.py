@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from stepforge.llm import ppm, simhash
+from stepforge.llm import ppm, quality, simhash
 from stepforge.llm.line_dedup import dedup_lines
 from stepforge.llm.mixing import mix
 from stepforge.llm.packing import closest, pack
@@ -232,6 +232,59 @@ def test_mixing(documents, odd, none):
     assert mix(odd).filter("copies < 1").count() == 0
 
 
+def test_mixing_weights_and_quotas(documents):
+    """Weights by a closed form for repeats and by plain bisection for entropy; copies fill the quota of every source."""
+    tokens = Counter()
+    for r in documents.select("source", "text").collect():
+        tokens[r.source] += len(words_of(r.text))
+    whole = sum(tokens.values())
+    p = {s: n / whole for s, n in tokens.items()}
+
+    def weights(power):
+        z = sum(x ** power for x in p.values())
+        return {s: x ** power / z for s, x in p.items()}
+
+    power = max(0.0, 1 - math.log(1.5) / math.log(max(p.values()) / min(p.values())))
+    entropy = lambda w: -sum(x * math.log(x) for x in w.values())
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if entropy(weights(middle)) >= 0.995 * math.log(len(p)) else (low, middle)
+    for found, expected in ((mix(documents, repeats=1.5), weights(power)), (mix(documents, entropy=0.995, repeats=None), weights(low))):
+        rows = found.select("source", "n_tokens", "weight", "copies").collect()
+        assert all(abs(r.weight - expected[r.source]) < 1e-5 for r in rows)
+        budget = max(tokens[s] / w for s, w in expected.items())
+        for s, w in expected.items():
+            own = [r for r in rows if r.source == s]
+            taken, quota = sum(r.n_tokens * r.copies for r in own), w * budget
+            passes = int(quota / tokens[s] + 1e-4)
+            assert {r.copies for r in own} <= {passes, passes + 1}
+            assert quota - max(r.n_tokens for r in own) - 1e-3 * quota <= taken <= quota * (1 + 1e-4)
+
+
+def test_quality_scores_equal_plain_discriminant(spark):
+    """The query's scores from class covariances and determinants written out, over the same statistics of the texts."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("doc_id % 3 = 0")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    rows = rows_of(df)
+    x = np.array([quality.statistics((t or "").encode()) for _, t in rows], float)
+    learn = [i for i, (d, _) in enumerate(rows) if zlib.crc32(str(d).encode()) % 4 != 2 and known.get(d) in (0, 1)]
+    y = np.array([known[rows[i][0]] for i in learn])
+    classes = [x[learn][y == k] for k in range(2)]
+    common = sum((c - c.mean(0)).T @ (c - c.mean(0)) for c in classes) / len(learn)
+    scale = np.sqrt(np.maximum(np.diag(common), 1e-9))
+    logs = []
+    for c in classes:
+        cov = (0.25 * np.cov(c.T, bias=True) + 0.75 * common) / np.outer(scale, scale)
+        cov = 0.98 * cov + (0.02 * np.trace(cov) / len(cov) + 1e-9) * np.eye(len(cov))
+        z = (x - c.mean(0)) / scale
+        logs.append(np.log(len(c) / len(learn)) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * np.einsum("ij,ij->i", z, np.linalg.solve(cov, z.T).T))
+    expected = {d: 1 / (1 + math.exp(min(700, max(-700, a - b)))) for (d, _), a, b in zip(rows, *logs)}
+    got = quality_scores(df, labels).select("doc_id", "score").collect()
+    assert len(got) == len(rows) and all(abs(r.score - expected[r.doc_id]) < 1e-6 for r in got)
+
+
 def test_quality(spark, documents, odd, none):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
@@ -262,33 +315,20 @@ def test_base_scores(request, name):
     assert all(r.score < 0 for r in got)
 
 
-def test_ppm_is_a_distribution_and_matches_a_plain_walk(spark):
-    texts = [b"abab abc", b"abcab", b"zz top"]
-    order, grams = 2, Counter()
-    for t in texts:
-        data = ppm.END * order + b" ".join(ppm.normal(t)) + ppm.END
-        for i in range(order, len(data)):
-            grams[sum(data[i - j] << 8 * j for j in range(order + 1))] += 1
-    frame = spark.createDataFrame(list(grams.items()), "gram long, n long")
-    for entries in (10_000, 12):
-        trie = ppm.Trie([ppm.Level(*x) for x in ppm.trained(frame, order, entries)])
-        for context in (b"ab", b"zz", b"q!", b"\n\n", b" t"):
-            key = context[1] | context[0] << 8
-            assert abs((10 ** trie.code(np.arange(256, dtype=np.uint64) | np.uint64(key << 8))).sum() - 1) < 1e-9
-    trie = ppm.Trie([ppm.Level(*x) for x in ppm.trained(frame, order, 10_000)])
-    levels = {}
-    for k in (2, 1, 0):
-        mask = (1 << 8 * (k + 1)) - 1
-        at = Counter()
-        for g, n in grams.items():
-            at[g & mask] += n if k == 2 else 0
-        if k < 2:
-            at = Counter(g & mask for g in levels[k + 1])
-        levels[k] = at
+def plain_trie(grams, order):
+    """The counts of every level, and a walk that gives a gram's code length, from counts of the longest grams."""
+    levels = {order: grams}
+    for k in range(order - 1, -1, -1):
+        levels[k] = Counter(g & (1 << 8 * (k + 1)) - 1 for g in levels[k + 1])
+    symbols = defaultdict(dict)
+    for k, counts in levels.items():
+        for g, n in counts.items():
+            symbols[k, g >> 8][g & 255] = n
+
     def walk(gram):
         out, gone = 0.0, set()
-        for k in (2, 1, 0):
-            own = {g & 255: n for g, n in levels[k].items() if g >> 8 == gram >> 8 & (1 << 8 * k) - 1}
+        for k in range(order, -1, -1):
+            own = symbols.get((k, gram >> 8 & (1 << 8 * k) - 1))
             if not own:
                 continue
             escape = max(0.5 * len(own) - 0.5 * len(gone), 0.25) if gone else 0.5 * len(own)
@@ -297,8 +337,45 @@ def test_ppm_is_a_distribution_and_matches_a_plain_walk(spark):
                 return out + math.log10((own[gram & 255] - 0.5) / whole)
             out, gone = out + math.log10(escape / whole), set(own)
         return out - math.log10(256 - len(gone))
-    some = [g for g in grams] + [0x616278, 0x717171, 0x7a7a61]
-    assert np.allclose(trie.code(np.array(some, np.uint64)), [walk(g) for g in some])
+
+    return walk
+
+
+def plain_grams(text, order):
+    data = ppm.END * order + b" ".join(ppm.normal(text)) + ppm.END
+    return [sum(data[i - j] << 8 * j for j in range(order + 1)) for i in range(order, len(data))]
+
+
+@pytest.mark.parametrize("order", [0, 1, 2, 5])
+def test_ppm_codes_match_a_plain_walk_and_are_a_distribution(spark, order):
+    grams = Counter(g for t in (b"abab abc", b"abcab", b"zz top", b"a topic") for g in plain_grams(t, order))
+    contexts = [g >> 8 for g in grams] + [0x6162636465 & (1 << 8 * order) - 1, 0x7171717171 & (1 << 8 * order) - 1]
+    asked = {c << 8 | s for c in contexts for s in range(256)} - set(grams)
+    frame = spark.createDataFrame([*grams.items(), *((g, 0) for g in asked)], "gram long, n long")
+    codes = {r.gram: r.code for r in ppm.coded(frame, order).collect()}
+    walk = plain_trie(grams, order)
+    assert len(codes) == len(grams) + len(asked) and all(abs(walk(g) - c) < 1e-9 for g, c in codes.items())
+    for c in contexts:
+        assert abs(sum(10 ** codes[c << 8 | s] for s in range(256)) - 1) < 1e-9
+
+
+@pytest.mark.parametrize("name", ["documents", "odd", "none"])
+def test_ppm_scores_whatever_is_sent(request, name):
+    """Whole queries against a plain trie over all training texts; what is sent to the tasks changes nothing."""
+    df = request.getfixturevalue(name)
+    if name == "documents":
+        df = df.filter("n_chars < 4000")
+    rows = rows_of(df)
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 10 == 0
+    walk = plain_trie(Counter(g for d, t in rows if not held(d) for g in plain_grams((t or "").encode(), 5)), 5)
+    known = {}
+    code = lambda g: known[g] if g in known else known.setdefault(g, walk(g))
+    expected = sorted((d is None, d or 0, round(sum(code(g) for g in plain_grams((t or "").encode(), 5)), 4)) for d, t in rows)
+    for entries in (3_000_000, 1000, 0):
+        got = ppm_scores(df, entries=entries).collect()
+        found = sorted((r.doc_id is None, r.doc_id or 0, r.score) for r in got)
+        assert [x[:2] for x in found] == [x[:2] for x in expected]
+        assert np.allclose([x[2] for x in found], [x[2] for x in expected], atol=1e-3)
 
 
 def test_every_query_runs_over_its_table(spark, documents):
