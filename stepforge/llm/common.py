@@ -16,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Names made of these that no column of ``df`` has, in any case of letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 class Scratch:
     """Tables written to the shared folder; ``free`` removes those no later step reads.
 

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepforge.llm.common import Scratch
+from stepforge.llm.common import Scratch, spare
 
 GRID, ROUNDS = 33, 5
 
@@ -86,8 +86,9 @@ def mix(df: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_
     """
     scratch = Scratch(df.sparkSession)
     hashed = F.xxhash64(F.col(id_col), F.col(text_col))
-    rows = df.drop("n_tokens", "weight", "copies").withColumns({"n_tokens": word_count(text_col), "_h": hashed})
-    slim = scratch.cut(rows.select(F.col(source_col).alias("src"), F.col("n_tokens").alias("tok"), F.col("_h").alias("h")))
+    key, plan_name, of = spare(df, "_h", "_plan", "_of")
+    rows = df.drop("n_tokens", "weight", "copies").withColumns({"n_tokens": word_count(text_col), key: hashed})
+    slim = scratch.cut(rows.select(F.col(source_col).alias("src"), F.col("n_tokens").alias("tok"), F.col(key).alias("h")))
     sources = scratch.cut(slim.groupBy("src").agg(F.sum("tok").alias("tokens"), F.count("*").alias("rows")))
     total = sources.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first().t
     shares = sources.filter("tokens > 0").select("src", "tokens", "rows", (F.col("tokens") / F.lit(float(max(total, 1)))).alias("p"))
@@ -119,14 +120,13 @@ def mix(df: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_
     cutoff = last.groupBy("src").agg(F.max("order").alias("upto"))
     plan = quota.join(ends, quota["src"].eqNullSafe(ends["_src"]), "left").drop("_src").join(
         cutoff.withColumnRenamed("src", "_src"), F.col("src").eqNullSafe(F.col("_src")), "left").select(
-        F.col("src").alias("_src"), F.col("blocks").alias("_blocks"), F.col("weight").alias("_weight"), F.col("passes").alias("_passes"),
-        "_turn", F.col("upto").alias("_upto"))
+        F.col("src").alias(of), F.struct("blocks", "weight", "passes", F.col("_turn").alias("turn"), "upto").alias(plan_name))
     plan = scratch.cut(plan)
     scratch.free(slim, sources, sums, ends, quota)
-    out = rows.join(plan, F.col(source_col).eqNullSafe(F.col("_src")), "left")
-    own = F.xxhash64(F.lit(seed), F.col(source_col), F.pmod(F.col("_h"), F.col("_blocks")).cast("int"))
-    more = F.when(F.col("_turn").isNull(), F.lit(False)).when(own < F.col("_turn"), F.lit(True)).when(
-        own == F.col("_turn"), F.coalesce(F.xxhash64(F.lit(seed + 1), F.col("_h")) <= F.col("_upto"), F.lit(False))).otherwise(F.lit(False))
-    return out.withColumns({"weight": F.coalesce("_weight", F.lit(0.0)),
-                            "copies": F.when(F.col("_passes").isNull(), 1).otherwise(F.col("_passes") + more.cast("int"))}).drop(
-        "_h", "_src", "_blocks", "_weight", "_passes", "_turn", "_upto")
+    out = rows.join(plan, F.col(source_col).eqNullSafe(F.col(of)), "left")
+    h, its = F.col(key), lambda name: F.col(plan_name)[name]
+    own = F.xxhash64(F.lit(seed), F.col(source_col), F.pmod(h, its("blocks")).cast("int"))
+    more = F.when(its("turn").isNull(), F.lit(False)).when(own < its("turn"), F.lit(True)).when(
+        own == its("turn"), F.coalesce(F.xxhash64(F.lit(seed + 1), h) <= its("upto"), F.lit(False))).otherwise(F.lit(False))
+    return out.withColumns({"weight": F.coalesce(its("weight"), F.lit(0.0)),
+                            "copies": F.when(its("passes").isNull(), 1).otherwise(its("passes") + more.cast("int"))}).drop(key, of, plan_name)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepforge.llm.common import Scratch, as_bytes
+from stepforge.llm.common import Scratch, as_bytes, spare
 
 LETTERS = bytes(b for b in range(256) if chr(b).isascii() and not chr(b).isalpha())
 UPPER = bytes(b for b in range(256) if not 65 <= b <= 90)
@@ -130,6 +130,6 @@ def quality_scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             yield pa.array(model.score(x))
 
     scored = F.arrow_udf(score, "double", F.ArrowUDFType.SCALAR_ITER)
-    out = df.withColumn("_score", scored(F.col(text_col).cast("binary")))
-    return out.withColumns({"held_out": held_out, "score": F.col("_score"),
-                            "predicted": (F.col("_score") >= threshold).cast("int")}).drop("_score")
+    name, = spare(df, "_score")
+    out = df.withColumn(name, scored(F.col(text_col).cast("binary")))
+    return out.withColumns({"held_out": held_out, "score": F.col(name), "predicted": (F.col(name) >= threshold).cast("int")}).drop(name)

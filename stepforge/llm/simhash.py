@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepforge.llm.common import Scratch, as_bytes, components, union
+from stepforge.llm.common import Scratch, as_bytes, components, spare, union
 
 BLOCK = 65_536
 #: Fingerprints of a text in ``keep_first``, and how many of them its candidates are compared on.
@@ -325,8 +325,9 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     roots = components(scratch.spark, links)
     texts = scratch.cut(rows.groupBy("digest", "node").agg(F.min("doc_id").alias("first")).join(roots, "node", "left").select(
         "digest", "first", F.coalesce("root", "node").alias("root")))
-    firsts = scratch.cut(texts.groupBy("root").agg(F.min("first").alias("_first")))
-    named = scratch.cut(texts.join(firsts, "root").select(F.col("digest").alias("_digest"), "_first"))
+    digest, first = spare(df, "_digest", "_first")
+    firsts = scratch.cut(texts.groupBy("root").agg(F.min("first").alias(first)))
+    named = scratch.cut(texts.select("digest", "root").join(firsts, "root").select(F.col("digest").alias(digest), first))
     scratch.free(links, texts, firsts)
-    return df.withColumn("_digest", F.xxhash64(text_col)).join(named, "_digest").filter(
-        F.col(id_col).cast("long").eqNullSafe(F.col("_first"))).select(*[df[c] for c in df.columns])
+    return df.withColumn(digest, F.xxhash64(text_col)).join(named, digest).filter(
+        F.col(id_col).cast("long").eqNullSafe(F.col(first))).select(*[df[c] for c in df.columns])
