@@ -134,7 +134,7 @@ def nearest(points: DataFrame, centres: DataFrame, keys: Sequence[str], k: int,
     """The ``k`` points nearest to each centre, ties by ``tie``, as ``keys``, the points' columns, ``d2`` and ``rank`` from 1.
 
     ``points`` has x, y, ``tie`` and ``on``; ``centres`` distinct ``keys``, cx, cy
-    and ``on``. Cells are taken from one that holds all points down to the
+    and ``on``; names that begin with an underscore are the join's own. Cells are taken from one that holds all points down to the
     positions; those farther away than the bound that nearer cells set for the
     kth point are dropped at every level, so a centre keeps few cells however
     crowded or empty its surroundings are.

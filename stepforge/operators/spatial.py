@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepforge.operators.closure import connected_components
-from stepforge.operators.pyramid import Between, build, range_sums, squared
+from stepforge.operators.pyramid import Between, build, nearest, range_sums, squared
 from stepforge.session import cut_lineage
 
 
@@ -253,6 +253,41 @@ def eps_groups(points: DataFrame, eps: float, on: Sequence[str] = (), height: st
         *on, "x", "y", *([height] if height else []), F.col("component").alias("group"))
 
 
+def merge_groups(points: DataFrame, reach: float, on: Sequence[str] = (), height_gap: float = 10.0) -> DataFrame:
+    """Groups ``(on, group, n, x, y)`` of points whose centres drew together, with the mean of their points as centre.
+
+    ``points`` has ``on``, id, x, y, height. Points on one spot and level begin as
+    one group. In every round each group looks for the nearest other centre within
+    ``reach`` whose heights all lie within ``height_gap`` of its own, and two groups
+    that found each other merge (ties go to the smaller id); centres move, so a
+    chain longer than the reach does not become one group. Ends when none merges.
+    A group is named by its least id. Each round is a k-nearest join that
+    looks at few cells for each centre.
+    """
+    on = list(on)
+    groups = cut_lineage(points.groupBy(*on, "x", "y", "height").agg(F.min("id").alias("group"), F.count(F.lit(1)).alias("n")).select(
+        *on, "group", "n", (F.col("x") * F.col("n")).alias("sx"), (F.col("y") * F.col("n")).alias("sy"), F.col("height").alias("low"), F.col("height").alias("high")))
+    while True:
+        placed = groups.withColumn("cx", F.col("sx") / F.col("n")).withColumn("cy", F.col("sy") / F.col("n"))
+        # Levels are few, so are the stretches of heights that groups span.
+        spans = placed.select(*[F.col(c).alias(f"_{c}") for c in on], F.col("low").alias("from_height"), F.col("high").alias("to_height")).distinct()
+        fits = F.greatest("high", "to_height") - F.least("low", "from_height") <= height_gap
+        for c in on:
+            fits = fits & (F.col(c) == F.col(f"_{c}"))
+        asked = placed.join(spans, fits).select(*on, "group", "cx", "cy", "from_height", "to_height")
+        others = placed.select(*on, F.col("group").alias("near"), F.col("cx").alias("x"), F.col("cy").alias("y"), F.col("low").alias("from_height"), F.col("high").alias("to_height"))
+        found = nearest(others, asked, ["group", "from_height", "to_height"], 2, "near", [*on, "from_height", "to_height"])
+        close = found.filter((F.col("near") != F.col("group")) & (F.col("d2") <= float(reach) ** 2))
+        best = cut_lineage(close.groupBy("group").agg(F.min(F.struct("d2", "near"))["near"].alias("near")))
+        back = best.select(F.col("near").alias("group"), F.col("group").alias("near"))
+        pairs = cut_lineage(best.join(back, ["group", "near"]).filter("near < group"))
+        if pairs.isEmpty():
+            return placed.select(*on, "group", "n", F.col("cx").alias("x"), F.col("cy").alias("y"))
+        moved = groups.join(pairs, "group", "left").withColumn("group", F.coalesce("near", "group"))
+        groups = cut_lineage(moved.groupBy(*on, "group").agg(
+            F.sum("n").alias("n"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy"), F.min("low").alias("low"), F.max("high").alias("high")))
+
+
 def flood_regions(cells: DataFrame) -> DataFrame:
     """Regions of cells (x, y) that touch at a side or corner, as ``region`` = one of its cells."""
     node = F.struct("x", "y")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stepforge.functions import text as X
 from stepforge.operators import listing as L
+from stepforge.operators import picking as K
 from stepforge.operators.keyed import first_per_key
 from stepforge.operators.ordered import numbered
 from stepforge.plans import curate as C
@@ -526,9 +527,7 @@ def hardest_victory(spark, sf):
     SELECT opponent, max(match_id) AS last_game, max(match_id) FILTER (race = 'Zerg') AS last_same_race,
         arg_max(victory, match_id) AS last_won FROM match GROUP BY opponent""", using="match")
 def last_result(spark, sf):
-    same = F.when(F.col("race") == "Zerg", F.col("match_id"))
-    return match(spark, sf).groupBy("opponent").agg(
-        F.max("match_id").alias("last_game"), F.max(same).alias("last_same_race"), F.max_by("victory", "match_id").alias("last_won"))
+    return K.last_results(match(spark, sf), "opponent", "match_id", F.col("race") == "Zerg", "victory")
 
 
 @query("result_record", """
@@ -537,7 +536,7 @@ def last_result(spark, sf):
 def result_record(spark, sf):
     won, long = F.col("victory"), F.col("duration")
     return match(spark, sf).select(
-        "match_id", F.when(won, 1).when(long < 50000, 0).otherwise(-1).alias("result"),
+        "match_id", K.result_of(won, long, 50000).alias("result"),
         F.when(won & (long > 400000), "predicted").otherwise("final").alias("written"))
 
 
@@ -548,9 +547,6 @@ def result_record(spark, sf):
 def obs_metadata(spark, sf):
     game = F.col("l_suppkey")
     race = F.element_at(text_array(["Terran", "Zerg", "Protoss"]), (game % 3 + 1).cast("int"))
-    rows = table(spark, sf, "lineitem").groupBy(game.alias("game")).agg(
-        F.round(F.max("l_extendedprice"), 2).alias("duration"), F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col("l_returnflag") == "R").alias("with_context"))
-    named = rows.withColumn("l_suppkey", F.col("game"))
-    return named.select("game", F.concat(F.lit("Map"), (game % 3).cast("string")).alias("map"),
+    rows = K.game_records(table(spark, sf, "lineitem"), ["l_suppkey"], F.round("l_extendedprice", 2), F.col("l_returnflag") == "R")
+    return rows.select(game.alias("game"), F.concat(F.lit("Map"), (game % 3).cast("string")).alias("map"),
                         F.concat(F.lit("Terran vs "), race).alias("matchup"), "duration", "records", "with_context")

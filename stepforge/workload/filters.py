@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stepforge.functions import text as X
 from stepforge.operators import filters as P
+from stepforge.operators import picking as K
 from stepforge.operators import listing as L
 from stepforge.operators import sets as S
 from stepforge.workload.aggregations import CLASSED_ITEMS, order_items
@@ -273,16 +274,16 @@ def real_type(spark, sf):
 
 @query("take", "SELECT tag, type FROM pos ORDER BY tag LIMIT 15", using="pos")
 def take(spark, sf):
-    return pos(spark, sf).select("tag", "type").orderBy("tag").limit(15)
+    return K.take(pos(spark, sf).select("tag", "type"), 15, [F.col("tag")])
 
 
 @query("random_group", "SELECT tag FROM pos ORDER BY sha256('7:' || tag), tag LIMIT 12", using="pos")
 def random_group(spark, sf):
-    seeded = F.sha2(F.concat(F.lit("7:"), F.col("tag").cast("string")), 256)
-    return pos(spark, sf).select("tag", seeded.alias("h")).orderBy("h", "tag").limit(12).select("tag")
+    return K.random_group(pos(spark, sf), 12, "tag", 7).select("tag")
 
 
 @query("prefer_idle", """
     SELECT prompt, tag, line FROM cand ORDER BY is_idle DESC, prompt, line, tag, part LIMIT 20""", using="cand")
 def prefer_idle(spark, sf):
-    return cand(spark, sf).orderBy(F.desc("is_idle"), "prompt", "line", "tag", "part").limit(20).select("prompt", "tag", "line")
+    order = [F.col(c) for c in ("prompt", "line", "tag", "part")]
+    return K.take(cand(spark, sf), 20, order, first=F.col("is_idle")).select("prompt", "tag", "line")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stepforge.operators import picking as K
 from stepforge.operators import spatial as S
 from stepforge.operators.keyed import top_per_key
 from stepforge.operators.pyramid import nearest
@@ -82,8 +83,7 @@ def nearest_k(spark, sf):
     QUALIFY row_number() OVER (PARTITION BY type ORDER BY (x - 50) * (x - 50) + (y - 50) * (y - 50) DESC, tag) <= 4""",
        using="pos")
 def furthest_k(spark, sf):
-    d2 = S.squared(F.col("x") - 50, F.col("y") - 50)
-    rows = top_per_key(pos(spark, sf).withColumn("d2", d2), ["type"], [F.desc("d2"), F.col("tag")], 4)
+    rows = K.furthest(pos(spark, sf), 50, 50, 4, "tag", ["type"])
     return rows.select("tag", "type", F.round(F.sqrt("d2"), 6).alias("distance"))
 
 
@@ -91,8 +91,7 @@ def furthest_k(spark, sf):
     SELECT tag, round(abs(sqrt((x - 100) * (x - 100) + (y - 100) * (y - 100)) - 25), 6) AS gap FROM pos
     ORDER BY gap, tag LIMIT 12""", using="pos")
 def nearest_to_distance(spark, sf):
-    gap = F.round(F.abs(S.distance(F.col("x"), F.col("y"), 100, 100) - 25), 6)
-    return pos(spark, sf).select("tag", gap.alias("gap")).orderBy("gap", "tag").limit(12)
+    return K.nearest_to_distance(pos(spark, sf), 100, 100, 25, 12, "tag").select("tag", "gap")
 
 
 @query("closest_group", f"""
@@ -223,16 +222,34 @@ def eps_groups(spark, sf):
     return joined.join(names, "group").select("tag", "group_id")
 
 
-@query("merge_resources", "WITH RECURSIVE " + LINKED.format(height="size // 10 * 8", limit=110.25) + """
+@query("level_groups", "WITH RECURSIVE " + LINKED.format(height="size // 10 * 8", limit=110.25) + """
     SELECT group_id, count(*) AS members, round(avg(x), 4) AS x, round(avg(y), 4) AS y
     FROM members GROUP BY group_id HAVING count(*) <= 12""", using="pos")
-def merge_resources(spark, sf):
+def level_groups(spark, sf):
     units = pos(spark, sf).withColumn("level", F.floor(F.col("size") / 10) * 8)
     _, names = grouped_units(units, 10.5, "level")
     return names.filter(F.col("members") <= 12).select(
         "group_id", "members", F.round("gx", 4).alias("x"), F.round("gy", 4).alias("y"))
 
 
+@query("merge_resources", """
+    WITH RECURSIVE g AS (SELECT 0 AS r, type, min(tag) AS id, count(*) AS n, sum(x) AS sx, sum(y) AS sy, size // 10 * 8 AS low, size // 10 * 8 AS high
+            FROM pos GROUP BY type, x, y, size // 10 * 8
+        UNION ALL
+        SELECT r + 1, type, into_id, CAST(sum(n) AS BIGINT), sum(sx), sum(sy), min(low), max(high) FROM (
+            WITH near AS (SELECT a.id, arg_min(b.id, ((a.sx / a.n - b.sx / b.n) * (a.sx / a.n - b.sx / b.n) + (a.sy / a.n - b.sy / b.n) * (a.sy / a.n - b.sy / b.n), b.id)) AS near
+                    FROM g a JOIN g b ON a.type = b.type AND a.id <> b.id AND greatest(a.high, b.high) - least(a.low, b.low) <= 10
+                        AND (a.sx / a.n - b.sx / b.n) * (a.sx / a.n - b.sx / b.n) + (a.sy / a.n - b.sy / b.n) * (a.sy / a.n - b.sy / b.n) <= 110.25 GROUP BY a.id),
+                pairs AS (SELECT a.id, a.near FROM near a JOIN near b ON a.near = b.id AND b.near = a.id)
+            SELECT g.*, least(g.id, coalesce(p.near, g.id)) AS into_id FROM g LEFT JOIN pairs p ON p.id = g.id WHERE EXISTS (SELECT 1 FROM pairs))
+        GROUP BY r, type, into_id)
+    SELECT id AS group_id, n AS members, round(sx / n, 4) AS x, round(sy / n, 4) AS y FROM g WHERE r = (SELECT max(r) FROM g) AND n <= 12""", using="pos")
+def merge_resources(spark, sf):
+    units = pos(spark, sf).select("type", F.col("tag").alias("id"), "x", "y", (F.floor(F.col("size") / 10) * 8).alias("height"))
+    return S.merge_groups(units, 10.5, ["type"]).filter("n <= 12").select(
+        F.col("group").alias("group_id"), F.col("n").alias("members"), F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
 @query("region_label", """
     WITH cells AS (SELECT CAST(floor(x / 10) AS BIGINT) AS x, CAST(floor(y / 10) AS BIGINT) AS y, count(*) AS n FROM pos
                    GROUP BY ALL HAVING max(size) > 46),

@@ -98,3 +98,32 @@ def test_danger(spark):
             if reach >= 1:
                 total += dps + (1 - share) * dps if share < 1 else max(0.0, ((1.5 if slower else 2.0) - share) * dps)
         assert abs(found[point] - total) < 1e-6
+
+
+def test_merge_groups(spark):
+    """Chains longer than the reach, spots that repeat, levels that keep groups apart, against a plain loop of the same rounds."""
+    draw = random.Random(12)
+    rows = [(i, 4.0 * i, 0.0, 0) for i in range(12)] + [(100 + i, draw.uniform(0, 60), draw.uniform(20, 50), draw.choice([0, 8, 16])) for i in range(20)]
+    rows += [(200 + i, 8.0, 0.0, 0) for i in range(5)]
+    groups = {}
+    for i, x, y, h in rows:
+        n, sx, sy, low, high, least = groups.get((x, y, h), (0, 0.0, 0.0, h, h, i))
+        groups[x, y, h] = (n + 1, sx + x, sy + y, low, high, min(least, i))
+    groups = {g[5]: g[:5] for g in groups.values()}
+    while True:
+        near = {}
+        for a, (n, sx, sy, low, high) in groups.items():
+            found = [(d2((sx / n, sy / n), (tx / m, ty / m)), b) for b, (m, tx, ty, lo, hi) in groups.items() if b != a and max(high, hi) - min(low, lo) <= 10]
+            found = [f for f in found if f[0] <= 110.25]
+            if found:
+                near[a] = min(found)[1]
+        pairs = [(a, b) for a, b in near.items() if near.get(b) == a and a < b]
+        if not pairs:
+            break
+        for a, b in pairs:
+            (n, sx, sy, low, high), (m, tx, ty, lo, hi) = groups[a], groups.pop(b)
+            groups[a] = (n + m, sx + tx, sy + ty, min(low, lo), max(high, hi))
+    got = spatial.merge_groups(spark.createDataFrame(rows, "id long, x double, y double, height int"), 10.5)
+    assert sorted((r.group, r.n, round(r.x, 6), round(r.y, 6)) for r in got.collect()) == sorted(
+        (a, n, round(sx / n, 6), round(sy / n, 6)) for a, (n, sx, sy, _, _) in groups.items())
+    assert 1 < sum(a < 100 for a in groups) < 12
