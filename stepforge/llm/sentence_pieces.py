@@ -29,8 +29,8 @@ from stepforge.llm.common import as_bytes
 
 SPACE = "▁"
 AT_ONCE = 512
-#: Words a worker remembers; beyond it they are forgotten together and learnt anew.
-KEPT_WORDS = 400_000
+#: Words a worker remembers; beyond it they are forgotten together and learnt anew. Longer words are encoded again each time.
+KEPT_WORDS, KEPT_LENGTH = 400_000, 64
 #: Symbols that are merged in one array.
 TOGETHER = 1 << 19
 #: Eager places of a word beyond which its pairs go through a queue.
@@ -218,8 +218,12 @@ class Pieces:
             to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + TOGETHER)))
             self.learn(new[at:to])
             at = to
-        begin, end = np.array([self.begin, self.end], "<u4").tobytes()[:4], np.array([self.end], "<u4").tobytes()
-        return [begin + b"".join(map(self.known.__getitem__, words)) + end for words in cut]
+        begin, end = np.array([[self.begin], [self.end]], "<u4")
+        out = [begin.tobytes() + b"".join(map(self.known.__getitem__, words)) + end.tobytes() for words in cut]
+        for word in new:
+            if len(word) > KEPT_LENGTH:
+                del self.known[word]
+        return out
 
     def decode(self, data: bytes) -> str:
         """The text of ids: spaces for their sign, the first one dropped, bytes read together."""

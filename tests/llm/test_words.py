@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stepforge.llm.periodic import periodic_runs, runs_of
 from stepforge.llm.queries import QUERIES, vocabulary, with_planted_runs
-from stepforge.llm.sentence_pieces import decode_pieces, encode_pieces, pieces
+from stepforge.llm.sentence_pieces import Pieces, decode_pieces, encode_pieces, pieces
 from stepforge.llm.variants import near_words, spelling_variants
 
 SF = "/root/testdata/sf0.001"
@@ -147,10 +147,12 @@ def test_pieces_of_random_texts(library):
 def test_forgotten_words_are_learnt_anew(library, monkeypatch):
     monkeypatch.setattr("stepforge.llm.sentence_pieces.KEPT_WORDS", 10)
     monkeypatch.setattr("stepforge.llm.sentence_pieces.TOGETHER", 16)
-    model = pieces(MODEL)
+    monkeypatch.setattr("stepforge.llm.sentence_pieces.KEPT_LENGTH", 12)
+    model = Pieces(MODEL)
     for k in range(3):
         texts = [f"word{i} another{i * k} wordofmanyletters{i}" for i in range(20)]
         assert [np.frombuffer(x, "<u4").tolist() for x in model.encode(texts)] == library.encode(texts, add_bos=True, add_eos=True)
+        assert max(map(len, model.known)) <= 12
 
 
 def test_any_ids_decode_as_the_library_does(spark, library):
