@@ -123,7 +123,8 @@ def even_blocks(df: DataFrame, keys: Sequence[str], time: str, width: int, most:
     Only (key, width) cells of more than ``most`` rows are looked at twice: a
     quantile sketch cuts them into up to 256 blocks of about equal rows, at most
     twice ``most`` each up to that number. Rows of one instant stay together.
-    The cuts, a row for each crowded cell, are written out once.
+    The sizes of the cells are read when the plan is built; if none is crowded,
+    nothing is joined, else the cuts, a row for each crowded cell, are written out.
     """
     keys = list(keys)
     cell = F.floor(F.col(time) / F.lit(width))

@@ -127,3 +127,24 @@ def test_merge_groups(spark):
     assert sorted((r.group, r.n, round(r.x, 6), round(r.y, 6)) for r in got.collect()) == sorted(
         (a, n, round(sx / n, 6), round(sy / n, 6)) for a, (n, sx, sy, _, _) in groups.items())
     assert 1 < sum(a < 100 for a in groups) < 12
+
+
+def test_zone_cells(spark):
+    """A flood from several seeds around walls, against a plain search in rings."""
+    draw = random.Random(3)
+    cells = {(x, y) for x in range(14) for y in range(14) if draw.random() < 0.6}
+    seeds = [(5, 0, 0), (2, 13, 13), (9, 6, 6), (1, 6, 6)]
+    expected, ring, steps = {}, {}, 7
+    for zone, x, y in seeds:
+        ring[x, y] = min(zone, ring.get((x, y), zone))
+    for _ in range(steps + 1):
+        expected |= ring
+        ahead = {}
+        for (x, y), zone in ring.items():
+            for at in ((x + i, y + j) for i in (-1, 0, 1) for j in (-1, 0, 1)):
+                if at in cells and at not in expected:
+                    ahead[at] = min(zone, ahead.get(at, zone))
+        ring = ahead
+    got = spatial.zone_cells(spark.createDataFrame(sorted(cells), "gx long, gy long"), spark.createDataFrame(seeds, "zone long, gx long, gy long"), steps)
+    assert {(r.gx, r.gy): r.zone for r in got.collect()} == expected
+    assert len(set(expected.values())) == 3
