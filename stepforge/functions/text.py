@@ -374,7 +374,10 @@ def spelled(pattern: str) -> list[str]:
 JOINING = [rule for rule in NEUTRAL_WORDS if rule[2] == "mobile map presence"]
 SINGLE = [rule for rule in NEUTRAL_WORDS if rule not in JOINING]
 NEUTRAL_OF = {phrase: replacement for pattern, replacement, _ in reversed(SINGLE) for phrase in spelled(pattern)}
-ANY_NEUTRAL = r"(?iU)\b(?:" + "|".join(pattern.replace(r"\b", "") for pattern, _, _ in SINGLE) + r")\b"
+# Two plain letters ahead tell most places apart before word ends and letters of either case are looked at.
+AHEAD = "".join("[" + "".join(sorted(letters | {x.upper() for x in letters} | ({"\u017f"} if "s" in letters else set()))) + "]"
+                for letters in ({phrase[i] for phrase in NEUTRAL_OF} for i in (0, 1)))
+ANY_NEUTRAL = f"(?={AHEAD})" + r"(?iU)\b(?:" + "|".join(pattern.replace(r"\b", "") for pattern, _, _ in SINGLE) + r")\b"
 
 
 def neutral_words(text: Column) -> Column:
@@ -387,8 +390,9 @@ def neutral_words(text: Column) -> Column:
     neutral = F.create_map(*[F.lit(x) for pair in NEUTRAL_OF.items() for x in pair])
     # The long s is the one letter that matches s but is not lowered to it.
     key = lambda m: F.replace(F.lower(F.regexp_replace(m, r"(?U)\s+", " ")), F.lit("\u017f"), F.lit("s"))
+    other = lambda m: F.coalesce(neutral[F.lower(m)], neutral[key(m)])
     parts, found = F.split(bare, ANY_NEUTRAL, -1), F.regexp_extract_all(bare, F.lit(ANY_NEUTRAL), F.lit(0))
-    rest = F.zip_with(found, F.slice(parts, 2, 1 << 30), lambda m, after: F.concat(neutral[key(m)], after))
+    rest = F.zip_with(found, F.slice(parts, 2, 1 << 30), lambda m, after: F.concat(other(m), after))
     out = F.concat(parts[0], F.array_join(rest, ""))
     for pattern, replacement, sign in JOINING:
         out = F.when(F.contains(out, F.lit(sign)), F.regexp_replace(out, "(?iU)" + pattern, replacement)).otherwise(out)
