@@ -14,7 +14,7 @@ from stepforge.workload.graph_rows import graph
 from stepforge.workload.registry import query
 from stepforge.workload.scans import EDGES_SQL, used
 from stepforge.workload.texts import GEN_SQL, gen, trim_sql
-from stepforge.workload.views import cand_list, pos, units
+from stepforge.workload.views import cand_lists, pos, units
 
 
 @query("time_convert", """
@@ -80,8 +80,6 @@ def scan_sample_array(spark, sf):
     # Every list is written as one JSON array text and read back by position.
     turn = F.struct(F.lit("human").alias("from"), F.col("unit").alias("value"))
     one = F.struct(F.concat(F.lit("pick "), F.col("tag").cast("string")).alias("system"), F.array(turn).alias("conversations"))
-    lists = cand_list(spark, sf).groupBy("prompt").agg(
-        F.array_sort(F.collect_list(F.struct("place", one.alias("s")))).alias("l"))
-    texts = lists.select("prompt", F.to_json(F.transform("l", lambda e: e["s"])).alias("value"))
+    texts = cand_lists(spark, sf, one.alias("s")).select("prompt", F.to_json(F.transform("l", lambda e: e["s"])).alias("value"))
     rows = array_rows(texts, ["prompt"])
     return rows.select("prompt", "index", "system", F.col("conversations")[0]["value"].alias("human"))
