@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stepforge.functions import text as X
 from stepforge.plans import ranking as R
+from stepforge.workload import all_queries
 
 # Ability, pending conflicts, candidate lines, golden tags.
 CASES = [
@@ -60,3 +61,19 @@ def test_conflict_heading_is_a_parameter(spark):
     row = spark.createDataFrame([("[Other heading]\n  - A\n  - (none)\n\nOutput",)], "t string")
     assert row.select(X.parse_conflicts(F.col("t"), "Other heading")).first()[0] == ["A"]
     assert row.select(X.parse_conflicts(F.col("t"))).first()[0] == []
+
+
+@pytest.mark.parametrize("ability,conflicts,lines,golden", CASES)
+def test_golden_tags_of_a_row(spark, ability, conflicts, lines, golden):
+    rows = prompt(spark, ability, conflicts, lines)
+    tags = R.golden_tags(X.parse_candidates(F.col("user")), F.regexp_extract("system", X.ABILITY, 1), X.parse_conflicts(F.col("system")))
+    found = rows.select(tags.alias("g")).first().g
+    assert found.golden_tags == golden and found.fallback == (golden == [1])
+    assert found.reservation == any(c.startswith(("BUILD_", "UPGRADETO")) for c in conflicts)
+    assert rows.withColumn("user", F.lit("none")).select(tags.alias("g")).first().g is None
+
+
+@pytest.mark.parametrize("name", ["golden_annotate", "parse_candidates", "rule_executor", "candidate_text", "executor_lines"])
+def test_lists_of_candidates_take_one_exchange(spark, name):
+    plan = all_queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1 and "Window" not in plan
