@@ -137,22 +137,28 @@ def nearest(points: DataFrame, centres: DataFrame, keys: Sequence[str], k: int,
     and ``on``; names that begin with an underscore are the join's own. Cells are taken from one that holds all points down to the
     positions; those farther away than the bound that nearer cells set for the
     kth point are dropped at every level, so a centre keeps few cells however
-    crowded or empty its surroundings are.
+    crowded or empty its surroundings are. Centres on one position have the same
+    points, so the cells are searched once for each position and the points joined to its centres.
     """
     keys, on = list(keys), list(on)
+    others = [c for c in points.columns if c not in on]
+    clash = [c for c in others if c in keys]
+    if clash:
+        raise ValueError(f"centres and points share the columns {clash}")
     whole = points.agg(F.max(F.greatest(F.abs("x"), F.abs("y")))).first()[0]
     side = 1.0
     while whole is not None and side <= whole:
         side *= 2
     # Around the origin at most four cells hold all points of a group, so this join makes four rows a centre.
     tree = build(points.withColumn("_all", F.lit(0)), side, {"n": F.lit(1)}, [*on, "_all"], leaf)
-    held = list(dict.fromkeys([*keys, *on, "cx", "cy"]))
+    held = [*on, "cx", "cy"]
+    places = centres.select(*held).distinct()
     cell = ["level", "gx", "gy", "n", "open", "_low", "_high"]
     low, high = _bounds()
 
     def judged(states):
         """States without the cells that the kth nearest point cannot lie in."""
-        each = Window.partitionBy(*keys)
+        each = Window.partitionBy(*held)
         upto = F.sum("n").over(each.orderBy("_high", "level", "gx", "gy"))
         bound = F.min(F.when(F.col("_upto") >= k, F.col("_high"))).over(each)
         return states.withColumn("_upto", upto).withColumn("_bound", bound).filter(
@@ -162,7 +168,7 @@ def nearest(points: DataFrame, centres: DataFrame, keys: Sequence[str], k: int,
         return states.join(tree.levels[level], columns).select(
             *held, F.lit(0).alias("_all"), F.lit(level).alias("level"), "gx", "gy", "n", "open", low.alias("_low"), high.alias("_high"))
 
-    states = cut_lineage(judged(joined(centres.select(*held).withColumn("_all", F.lit(0)), 0, [*on, "_all"])))
+    states = cut_lineage(judged(joined(places.withColumn("_all", F.lit(0)), 0, [*on, "_all"])))
     for level in range(1, len(tree.levels)):
         children = joined(states.filter("open").select(*held, "_all", F.col("gx").alias("px"), F.col("gy").alias("py")), level, [*on, "_all", "px", "py"])
         states = cut_lineage(judged(states.filter(~F.col("open")).select(*held, "_all", *cell).unionByName(children)))
@@ -173,9 +179,11 @@ def nearest(points: DataFrame, centres: DataFrame, keys: Sequence[str], k: int,
     # Of points on one position only the first k can be wanted.
     here = F.row_number().over(Window.partitionBy(*on, "x", "y").orderBy(tie))
     firsts = points.withColumn("_here", here).filter(F.col("_here") <= k).drop("_here")
-    others = [c for c in points.columns if c not in on]
-    clash = [c for c in others if c in keys]
-    if clash:
-        raise ValueError(f"centres and points share the columns {clash}")
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("d2", tie))
-    return found.drop("cx", "cy").join(firsts, [*on, "x", "y"]).withColumn("rank", rank).filter(F.col("rank") <= k)
+    rank = F.row_number().over(Window.partitionBy(*held).orderBy("d2", tie))
+    ranked = found.join(firsts, [*on, "x", "y"]).withColumn("rank", rank).filter(F.col("rank") <= k)
+    ranked = ranked.select(*[F.col(c).alias(f"_at_{c}") for c in held], *others, "d2", "rank")
+    same = F.col("cx").eqNullSafe(F.col("_at_cx")) & F.col("cy").eqNullSafe(F.col("_at_cy"))
+    for c in on:
+        same = same & (F.col(c) == F.col(f"_at_{c}"))
+    asked = list(dict.fromkeys([*on, *keys]))
+    return centres.select(*dict.fromkeys([*asked, "cx", "cy"])).join(ranked, same).select(*asked, *others, "d2", "rank")

@@ -71,6 +71,30 @@ def test_nearest(spark, leaf):
             assert sorted(got.get(zone, [])) == [(i + 1, tag, d) for i, (d, tag) in enumerate(near)]
 
 
+def test_centres_on_one_position_are_searched_once(spark, monkeypatch):
+    """The search sees positions, however many centres stand on them; every centre gets the points."""
+    rows = spark.createDataFrame([(i, float(i % 7), float(i // 7)) for i in range(49)], "tag long, x double, y double")
+    asked = spark.range(400).select(F.col("id").alias("zone"), (F.col("id") % 2).cast("double").alias("cx"), F.lit(3.0).alias("cy"))
+    seen, cut = [], pyramid.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        if "_bound" not in df.columns and "cx" in df.columns:
+            seen.append(out.select("cx", "cy").distinct().count() * 49 >= out.count())
+        return out
+
+    monkeypatch.setattr(pyramid, "cut_lineage", counted)
+    found = pyramid.nearest(rows, asked, ["zone"], 3, "tag").collect()
+    assert seen and all(seen)
+    by = {}
+    for r in found:
+        by.setdefault(r.zone, []).append((r["rank"], r.tag, r.d2))
+    assert len(by) == 400
+    for zone, got in by.items():
+        plain = sorted(((i % 7 - zone % 2) ** 2 + (i // 7 - 3) ** 2, i) for i in range(49))[:3]
+        assert sorted(got) == [(n, i, float(d)) for n, (d, i) in enumerate(plain, 1)]
+
+
 def test_nearest_of_nothing(spark):
     none = spark.createDataFrame([], SCHEMA)
     asked = spark.createDataFrame([(0, 0.0, 0.0)], "zone long, cx double, cy double")
