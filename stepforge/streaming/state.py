@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -23,11 +24,25 @@ def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(frames).sort_values(["us", "event_id"]) if frames else pd.DataFrame()
 
 
+def values_in_order(rows: Iterator[pd.DataFrame], names: Sequence[str]) -> Iterator[tuple]:
+    """The named values of a key's rows by time, as plain ones: a frame for each key costs more than its rows."""
+    frames = list(rows)
+    if not frames:
+        return iter(())
+
+    def column(name):
+        return np.concatenate([f[name].to_numpy() for f in frames])
+
+    order = np.lexsort((column("event_id"), column("us")))
+    return zip(*[column(n)[order].tolist() for n in names])
+
+
 class Forgetting(StatefulProcessor):
     """State with one timer per key: when event time passes it, the state is dropped.
 
-    ``expired`` may emit rows when that happens. Timers are in milliseconds and
-    round up, so state never goes early.
+    ``expired`` may emit rows when that happens. ``until`` tells when a state
+    goes, so the timer to replace follows from the state before. Timers are in
+    milliseconds and round up, so state never goes early.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -35,17 +50,23 @@ class Forgetting(StatefulProcessor):
         self.state = handle.getValueState("state", self.schema)
 
     def held(self):
-        return tuple(self.state.get()) if self.state.exists() else None
-
-    def hold(self, state, until: int | None) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if state is None:
+        state = self.state.get()
+        return None if state is None else tuple(state)
+
+    def until(self, state) -> int:
+        raise NotImplementedError
+
+    def hold(self, state, was) -> None:
+        """Remember ``state``, or nothing, in the place of ``was``."""
+        old, new = (None if s is None else -(-self.until(s) // 1000) for s in (was, state))
+        if old is not None and old != new:
+            self.handle.deleteTimer(old)
+        if state is not None:
+            self.state.update(state)
+            if old != new:
+                self.handle.registerTimer(new)
+        elif was is not None:
             self.state.clear()
-            return
-        self.state.update(state)
-        if until is not None:
-            self.handle.registerTimer(-(-until // 1000))
 
     def expired(self, key, state):
         return None
@@ -68,16 +89,19 @@ class SampleInterval(Forgetting):
     def __init__(self, seconds: float) -> None:
         self.width = int(seconds * SECOND)
 
+    def until(self, state):
+        return state[0] + self.width
+
     def handleInputRows(self, key, rows, timerValues):
-        last = self.held()
-        last, kept = last and last[0], []
+        was = self.held()
+        last, kept = was and was[0], []
         frame = in_order(rows)
         for us, event in zip(frame["us"], frame["event_id"]):
             if last is None or us - last >= self.width:
                 last = int(us)
                 kept.append((key[0], last, int(event)))
         if kept:
-            self.hold((last,), last + self.width)
+            self.hold((last,), was)
             yield pd.DataFrame(kept, columns=["traj_id", "us", "event_id"])
 
 
@@ -89,8 +113,11 @@ class PendingCommit(Forgetting):
     def __init__(self, wait: float) -> None:
         self.width = int(wait * SECOND)
 
+    def until(self, state):
+        return state[0] + self.width + 1000
+
     def handleInputRows(self, key, rows, timerValues):
-        pending = self.held()
+        was = pending = self.held()
         frame, done = in_order(rows), []
         for us, event, kind in zip(frame["us"], frame["event_id"], frame["kind"]):
             us = int(us)
@@ -101,7 +128,7 @@ class PendingCommit(Forgetting):
             elif kind == "seen" and pending:
                 done.append((key[0], pending[1], us))
                 pending = None
-        self.hold(pending, pending and pending[0] + self.width + 1000)
+        self.hold(pending, was)
         if done:
             yield pd.DataFrame(done, columns=["unit", "event_id", "committed"])
 
@@ -175,10 +202,14 @@ class FrameChanges(Forgetting):
     def __init__(self, gap: float, forget: float) -> None:
         self.gap, self.forget = int(gap * SECOND), int(forget * SECOND)
 
+    def until(self, state):
+        return state[0] + self.forget
+
     def handleInputRows(self, key, rows, timerValues):
-        was, out = self.held(), []
+        before = was = self.held()
+        out = []
         names = ["us", "event_id", "kind", "health", "shield", "progress", "destroyed"]
-        for us, event, kind, health, shield, progress, destroyed in in_order(rows)[names].itertuples(index=False):
+        for us, event, kind, health, shield, progress, destroyed in values_in_order(rows, names):
             us, event = int(us), int(event)
 
             def tell(change, amount=0.0, at=event):
@@ -202,7 +233,7 @@ class FrameChanges(Forgetting):
                 tell("construction_completed")
             was = (us, event, kind, float(health), float(shield), float(progress))
         if was is not None:
-            self.hold(was, was[0] + self.forget)
+            self.hold(was, before)
         if out:
             yield pd.DataFrame(out, columns=["traj_id", "event_id", "change", "amount"])
 

@@ -1,5 +1,6 @@
 """State that lives on between micro-batches and runs."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from stepforge.streaming import sinks
@@ -132,3 +133,50 @@ def test_frame_changes_over_batches(spark, tmp_path):
         (1, "construction_started", 0.0), (1, "created", 0.0), (2, "damaged", 2.0), (3, "construction_completed", 0.0), (3, "damaged", 4.0),
         (3, "left_view", 0.0), (3, "type_changed", 0.0), (4, "destroyed", 0.0), (4, "entered_view", 0.0), (4, "last_seen", 0.0)]
     assert states_left(spark, tmp_path / "out") == [2]
+
+
+class Remembered:
+    """A key's state and timers in place of the state store; timers are never listed, which costs a round trip a key."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_one_timer_follows_the_state_without_listing():
+    names = ["us", "event_id", "kind", "health", "shield", "progress", "destroyed"]
+    units, handle = S.FrameChanges(10, 60), Remembered()
+    units.init(handle)
+    rows = [(3_000_000, 3, "b", 1.0, 0.0, 1.0, False), (1_000_000, 1, "a", 5.0, 0.0, 0.5, False)]
+    batches = [[pd.DataFrame(rows[:1], columns=names), pd.DataFrame(rows[1:], columns=names)],
+               [pd.DataFrame([(9_000_500, 4, "b", 1.0, 0.0, 1.0, False)], columns=names)],
+               [pd.DataFrame([(9_000_500, 4, "b", 1.0, 0.0, 1.0, False)], columns=names)]]
+    told = []
+    for batch, timer in zip(batches, (63_000, 69_001, 69_001)):
+        told += [tuple(r)[1:3] for f in units.handleInputRows((7,), iter(batch), None) for r in f.itertuples(index=False)]
+        assert handle.timers == {timer}
+    assert told == [(1, "created"), (1, "construction_started"), (3, "damaged"), (3, "type_changed"), (3, "construction_completed")]
+    orders, handle = S.PendingCommit(5), Remembered()
+    orders.init(handle)
+    columns = ["us", "event_id", "kind"]
+    list(orders.handleInputRows((7,), iter([pd.DataFrame([(0, 1, "issue")], columns=columns)]), None))
+    assert handle.timers == {5_001}
+    done = list(orders.handleInputRows((7,), iter([pd.DataFrame([(2, 2, "seen")], columns=columns)]), None))
+    assert handle.timers == set() and handle.value is None and done[0].iloc[0].tolist() == [7, 1, 2]
