@@ -11,8 +11,11 @@ bits before the full distance is.
 ``keep_first`` asks for a Jaccard similarity instead of a distance. A bit differs with
 the angle between two sets over pi, 9.7 of 64 bits at a similarity of 0.8, and so few equal
 segments are left that one fingerprint does not do. Texts get ``PRINTS`` independent
-fingerprints; those that share a segment and are near on the first ``CHECKED`` fingerprints
-are candidates, and inside the components of candidates the exact similarity decides.
+fingerprints, each a ring of its own. Those that share a segment, from which a viable chain
+leads around that fingerprint's ring, and are near on the first ``CHECKED`` fingerprints are
+candidates, and inside the components of candidates the exact similarity decides. The chain's
+distance is 4.5 deviations above the mean, so more than there are segments: a pair is
+found by its equal segments and not by the principle alone.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ from pyspark.sql import functions as F
 from stepforge.llm.common import Scratch, as_bytes, components, spare, union
 
 BLOCK = 65_536
-#: Fingerprints of a text in ``keep_first``, and how many of them its candidates are compared on.
-PRINTS, CHECKED, SEGMENT = 20, 4, 16
+#: Fingerprints of a text in ``keep_first``, how many of them its candidates are compared on beside the one they met by, and the bits of a segment.
+PRINTS, CHECKED, SEGMENT = 20, 3, 16
 MIXED = np.arange(1, PRINTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,8 +72,8 @@ class Ring:
     """Chain and distance checks on arrays of differing bits."""
 
     def __init__(self, segments: int, distance: int):
-        if 64 % segments or segments <= distance:
-            raise ValueError("segments must divide 64 and be more than distance")
+        if 64 % segments:
+            raise ValueError("segments must divide 64")
         self.width, self.distance = 64 // segments, distance
         self.steps = [(np.uint64((1 << (self.width * k)) - 1), k * distance // segments) for k in range(2, segments)]
 
@@ -156,6 +159,8 @@ def near_links(prints: DataFrame, distance: int = 3, segments: int = 4, bucket_r
     meets. A group returns a spanning forest, never its pairs. The table of
     large buckets has at most ``segments * 2**(64/segments)`` rows.
     """
+    if segments <= distance:
+        raise ValueError("segments must be more than distance")
     ring, width = Ring(segments, distance), 64 // segments
     part = [F.struct(F.lit(i).alias("seg"), F.shiftrightunsigned("fp", i * width).bitwiseAND(F.lit((1 << width) - 1)).alias("val"))
             for i in range(segments)]
@@ -226,6 +231,35 @@ def candidate_distance(similarity: float, bits: int = 64 * CHECKED) -> int:
     return int(bits * p + 4.5 * np.sqrt(bits * p * (1 - p)))
 
 
+def chain_candidates(nodes: DataFrame, similarity: float, bucket_rows: int = 4096) -> DataFrame:
+    """Links ``(a, b)`` that connect nodes whenever a pair of candidates does; ``nodes`` has node, prints.
+
+    Nodes meet by (fingerprint, segment, its value). They are candidates if the chain from that segment
+    around its fingerprint's ring is viable and the first ``CHECKED`` fingerprints are near.
+    """
+    limit, segments = candidate_distance(similarity), 64 // SEGMENT
+    ring = Ring(segments, candidate_distance(similarity, 64))
+    met = [F.struct((F.shiftrightunsigned(F.get("prints", F.lit(i)), s * SEGMENT).bitwiseAND(F.lit((1 << SEGMENT) - 1)).cast("int")
+                     + F.lit(i * segments + s << SEGMENT)).alias("key"), F.get("prints", F.lit(i)).alias("own"))
+           for i in range(PRINTS) for s in range(segments)]
+    keyed = nodes.select(F.explode(F.array(*met)).alias("m"), "node", *[F.get("prints", F.lit(i)).alias(f"w{i}") for i in range(CHECKED)])
+    rows = _dealt(keyed.select("m.key", "node", "m.own", *[f"w{i}" for i in range(CHECKED)]), ["key"], "node", F.lit(1), bucket_rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(cols, ends):
+            start, own, *checked = (cols[0] >> SEGMENT) % segments, *[c.view(np.uint64) for c in cols[5:]]
+
+            def near(a, b):
+                at = ring.near(own[a], own[b], start[a])
+                return at[sum(np.bitwise_count(f[a[at]] ^ f[b[at]]).astype(np.int64) for f in checked) <= limit]
+
+            return _links(near, cols[3], cols[4], ends)
+
+        yield from _grouped(batches, 3, links)
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
 def similar_links(df: DataFrame, id_col: str, text_col: str, words: int, similarity: float, scratch: Scratch,
                   bucket_rows: int = 4096, bucket_hashes: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, digest, node)`` per row, a node being a set of shingles, and links ``(a, b)`` of nodes with this Jaccard similarity.
@@ -258,20 +292,7 @@ def similar_links(df: DataFrame, id_col: str, text_col: str, words: int, similar
     # Sets of fewer hashes are similar only if they are equal, and so one node.
     least = int(np.ceil(similarity / (1 - similarity) - 1e-9)) if similarity < 1 else 1 << 62
     some = nodes.filter(F.col("size") >= least)
-    keys = [F.shiftrightunsigned(F.get("prints", F.lit(i)), s).bitwiseAND(F.lit((1 << SEGMENT) - 1)).cast("int")
-            + F.lit((i * 64 + s) // SEGMENT << SEGMENT) for i in range(PRINTS) for s in range(0, 64, SEGMENT)]
-    keyed = some.select(F.explode(F.array(*keys)).alias("key"), "node", *[F.get("prints", F.lit(i)).alias(w) for i, w in enumerate(checked)])
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(cols, ends):
-            fps = [c.view(np.uint64) for c in cols[5:]]
-            return _links(lambda a, b: np.flatnonzero(sum(np.bitwise_count(f[a] ^ f[b]).astype(np.int64) for f in fps) <= limit),
-                          cols[3], cols[4], ends)
-
-        yield from _grouped(batches, 3, links)
-
-    found = components(scratch.spark, _dealt(keyed, ["key"], "node", F.lit(1), bucket_rows).mapInArrow(
-        candidates, "a long, b long").distinct())
+    found = components(scratch.spark, chain_candidates(some.select("node", "prints"), similarity, bucket_rows))
     wanted = scratch.cut(some.join(found, "node").select(
         "root", "node", "size", F.col("digest").alias("_digest"), *[F.get("prints", F.lit(i)).alias(w) for i, w in enumerate(checked)]))
     names = ["root", "node", "size", *checked]

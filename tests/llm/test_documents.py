@@ -448,3 +448,30 @@ def test_near_lines_of_one_template_all_meet(spark):
     assert classes >= 200
     got = dedup_lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).filter("n_removed = 0").count()
     assert classes <= got <= classes + 2
+
+
+def test_near_duplicates_meet_by_viable_chains(spark):
+    """Candidates of the stage have an equal segment, a viable chain from it on its fingerprint's ring, and near first fingerprints."""
+    rng = np.random.default_rng(8)
+    distance, limit, rows, wanted = simhash.candidate_distance(0.8, 64), simhash.candidate_distance(0.8), [], set()
+
+    def flip(bits, places):
+        return bits ^ sum(1 << int(p) for p in places)
+
+    for k in range(300):
+        one = [int(x) for x in rng.integers(0, 1 << 64, simhash.PRINTS, dtype=np.uint64)]
+        # One bit of every segment differs, so that no segment is equal but the one cleared below.
+        two = [flip(x, range(0, 64, 16)) for x in one]
+        i, s = int(rng.integers(simhash.CHECKED, simhash.PRINTS)), int(rng.integers(0, 4))
+        after = [int(n) for n in rng.integers(1, 17, 3)]
+        two[i] = flip(one[i], [16 * ((s + 1 + j) % 4) + p for j, n in enumerate(after) for p in range(n)])
+        if k % 5 == 0:
+            two[0] = flip(two[0], rng.choice(np.arange(64), limit, replace=False))
+        far = sum((a ^ b).bit_count() for a, b in zip(one[:simhash.CHECKED], two)) > limit
+        if not far and all(sum(after[:n]) <= (n + 1) * distance // 4 for n in (1, 2, 3)):
+            wanted.add((2 * k, 2 * k + 1))
+        rows += [(2 * k, one), (2 * k + 1, two)]
+    assert 20 < len(wanted) < 280
+    signed = [(n, np.array(p, np.uint64).view(np.int64).tolist()) for n, p in rows]
+    found = simhash.chain_candidates(spark.createDataFrame(signed, "node long, prints array<long>"), 0.8)
+    assert {(min(r.a, r.b), max(r.a, r.b)) for r in found.collect()} == wanted
