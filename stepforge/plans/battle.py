@@ -24,6 +24,18 @@ def zero_if_null(column: Column) -> Column:
     return F.coalesce(column, F.lit(0))
 
 
+def strengths(power: Column, air: Column, detectors: Column) -> dict[str, Column]:
+    """What a row adds to each of the ten strengths; ``air`` is what it adds against air if it shoots up."""
+    def part(condition: Column, value: Column = power) -> Column:
+        return F.when(condition, value).otherwise(F.lit(0.0))
+
+    ground = F.col("hits_ground")
+    return {"power": power, "air_presence": part(F.col("flying")), "ground_presence": part(~F.col("flying")),
+            "air_power": part(F.col("shoots_air"), air), "ground_power": part(ground), "melee_power": part(ground & F.col("melee")),
+            "surround_power": part(ground & F.col("surround")), "siege_power": part(F.col("siege")),
+            "stealth_power": part(F.col("cloak")), "detectors": F.when(F.col("detector"), detectors).otherwise(0)}
+
+
 def power_vector(units: DataFrame, keys: Sequence[str], values: DataFrame) -> DataFrame:
     """Ten additive strengths per group; types are counted first.
 
@@ -31,21 +43,10 @@ def power_vector(units: DataFrame, keys: Sequence[str], values: DataFrame) -> Da
     summed like the others.
     """
     per_type = units.groupBy(*keys, "type").agg(F.count(F.lit(1)).alias("_n"))
-    rows = per_type.join(values, "type")
     power = F.col("power") * F.col("_n")
-
-    def total(condition: Column, value: Column = power) -> Column:
-        return F.sum(F.when(condition, value).otherwise(F.lit(0.0)))
-
     air = F.when(F.col("weak_air"), F.col("_n") * WEAK_AIR_POWER).otherwise(power)
-    ground = F.col("hits_ground")
-    return rows.groupBy(*keys).agg(
-        F.sum(power).alias("power"), total(F.col("flying")).alias("air_presence"),
-        total(~F.col("flying")).alias("ground_presence"), total(F.col("shoots_air"), air).alias("air_power"),
-        total(ground).alias("ground_power"), total(ground & F.col("melee")).alias("melee_power"),
-        total(ground & F.col("surround")).alias("surround_power"), total(F.col("siege")).alias("siege_power"),
-        total(F.col("cloak")).alias("stealth_power"),
-        F.sum(F.when(F.col("detector"), F.col("_n")).otherwise(0)).alias("detectors"))
+    added = strengths(power, air, F.col("_n"))
+    return per_type.join(values, "type").groupBy(*keys).agg(*[F.sum(added[f]).alias(f) for f in POWER_FIELDS])
 
 
 def enough_for(own: str, other: str, share: float) -> Column:
@@ -58,12 +59,15 @@ def enough_for(own: str, other: str, share: float) -> Column:
 
 def sides(units: DataFrame, keys: Sequence[str], values: DataFrame) -> DataFrame:
     """One row per group with the strength of each side as structs ``own`` and ``enemy``."""
-    vector = power_vector(units, [*keys, "mine"], values)
-    struct = F.struct(*POWER_FIELDS)
-    zero = F.struct(*[F.lit(0).cast("bigint" if f == "detectors" else "double").alias(f) for f in POWER_FIELDS])
-    return vector.groupBy(*keys).agg(
-        F.coalesce(F.max(F.when(F.col("mine"), struct)), zero).alias("own"),
-        F.coalesce(F.max(F.when(~F.col("mine"), struct)), zero).alias("enemy"))
+    # Sums of numbers alone fill one hash table; the greatest struct of a side would sort its rows, and groups are many and small.
+    air = F.when(F.col("weak_air"), F.lit(WEAK_AIR_POWER)).otherwise(F.col("power"))
+    added = strengths(F.col("power"), air, F.lit(1).cast("bigint"))
+    rows = units.filter(F.col("mine").isNotNull()).select(*keys, "mine", "type").join(values, "type")
+    side = lambda name, mine: [F.sum(F.when(mine, added[f])).alias(f"_{name}_{f}") for f in POWER_FIELDS]
+    summed = rows.groupBy(*keys).agg(*side("own", F.col("mine")), *side("enemy", ~F.col("mine")))
+    zero = lambda f: F.lit(0).cast("bigint" if f == "detectors" else "double")
+    struct = lambda name: F.struct(*[F.coalesce(f"_{name}_{f}", zero(f)).alias(f) for f in POWER_FIELDS]).alias(name)
+    return summed.select(*keys, struct("own"), struct("enemy"))
 
 
 def zone_states(units: DataFrame, enemies: DataFrame, zones: DataFrame, values: DataFrame, danger_radius: float,
