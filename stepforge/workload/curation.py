@@ -11,6 +11,7 @@ from stepforge.operators.keyed import first_per_key
 from stepforge.operators.ordered import numbered
 from stepforge.plans import curate as C
 from stepforge.plans import resample as R
+from stepforge.session import cut_lineage
 from stepforge.workload.aggregations import order_items
 from stepforge.workload.registry import query
 from stepforge.workload.views import audit, match, table, text_array
@@ -409,7 +410,7 @@ def largest_remainder(spark, sf):
 
 
 def selected(spark, sf):
-    rows = parsed(spark, sf)
+    rows = cut_lineage(parsed(spark, sf))
     return rows, R.multiset_resample(rows, R.largest_remainder(R.step_targets(rows, TOTAL, 0.65), TOTAL), 7)
 
 
