@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from stepforge.plans import battle as B
+from stepforge.plans import labels as L
+from stepforge.sources.files import parse_step_lines
 from stepforge.workload.graph_rows import graph
 
 SF = "/root/testdata/sf0.001"
@@ -40,3 +42,16 @@ def test_resampling_reads_its_samples_once(spark):
     found = E.queries()["resample_invariants"](spark, SF)
     assert not [f for f in found.inputFiles() if SF in f]
     assert found.agg(F.sum("over_cap"), F.sum("left_out")).first()[:2] == (0, 0)
+
+
+def test_recovered_labels_carry_no_texts(spark):
+    """Marks are worked out of the line that wins, give the status alone, and the query joins them as written."""
+    found = E.queries()["recover_labels"](spark, SF)
+    assert not [f for f in found.inputFiles() if "documents.parquet" in f] and "SortAggregate" not in plan_of(found)
+    rows = [(1, 0, f"[Step 1] {L.FAILED_MARK}"), (1, 1, "[Step 1] second"), (1, 2, f"  [Step 3] {L.FAILED_MARK} "), (1, 3, "no step"), (2, 0, None)]
+    lines = parse_step_lines(spark.createDataFrame(rows, "traj_id long, at long, value string"), ["traj_id"], {"failed": L.failed_line(F.col("line"))})
+    steps = spark.createDataFrame([(1, 0), (1, 1), (1, 2), (2, 0)], "traj_id long, step_id long")
+    status = ["matched", "skipped_missing_step", "skipped_failed", "skipped_no_document"]
+    for given in (lines, lines.drop("line"), lines.drop("failed")):
+        out = L.recover_labels(steps, given).orderBy("traj_id", "step_id")
+        assert [r.status for r in out.collect()] == status and ("line" in out.columns) == ("line" in given.columns)
