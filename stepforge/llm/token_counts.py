@@ -257,9 +257,11 @@ class Compiled:
         text; the bytes of the tokens tell where each segment's ids end. A word with one sign behind it is
         the word's ids and the sign's.
         """
-        known, signed, words, alone = self.known[True], [], set(), []
+        known, signed, words, alone, text = self.known[True], [], set(), [], " ".join(segments)
+        # Nearly always none: what the whole lacks need not be looked for in every segment.
+        met = [t for t in self.added if t in text]
         for segment in segments:
-            if segment[0] != " " or segment[-1].isspace() or any(t in segment for t in self.added):
+            if segment[0] != " " or segment[-1].isspace() or met and any(t in segment for t in met):
                 alone.append(segment)
             elif segment[-1] in SIGNS and segment.isascii() and segment[1:-1].isalpha():
                 signed.append(segment)
@@ -269,11 +271,11 @@ class Compiled:
         words = [w for w in words if w not in known]
         for at in range(0, len(words), JOINED):
             part = words[at:at + JOINED]
-            ids = np.array(self.library.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum(np.fromiter((len(w.encode()) for w in part), np.int64, len(part)))
+            text = "".join(part)
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(np.fromiter(map(len, part if text.isascii() else map(str.encode, part)), np.int64, len(part)))
             cuts, data = 4 * np.searchsorted(np.cumsum(self.transducer.length_of[ids]), ends, side="right"), ids.tobytes()
-            for word, a, b in zip(part, [0, *cuts.tolist()], cuts.tolist()):
-                known[word] = data[a:b]
+            known.update(zip(part, map(data.__getitem__, map(slice, [0, *cuts.tolist()], cuts.tolist()))))
         for segment in [*SIGNS, *alone]:
             if segment not in known:
                 known[segment] = np.array(self.library.encode(segment, add_special_tokens=False).ids, "<u4").tobytes()
@@ -336,7 +338,8 @@ class Compiled:
 
 def segments(text: str) -> list[str]:
     """Cut before every space that follows a character other than white space."""
-    if any(pair in text for pair in (ASCII_SPACED if text.isascii() else SPACED)) or text[:1] == " ":
+    # A single character is found far faster than a pair, and most of these are in no text.
+    if any(pair[0] in text and pair in text for pair in (ASCII_SPACED if text.isascii() else SPACED)) or text[:1] == " ":
         return BOUNDARY.split(text)
     first, *rest = text.split(" ")
     return [first, *map(" ".__add__, rest)]

@@ -262,3 +262,26 @@ def test_variants_query(spark, documents):
     assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
     assert sorted(map(tuple, got.collect())) == plain_variants(documents.select("doc_id", "text").collect())
     assert got.agg(F.count("form")).first()[0] > 0
+
+
+def test_added_tokens_are_looked_for_once_a_batch():
+    """New segments that hold none of the added tokens are not searched one by one; those that do are still told."""
+    from stepforge.llm.queries import vocabulary
+    from stepforge.llm.token_counts import Compiled
+
+    class Counted(list):
+        times = 0
+
+        def __iter__(self):
+            Counted.times += 1
+            return super().__iter__()
+
+    model = Compiled(vocabulary())
+    model.added = Counted(model.added)
+    rng = np.random.default_rng(4)
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(1, 12, 2000)]
+    texts = [" ".join(words[i:i + 50]) for i in range(0, 2000, 50)] + ["café déjà vu. naïve, 中文!"]
+    plain = lambda t: np.array(model.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert model.ids(texts) == [plain(t) for t in texts] and Counted.times < 10
+    held = [f"some words{t} and {t} more" for t in list(model.added)] + ["other words"]
+    assert model.ids(held) == [plain(t) for t in held]
