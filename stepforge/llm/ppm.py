@@ -22,8 +22,6 @@ texts, all others meet their grams in a join.
 
 from __future__ import annotations
 
-import sys
-import types
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -34,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepforge.llm.common import Scratch, as_bytes
+from stepforge.llm.common import Scratch, as_bytes, kept
 
 END = b"\n"  # not in a normalised text, whose white space is single spaces
 CHUNK = 1 << 15
@@ -326,11 +324,11 @@ def ppm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = sys.modules.setdefault("_stepforge_kept", types.ModuleType("_stepforge_kept")).__dict__
-        if kept.get("ppm_name") != name:
+        held = kept("ppm")
+        if held.get("name") != name:
             parts, words, logs = sent.value
-            kept["ppm_name"], kept["ppm"] = name, (Coder(*parts), dict(zip(words, logs.tolist())))
-        coder, known = kept["ppm"]
+            held["name"], held["model"] = name, (Coder(*parts), dict(zip(words, logs.tolist())))
+        coder, known = held["model"]
         number = TaskContext.get().partitionId() << 33
         for whole in batches:
             for low in range(0, whole.num_rows, 500):

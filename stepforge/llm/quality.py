@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepforge.llm.common import Scratch, as_bytes, spare
+from stepforge.llm.common import Scratch, as_bytes, kept, spare
 
 LETTERS = bytes(b for b in range(256) if chr(b).isascii() and not chr(b).isalpha())
 UPPER = bytes(b for b in range(256) if not 65 <= b <= 90)
@@ -96,6 +96,7 @@ def quality_scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"), held_out.alias("_held")).filter("not _held")
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("quality")
         for whole in batches:
             for low in range(0, whole.num_rows, 1000):
                 batch = whole.slice(low, 1000)
@@ -125,6 +126,7 @@ def quality_scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     scratch.free()
 
     def score(batches: Iterator) -> Iterator:
+        kept("quality")
         for texts in batches:
             x = np.array([statistics(b"" if t is None else t) for t in texts.to_pylist()]).reshape(-1, FEATURES)
             yield pa.array(model.score(x))

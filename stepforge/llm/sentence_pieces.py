@@ -16,8 +16,6 @@ from __future__ import annotations
 
 import heapq
 import re
-import sys
-import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepforge.llm.common import as_bytes
+from stepforge.llm.common import as_bytes, kept
 
 SPACE = "▁"
 AT_ONCE = 512
@@ -265,10 +263,10 @@ def characters(data: bytes) -> str:
 
 def pieces(path: str) -> Pieces:
     """The model of ``path``, kept by the worker process over its tasks."""
-    kept = sys.modules.setdefault("_stepforge_kept", types.ModuleType("_stepforge_kept")).__dict__
-    if ("pieces", path) not in kept:
-        kept["pieces", path] = Pieces(path)
-    return kept["pieces", path]
+    held = kept("pieces")
+    if path not in held:
+        held[path] = Pieces(path)
+    return held[path]
 
 
 def encode_pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -16,8 +16,6 @@ the passes, and those it doesn't tell are only compared needlessly.
 
 from __future__ import annotations
 
-import sys
-import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -28,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepforge.llm.common import Scratch, as_bytes
+from stepforge.llm.common import Scratch, as_bytes, kept
 
 FACTORS = np.array([[0x9E3779B97F4A7C15], [0xC2B2AE3D27D4EB4F]], np.uint64)  # odd multipliers of the two window hashes
 RANGE_BITS = 22
@@ -111,10 +109,10 @@ class Bitmaps:
         self.sent = spark.sparkContext.broadcast(parts)
 
     def unpacked(self) -> list[np.ndarray]:
-        kept = sys.modules.setdefault("_stepforge_kept", types.ModuleType("_stepforge_kept")).__dict__
-        if kept.get("bitmaps_job") != self.job:  # those of an earlier job go first
-            kept["bitmaps_job"], kept["bitmaps"] = self.job, {}
-        held = kept["bitmaps"]
+        own = kept("bitmaps")
+        if own.get("job") != self.job:  # those of an earlier job go first
+            own["job"], own["bitmaps"] = self.job, {}
+        held = own["bitmaps"]
         if self.name not in held:
             out = [np.zeros(1 << (self.bits - 3), np.uint8) for _ in range(self.depth)]
             size = 1 << (RANGE_BITS - 3)

@@ -23,8 +23,6 @@ import itertools
 import json
 import re
 import struct
-import sys
-import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepforge.llm.common import as_bytes
+from stepforge.llm.common import as_bytes, kept
 
 # The splitting pattern of byte-level BPE files that set use_regex.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -347,10 +345,10 @@ def segments(text: str) -> list[str]:
 
 def compiled(path: str) -> Compiled:
     """The transducer of ``path``, kept by the worker process over its tasks."""
-    kept = sys.modules.setdefault("_stepforge_kept", types.ModuleType("_stepforge_kept")).__dict__
-    if ("compiled", path) not in kept:
-        kept["compiled", path] = Compiled(path)
-    return kept["compiled", path]
+    held = kept("compiled")
+    if path not in held:
+        held[path] = Compiled(path)
+    return held[path]
 
 
 def token_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024) -> DataFrame:

@@ -11,7 +11,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from stepforge.llm import ppm, quality, simhash
+from stepforge.llm import line_dedup, ppm, quality, simhash
+from stepforge.llm.common import kept
 from stepforge.llm.line_dedup import dedup_lines
 from stepforge.llm.mixing import mix
 from stepforge.llm.packing import closest, pack
@@ -475,3 +476,35 @@ def test_near_duplicates_meet_by_viable_chains(spark):
     signed = [(n, np.array(p, np.uint64).view(np.int64).tolist()) for n, p in rows]
     found = simhash.chain_candidates(spark.createDataFrame(signed, "node long, prints array<long>"), 0.8)
     assert {(min(r.a, r.b), max(r.a, r.b)) for r in found.collect()} == wanted
+
+
+def test_lines_that_share_a_passage_are_put_aside_before_they_are_verified(spark, monkeypatch):
+    """Lines of one passage meet in crowded buckets; only pairs that may reach the similarity have their texts compared."""
+    rng = np.random.default_rng(5)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    passage, asked = words(40), []
+    rows = [" ".join([*words(8), *passage, *words(8)]) for _ in range(60)]
+    whole = line_dedup.verified
+
+    def counted(texts, pairs, similarity, scratch):
+        asked.append(pairs.count())
+        return whole(texts, pairs, similarity, scratch)
+
+    monkeypatch.setattr(line_dedup, "verified", counted)
+    rows.append(rows[0] + " more")
+    got = dedup_lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).filter("n_removed > 0").collect()
+    assert [r.doc_id for r in got] == [60]
+    assert 1 <= sum(asked) <= 60
+
+
+def test_three_lines_of_one_bucket_meet_in_all_pairs(spark):
+    line = " ".join(f"word{i}" for i in range(30))
+    rows = [line.replace("word7 ", "other7 "), line, line.replace("word21 ", "other21 "), "something else"]
+    got = dedup_lines(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).filter("n_removed = 0").collect()
+    assert sorted(r.doc_id for r in got) == [0, 3]
+
+
+def test_a_worker_keeps_what_one_operator_needs():
+    kept("one")["vocabulary"] = 1
+    assert kept("one") == {"vocabulary": 1}
+    assert kept("two") == {} and kept("one") == {}
