@@ -1,14 +1,19 @@
 """Removing word windows that an earlier document has, with a count-min prefilter.
 
-Pass one: every task sketches the hashes of its windows, cells hold 0, 1 or
-"2 and more", and the sketches are merged cell range by cell range. A window
-whose cells all read 2 may be repeated, any other is not: counts are never
-underestimated. Pass two: only those windows are grouped, exactly, by 96 bits
+A window is marked by the least hash of its grams, runs of about half as many
+words: equal windows have equal marks, and neighbours mostly share theirs, so a
+text has about a quarter as many marks as windows. Pass one: every task sketches
+its marks, cells hold 0, 1 or "2 and more", and the sketches are merged cell range
+by cell range. A mark whose cells all read 2 may be repeated, any other is not:
+counts are never underestimated. Pass two: only those marks are grouped for their
+smallest and greatest document, and bitmaps of the marks of several documents are
+sent. Pass three: windows under such a mark are grouped, exactly, by 96 bits
 of hash for their smallest document, and joined back to their places.
 
 The merged sketch has a fixed size, ``2 * 2**(cell_bits - 3)`` bytes at most,
-and so may be sent to every executor. On more windows than cells it lets more
-through and costs time, not results. Identical texts are compared once: all
+and so may be sent to every executor. On more marks than cells it lets more
+through to pass two, which costs a row a mark; pass three lets windows through by what
+is repeated, not by what the table holds. Identical texts are compared once: all
 but the copy of the smallest id are removed as a whole. That copy is known
 from a table of digests; a bitmap of the same kind tells most other copies in
 the passes, and those it doesn't tell are only compared needlessly.
@@ -46,6 +51,29 @@ def word_windows(words: list[bytes], size: int) -> np.ndarray:
     return out ^ (out >> np.uint64(32)) * FACTORS[::-1]
 
 
+def window_marks(words: list[bytes], size: int) -> np.ndarray:
+    """For each window of ``size`` words the least hash of its grams of half as many words."""
+    gram = (size + 1) // 2
+    hashed = word_windows(words, gram)[0]
+    out = hashed[:max(len(words) - size + 1, 0)]
+    for i in range(1, size - gram + 1):
+        out = np.minimum(out, hashed[i:i + len(out)])
+    return out
+
+
+def distinct_marks(words: list[bytes], size: int) -> np.ndarray:
+    """The marks of a text's windows as two hashes, each as often as it begins anew."""
+    marks = window_marks(words, size)
+    new = marks[np.concatenate([[True], marks[1:] != marks[:-1]])] if len(marks) else marks
+    return mark_hashes(new)
+
+
+def mark_hashes(marks: np.ndarray) -> np.ndarray:
+    """Two hashes of a mark, which is a least one and so lies low itself."""
+    out = marks * FACTORS
+    return (out ^ out >> np.uint64(32)) * FACTORS[::-1]
+
+
 def encode(cells: np.ndarray) -> bytes:
     """Ascending distinct cells of a range as gaps of a byte, 255 standing for a longer way."""
     gaps = np.diff(cells.astype(np.int64), prepend=-1)
@@ -101,10 +129,10 @@ def merged(rows: DataFrame, least: int) -> DataFrame:
 
 
 class Bitmaps:
-    """The merged bitmaps on the executors, unpacked once per worker process."""
+    """The merged bitmaps on the executors, unpacked once per worker process; those named ``before`` are read no more."""
 
-    def __init__(self, spark: SparkSession, rows: DataFrame, depth: int, cell_bits: int, job: str):
-        self.name, self.job, self.depth, self.bits = uuid.uuid4().hex, job, depth, cell_bits
+    def __init__(self, spark: SparkSession, rows: DataFrame, depth: int, cell_bits: int, job: str, before: str = ""):
+        self.name, self.job, self.depth, self.bits, self.before = uuid.uuid4().hex, job, depth, cell_bits, before
         parts = {(r.row, r.part): zlib.compress(bytes(r.bits), 1) for r in rows.toLocalIterator()}
         self.sent = spark.sparkContext.broadcast(parts)
 
@@ -114,6 +142,7 @@ class Bitmaps:
             own["job"], own["bitmaps"] = self.job, {}
         held = own["bitmaps"]
         if self.name not in held:
+            held.pop(self.before, None)
             out = [np.zeros(1 << (self.bits - 3), np.uint8) for _ in range(self.depth)]
             size = 1 << (RANGE_BITS - 3)
             for (row, part), data in self.sent.value.items():
@@ -195,12 +224,39 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             if ok:
                 yield i, column[i].as_py().split()
 
-    def window_cells(batch):
+    def mark_cells(batch):
         for _, words in texts(batch):
             if len(words) >= size:
-                yield cells_of(word_windows(words, size), cell_bits)
+                yield cells_of(distinct_marks(words, size), cell_bits)
+
+    sketch = Bitmaps(spark, sketched(docs.select("key", "text"), mark_cells, 2, 2), 2, cell_bits, job)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(held):
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat([k for k, _ in held], [len(x) for _, x in held])),
+                                               pa.array(np.concatenate([x for _, x in held]).view(np.int64))], ["key", "mark"])
+
+        held, n = [], 0
+        for batch in batches:
+            for i, words in texts(batch):
+                if len(words) >= size:
+                    marks = distinct_marks(words, size)
+                    held.append((np.int64(batch.column(0)[i].as_py()), np.unique(marks[0, sketch.has(cells_of(marks, cell_bits))])))
+                    n += len(held[-1][1])
+                if n >= 100_000:
+                    yield out(held)
+                    held, n = [], 0
+        if n:
+            yield out(held)
+
+    shared = scratch.cut(docs.select("key", "text").mapInArrow(marked, "key long, mark long").groupBy("mark").agg(
+        F.min("key").alias("least"), F.max("key").alias("most")).filter("least < most").select("mark"))
+
+    def shared_cells(batch):
+        yield cells_of(mark_hashes(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)), cell_bits)
 
-    sketch = Bitmaps(spark, sketched(docs.select("key", "text"), window_cells, 2, 2), 2, cell_bits, job)
+    sketch.sent.unpersist()
+    repeats = Bitmaps(spark, sketched(shared, shared_cells, 2, 1), 2, cell_bits, job, sketch.name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(held):
@@ -215,9 +271,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         held, n = [], 0
         for batch in batches:
             for i, words in texts(batch):
-                windows = word_windows(words, size)
-                at = np.flatnonzero(sketch.has(cells_of(windows, cell_bits)))
+                marks = mark_hashes(window_marks(words, size))
+                at = np.flatnonzero(repeats.has(cells_of(mark_hashes(marks[0]), cell_bits)))
                 if len(at):
+                    windows = word_windows(words, size)
                     held.append(((batch.column(0)[i].as_py(), batch.column(2)[i].as_py()), at, windows[0, at], windows[1, at]))
                     n += len(at)
                 if n >= 100_000:
@@ -235,7 +292,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marks = scratch.cut(places.withColumn("copy", F.lit(False)).unionByName(
         copies.select("key", "digest", F.array().cast("array<int>").alias("starts"), F.lit(True).alias("copy")))
         .groupBy("key", "digest").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.max("copy").alias("copy")))
-    scratch.free(found, repeated, first, copies)
+    scratch.free(found, repeated, first, copies, shared)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

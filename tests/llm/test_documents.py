@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from stepforge.llm import line_dedup, ppm, quality, simhash
+from stepforge.llm import line_dedup, ppm, quality, simhash, substrings
 from stepforge.llm.common import kept
 from stepforge.llm.line_dedup import dedup_lines
 from stepforge.llm.mixing import mix
@@ -508,3 +508,25 @@ def test_a_worker_keeps_what_one_operator_needs():
     kept("one")["vocabulary"] = 1
     assert kept("one") == {"vocabulary": 1}
     assert kept("two") == {} and kept("one") == {}
+
+
+def test_windows_are_marked_by_their_grams():
+    """Equal windows have equal marks wherever they stand, and neighbours share most of theirs."""
+    rng = np.random.default_rng(4)
+    words = lambda n: [b"w%d" % x for x in rng.integers(0, 10**6, n)]
+    passage = words(13)
+    for before in (0, 1, 9):
+        assert substrings.window_marks(words(before) + passage + words(5), 13)[before] == substrings.window_marks(passage, 13)[0]
+    text = words(4000)
+    assert len(substrings.window_marks(text, 13)) == 3988 and len(substrings.window_marks(text[:12], 13)) == 0
+    assert substrings.distinct_marks(text, 13).shape[1] < 0.3 * 3988
+
+
+def test_repeats_are_removed_when_the_sketch_is_full(spark):
+    """A full sketch tells nothing, so marks are grouped; windows of one document alone are still not grouped."""
+    rng = np.random.default_rng(6)
+    words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
+    passage = words(13)
+    rows = [(i, " ".join([words(3000), passage, words(3000)])) for i in range(40)]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), cell_bits=22).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {i: 13 if i else 0 for i in range(40)}
