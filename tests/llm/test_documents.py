@@ -497,6 +497,18 @@ def test_lines_that_share_a_passage_are_put_aside_before_they_are_verified(spark
     assert 1 <= sum(asked) <= 60
 
 
+def test_lines_of_several_crowded_buckets_are_compared_once(spark):
+    """A pair is made in one of the buckets it shares, whatever the chunks of each, and a pair of one root in none."""
+    buckets = {7: range(9), -3: range(2, 9), 5: range(0, 12, 2), 9: range(20, 24)}
+    members = spark.createDataFrame([(k, i) for k, ids in buckets.items() for i in ids], "key long, id long")
+    signed = spark.createDataFrame([(i, 40, list(range(40))) for i in range(24)], "id long, size int, five array<int>")
+    roots = spark.createDataFrame([(2, 0), (0, 0), *[(i, 20) for i in range(20, 24)]], "node long, root long")
+    wanted = {(a, b) for ids in buckets.values() for a in ids for b in ids if a < b < 20} - {(0, 2)}
+    for lines in (2, 256):
+        got = line_dedup.crowded_pairs(members, signed, roots, 0.8, lines, line_dedup.Scratch(spark)).collect()
+        assert Counter(map(tuple, got)) == Counter(wanted)
+
+
 def test_three_lines_of_one_bucket_meet_in_all_pairs(spark):
     line = " ".join(f"word{i}" for i in range(30))
     rows = [line.replace("word7 ", "other7 "), line, line.replace("word21 ", "other21 "), "something else"]
