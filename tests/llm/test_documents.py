@@ -3,8 +3,10 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -22,6 +24,7 @@ from stepforge.llm.queries import QUERIES, vocabulary
 from stepforge.llm.simhash import keep_first, near_links, simhash_components
 from stepforge.llm.substrings import remove_repeats
 from stepforge.llm.token_counts import compiled, token_counts
+from stepforge.session import shared_folder
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -509,6 +512,45 @@ def test_lines_of_several_crowded_buckets_are_compared_once(spark):
         assert Counter(map(tuple, got)) == Counter(wanted)
 
 
+def test_shuffle_files_of_a_written_table_go(spark):
+    """Steps that exchange rows leave the tables they write and no shuffle files, also when the driver collects no garbage."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f.getPath() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles()) if "shuffle_" in f.getName()}
+    setting, before, scratch = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffled(), line_dedup.Scratch(spark)
+    parts = [spark.range(5000).filter(f"id % 2 = {k}").groupBy((F.col("id") % 100).alias("k")).count() for k in (0, 1)]
+    spark.conf.set(setting, "false")
+    try:
+        out = scratch.cut(*parts)
+        assert spark.conf.get(setting) == "false"
+    finally:
+        spark.conf.unset(setting)
+    deadline = time.time() + 20
+    while (left := shuffled() - before) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not left
+    assert sorted(map(tuple, out.collect())) == [(k, 50) for k in range(100)]
+
+
+def test_lines_are_the_same_in_parts_and_their_tables_go(spark, monkeypatch):
+    """Large joins written part after part give what one part gives, with null ids and repeated rows; tables that no step reads any more go."""
+    rng = np.random.default_rng(3)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    passage, line = words(40), words(30)
+    near = lambda i: " ".join([*line[:i % 30], f"x{i}", *line[i % 30 + 1:]])
+    texts = ["\n".join([" ".join([*words(8), *passage, *words(8)]), near(i), f"short {i % 5}"]) for i in range(40)]
+    rows = [(None if i % 7 == 0 else i, t) for i, t in enumerate(texts)] + [(None, texts[1]), (2, texts[2]), (2, texts[2]), (0, texts[3])]
+    df, found, left = spark.createDataFrame(rows, "doc_id long, text string"), [], []
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    monkeypatch.setattr(line_dedup, "PARTS", 2)
+    for size in (1 << 28, 1):
+        monkeypatch.setattr(line_dedup, "PART_BYTES", size)
+        before = set(folder.glob("cut-*"))
+        found.append(Counter(map(tuple, dedup_lines(df).collect())))
+        left.append(len(set(folder.glob("cut-*")) - before))
+    assert found[0] == found[1] and sum(r[3] * n for r, n in found[0].items()) > 70
+    assert max(left) <= 3  # the lines to be removed, and two tables of components
+
+
 def test_three_lines_of_one_bucket_meet_in_all_pairs(spark):
     line = " ".join(f"word{i}" for i in range(30))
     rows = [line.replace("word7 ", "other7 "), line, line.replace("word21 ", "other21 "), "something else"]
